@@ -11,7 +11,8 @@ side 'SELL' when event_id % 3 = 0 else 'BUY'; trades use the minute of ``ts`` as
 ticker rows the second; ingest time = event time + 2 s; bid/ask = price -/+ 5, no ask when
 event_id % 11 = 0. Malformed variants: price 'bad' when event_id % 97 = 0, no side when
 event_id % 101 = 0, a non-JSON line per event_id % 499 = 0, an envelope without events per
-event_id % 503 = 0; duplicates: event_id % 10 = 0 again, 1 h later.
+event_id % 503 = 0; duplicates: every message whose sequence number (its smallest
+event_id) % 10 = 0 is sent again 3600 s later.
 """
 
 from __future__ import annotations
@@ -102,19 +103,20 @@ def _num_text(c: Column) -> Column:
     return c.cast("string")
 
 
-def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool = False) -> DataFrame:
+def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool = False,
+                 channel: str | None = None) -> DataFrame:
     """Raw feed messages, one JSON document per row in column ``value``.
 
     One message per (channel, product_id, event time) group: trades are grouped by minute,
     ticker rows by second. ``ingest_ts`` and ``source`` are already stamped (as routing
-    does), so the rows are what the bronze jobs read from their topics.
+    does), so the rows are what the bronze jobs read from their topics. ``channel`` keeps
+    one channel only (what one topic holds); the malformed extras then carry that channel.
     """
+    if channel == S.CHANNEL_TRADES:
+        events = events.filter(F.col("event_type") != "view")
+    elif channel == S.CHANNEL_TICKER:
+        events = events.filter(F.col("event_type") == "view")
     e = events
-    if duplicates:
-        again = events.filter(F.col("event_id") % 10 == 0).withColumn("_late", F.lit(True))
-        e = events.withColumn("_late", F.lit(False)).unionByName(again)
-    else:
-        e = events.withColumn("_late", F.lit(False))
     is_trade = F.col("event_type") != "view"
     unit_t = F.when(is_trade, F.date_trunc("minute", "ts")).otherwise(F.date_trunc("second", "ts")).cast("timestamp_ntz")
     price = _cents(e)
@@ -130,7 +132,6 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
         F.when(is_trade, F.lit(S.CHANNEL_TRADES)).otherwise(F.lit(S.CHANNEL_TICKER)).alias("channel"),
         _product(e).alias("product_id"),
         unit_t.alias("t"),
-        F.col("_late"),
         F.col("event_id"),
         F.struct(
             _product(e).alias("product_id"),
@@ -156,11 +157,15 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
             _num_text(k + 1).alias("best_ask_quantity"),
         ).alias("tick"),
     )
-    grouped = base.groupBy("channel", "product_id", "t", "_late").agg(
+    grouped = base.groupBy("channel", "product_id", "t").agg(
         F.min("event_id").alias("sequence_num"),
         F.array_sort(F.collect_list(F.when(F.col("channel") == S.CHANNEL_TRADES, F.col("trade")))).alias("trades"),
         F.array_sort(F.collect_list(F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("tick")))).alias("tickers"),
-    )
+    ).withColumn("_late", F.lit(False))
+    if duplicates:
+        # whole messages sent again one hour later (same sequence number and payload)
+        again = grouped.filter(F.col("sequence_num") % 10 == 0).withColumn("_late", F.lit(True))
+        grouped = grouped.unionByName(again)
     delay = F.when(F.col("_late"), F.expr("INTERVAL 3602 seconds")).otherwise(F.expr("INTERVAL 2 seconds"))
     # one event per message; the payload list of the other channel stays NULL and
     # to_json leaves NULL fields out
@@ -186,7 +191,7 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
             F.concat(F.lit("not json "), F.col("event_id").cast("string")).alias("value"))
         empty = events.filter(F.col("event_id") % 503 == 0).select(
             F.to_json(F.struct(
-                F.lit(S.CHANNEL_TRADES).alias("channel"),
+                F.lit(channel or S.CHANNEL_TRADES).alias("channel"),
                 F.lit("").alias("client_id"),
                 F.date_format(F.date_trunc("minute", "ts").cast("timestamp_ntz"), ISO_SECONDS).alias("timestamp"),
                 F.col("event_id").alias("sequence_num"),
