@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketlake.functions import guarded_ratio, is_side, pct_change, pct_distance
+from marketlake.session import materialize
 
 # fixed values: frame lengths in rows, lag and lead distances of the feature table
 MA_FRAMES = (10, 50, 100, 500)
@@ -214,7 +215,8 @@ def row_index(
     partitions because ``order`` is fine-grained. The row position inside each partition
     comes from ``monotonically_increasing_id`` after the local sort; the offsets that turn
     it into a per-key index come from a count table with one row per (partition, key)
-    pair. Range partitions hold contiguous key ranges, so that table has at most
+    pair. The locally numbered rows are written once (``materialize``) so both uses read
+    the same positions. Range partitions hold contiguous key ranges, so that table has at most
     ``num_partitions + #keys - 1`` rows: its size is bounded by the partition count and
     the number of products, and it is broadcast. ``order`` should be total (add tie
     breakers) so a recomputed partition gives every row the same position.
@@ -228,10 +230,10 @@ def row_index(
                 (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_pos"))
     )
     if checkpoint:
-        # Reliable checkpoint into spark.checkpoint.dir: positions come from a
+        # Written to the shared checkpoint folder and read back: positions come from a
         # nondeterministic expression, so both uses below must read the same copy, and a
         # lost executor must not recompute them differently.
-        local = local.checkpoint(eager=True)
+        local = materialize(local, "row-index")
 
     counts = local.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
     before_in_key = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

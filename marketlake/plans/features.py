@@ -63,7 +63,9 @@ def trade_features(
         ties = [c for c in TIEBREAK if c in trades.columns and c not in order]
         idx = W.row_index(trades, keys, [*order, *ties], n)
         lookahead = W.LOOKAHEAD if with_leads else 0
-        h = W.halo_chunks(idx, chunk_rows, W.LOOKBACK, lookahead)
+        # Explicit partition count: window work is CPU-heavy per byte, so AQE must not
+        # coalesce this exchange by size; chunks spread evenly over ``n`` tasks.
+        h = W.halo_chunks(idx, chunk_rows, W.LOOKBACK, lookahead).repartition(n, *keys, "_chunk")
         w = W.halo_window(keys)
         out = (W.with_columns(h, W.window_columns(w, with_leads))
                .filter(F.col("_own"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the library expects. The time zone is pinned because the raw
 # feed carries UTC instants and the reference computes hours/dates in the session zone.
@@ -64,7 +65,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for written intermediate tables."""
+    """A folder under the shared checkpoint location for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base.rstrip("/"), "marketlake-scratch", name)
     return path
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back. Compact and column-prunable (unlike a row checkpoint), and every later
+    reader sees the same rows even when ``df`` holds nondeterministic values."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
