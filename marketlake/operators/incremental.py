@@ -12,20 +12,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake import schemas as S
-from marketlake.sources.lake import write_table
+from marketlake.sources.lake import path_exists, write_table
 
 
 def read_mark(spark: SparkSession, state_dir: str) -> str | None:
     """The stored mark, or None when no mark was written yet."""
-    try:
-        rows = spark.read.schema(S.MARK_SCHEMA).json(state_dir).limit(1).collect()
-    except AnalysisException:
+    if not path_exists(spark, state_dir):
         return None
+    rows = spark.read.schema(S.MARK_SCHEMA).json(state_dir).limit(1).collect()
     return rows[0]["last_ingest_ts"] if rows else None
 
 

@@ -331,3 +331,36 @@ def partition_pruned_read(spark: SparkSession, d: str) -> DataFrame:
                          & F.col("event_date").between(F.lit("2024-01-08").cast("date"),
                                                        F.lit("2024-01-14").cast("date")))
     return part.groupBy("event_date").agg(F.count(F.lit(1)).alias("trades"), F.sum("price").alias("price_sum"))
+
+
+# ---------------------------------------------------------------- whole lake, raw JSON -> gold
+
+from marketlake.plans import jobs as JOBS  # noqa: E402
+from marketlake.plans import oracles as O  # noqa: E402
+from marketlake.plans.queries import _GOLD_FILTER, _gold_sql_cols, _round_vol  # noqa: E402
+
+
+@register("lake_end_to_end", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
+def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
+    """Raw topic files of both channels -> bronze streams (availableNow) -> incremental
+    silver -> gold job (overwrite, partitioned) -> gold read back. Equals ``feature_table``."""
+    root = _scratch(spark, "lake")
+    for kind, channel in (("trades", S.CHANNEL_TRADES), ("ticker", S.CHANNEL_TICKER)):
+        _raw(spark, d, channel, malformed=False).write.mode("overwrite").text(f"{root}/raw_{kind}")
+        q = ST.start_bronze(L.text_stream(spark, f"{root}/raw_{kind}"), kind, f"{root}/bronze_{kind}",
+                            f"{root}/ckpt_{kind}", available_now=True)
+        ST.run_until_idle(q)
+        JOBS.silver_job(spark, kind, f"{root}/bronze_{kind}", f"{root}/silver_{kind}", f"{root}/mark_{kind}")
+    m = JOBS.gold_job(spark, f"{root}/silver_trades", f"{root}/silver_ticker", f"{root}/gold")
+    if m["records_before_filter"] < m["records_after_filter"]:
+        raise AssertionError(f"bad gold counts {m}")
+    gold = spark.read.parquet(f"{root}/gold")
+    cols = [c for c in gold.columns]
+    return _round_vol(gold.select(*cols))
+
+
+@register("target50_filter", O.features_ctes() +
+          f"SELECT product_id, trade_id, target_return_50 FROM gold {_GOLD_FILTER} AND target_return_50 IS NOT NULL")
+def target50_filter(spark: SparkSession, d: str) -> DataFrame:
+    from marketlake.plans.queries import _gold
+    return DQ.target50_filter(_gold(spark, d)).select("product_id", "trade_id", "target_return_50")

@@ -46,6 +46,13 @@ def text_batch(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------------ lake tables
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the cluster's Hadoop FileSystem (object stores included)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A partitioned Parquet lake table. With ``schema`` the read schema is fixed
     (no footer inference; nested fields not in it are never read)."""
