@@ -25,13 +25,35 @@ def utc_time(c: str | Column) -> Column:
     The offset in the text is honoured (``Z``, ``+00:00``, ``+02:00`` ...), and the result
     does not depend on the session time zone.
     """
-    instant = F.try_to_timestamp(_c(c))
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return instant_to_utc_ntz(F.try_to_timestamp(_c(c)))
+
+
+def instant_to_utc_ntz(instant: Column) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ of its UTC wall clock, via epoch microseconds,
+    so no session-zone conversion (ambiguous in a daylight-saving overlap) takes part."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def bucket_time(unit: str, ts: str | Column) -> Column:
-    """``date_trunc`` that keeps TIMESTAMP_NTZ input as TIMESTAMP_NTZ."""
-    return F.date_trunc(unit, _c(ts)).cast("timestamp_ntz")
+    """Truncate a TIMESTAMP_NTZ to ``unit`` and keep it TIMESTAMP_NTZ.
+
+    Built from the wall-clock fields, so no session-zone round trip is involved (Spark's
+    ``date_trunc`` on NTZ input goes through the session zone, which shifts wall clocks
+    that fall into a daylight-saving gap).
+    """
+    t = _c(ts)
+    zero = F.lit(0)
+    fields = {
+        "second": (F.hour(t), F.minute(t), F.floor(F.second(t))),
+        "minute": (F.hour(t), F.minute(t), zero),
+        "hour": (F.hour(t), zero, zero),
+        "day": (zero, zero, zero),
+    }
+    if unit not in fields:
+        return F.date_trunc(unit, t).cast("timestamp_ntz")
+    h, m, s = fields[unit]
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), h, m, s)
 
 
 def pct_change(new: str | Column, old: str | Column) -> Column:

@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake import schemas as S
+from marketlake.functions import instant_to_utc_ntz
 
 DEFAULT_TOPICS = {S.CHANNEL_TICKER: S.TOPIC_TICKER, S.CHANNEL_TRADES: S.TOPIC_TRADES}
 
 
 def utc_now_iso() -> Column:
     """Current instant as ISO-8601 UTC text with microseconds and ``+00:00``."""
-    now_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
-    return F.date_format(now_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return F.date_format(instant_to_utc_ntz(F.current_timestamp()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def first_product_id(msg: str = "m") -> Column:

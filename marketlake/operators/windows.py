@@ -208,6 +208,7 @@ def row_index(
     num_partitions: int,
     index_col: str = "_r",
     checkpoint: bool = True,
+    max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """Add the 0-based position of each row within its ``keys`` group, in ``order``.
 
@@ -216,10 +217,11 @@ def row_index(
     comes from ``monotonically_increasing_id`` after the local sort; the offsets that turn
     it into a per-key index come from a count table with one row per (partition, key)
     pair. The locally numbered rows are written once (``materialize``) so both uses read
-    the same positions. Range partitions hold contiguous key ranges, so that table has at most
-    ``num_partitions + #keys - 1`` rows: its size is bounded by the partition count and
-    the number of products, and it is broadcast. ``order`` should be total (add tie
-    breakers) so a recomputed partition gives every row the same position.
+    the same positions. Range partitions hold contiguous key ranges, so that table has at
+    most ``num_partitions + #keys - 1`` rows: its size is bounded by the partition count
+    and the number of products; it is counted and broadcast when under
+    ``max_broadcast_rows``. ``order`` should be total (add tie breakers) so a recomputed
+    partition gives every row the same position.
     """
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [F.col(c).asc_nulls_first() for c in order]
     pid = F.spark_partition_id()
@@ -248,7 +250,10 @@ def row_index(
          - F.coalesce(F.sum("_n").over(before_in_part), F.lit(0))).alias("_base"),
     )
     cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    joined = local.join(F.broadcast(offsets), on=cond, how="inner")
+    # Size check before the broadcast: counting the offsets reads two narrow columns of the
+    # materialized table. Beyond the limit (huge key cardinality) fall back to a shuffle join.
+    small = (counts.count() <= max_broadcast_rows) if checkpoint else True
+    joined = local.join(F.broadcast(offsets) if small else offsets, on=cond, how="inner")
     return joined.select(*df.columns, (F.col("_base") + F.col("_pos")).alias(index_col))
 
 

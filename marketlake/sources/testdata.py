@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake import schemas as S
+from marketlake.functions import bucket_time
 
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
@@ -55,7 +56,7 @@ def _stamps(t: Column, ingest_delay: str = "2 seconds") -> list[Column]:
 def trades(events: DataFrame) -> DataFrame:
     """Silver-trades-shaped table (SILVER_TRADES columns) from the non-view events."""
     e = events.filter(F.col("event_type") != "view")
-    t = F.date_trunc("minute", "ts").cast("timestamp_ntz")
+    t = bucket_time("minute", "ts")
     return e.select(
         F.lit(S.CHANNEL_TRADES).alias("channel"),
         *_stamps(t)[:2],
@@ -75,7 +76,7 @@ def trades(events: DataFrame) -> DataFrame:
 def ticker(events: DataFrame) -> DataFrame:
     """Silver-ticker-shaped table (SILVER_TICKER columns) from the view events."""
     e = events.filter(F.col("event_type") == "view")
-    t = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    t = bucket_time("second", "ts")
     price = _cents(e)
     k = _k()
     return e.select(
@@ -118,7 +119,7 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
         events = events.filter(F.col("event_type") == "view")
     e = events
     is_trade = F.col("event_type") != "view"
-    unit_t = F.when(is_trade, F.date_trunc("minute", "ts")).otherwise(F.date_trunc("second", "ts")).cast("timestamp_ntz")
+    unit_t = F.when(is_trade, bucket_time("minute", "ts")).otherwise(bucket_time("second", "ts"))
     price = _cents(e)
     price_text = _num_text(price)
     if malformed:
@@ -193,10 +194,10 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
             F.to_json(F.struct(
                 F.lit(channel or S.CHANNEL_TRADES).alias("channel"),
                 F.lit("").alias("client_id"),
-                F.date_format(F.date_trunc("minute", "ts").cast("timestamp_ntz"), ISO_SECONDS).alias("timestamp"),
+                F.date_format(bucket_time("minute", "ts"), ISO_SECONDS).alias("timestamp"),
                 F.col("event_id").alias("sequence_num"),
                 F.array().cast("array<string>").alias("events"),
-                F.date_format(F.date_trunc("minute", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 2 seconds"),
+                F.date_format(bucket_time("minute", "ts") + F.expr("INTERVAL 2 seconds"),
                               ISO_MICROS_OFFSET).alias("ingest_ts"),
                 F.lit(S.SOURCE_TAG).alias("source"),
             )).alias("value"))

@@ -165,14 +165,30 @@ def test_unparsable_event_time_is_null_and_sorted_first(spark):
 def test_time_parsing_honours_offsets_and_is_zone_independent(spark):
     from marketlake.functions import utc_time
     df = spark.createDataFrame([("2024-01-01T01:30:00Z",), ("2024-01-01T03:30:00+02:00",),
-                                ("2024-01-01T01:30:00.123456789Z",)], "s string")
+                                ("2024-01-01T01:30:00.123456789Z",), ("2024-11-03T06:30:00Z",),
+                                ("2024-03-10T07:30:00Z",)], "s string")
     prev = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
         got = [str(r[0]) for r in df.select(utc_time("s")).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
-    assert got == ["2024-01-01 01:30:00", "2024-01-01 01:30:00", "2024-01-01 01:30:00.123456"]
+    # the last two fall into New York's daylight-saving overlap and gap
+    assert got == ["2024-01-01 01:30:00", "2024-01-01 01:30:00", "2024-01-01 01:30:00.123456",
+                   "2024-11-03 06:30:00", "2024-03-10 07:30:00"]
+
+
+def test_bucket_time_is_zone_independent(spark):
+    from marketlake.functions import bucket_time
+    df = spark.createDataFrame([("2024-03-10 02:30:45.5",)], "s string").selectExpr("CAST(s AS TIMESTAMP_NTZ) AS t")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 does not exist there
+        r = df.select(*[bucket_time(u, "t").alias(u) for u in ("second", "minute", "hour", "day")]).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert [str(x) for x in r] == ["2024-03-10 02:30:45", "2024-03-10 02:30:00", "2024-03-10 02:00:00",
+                                   "2024-03-10 00:00:00"]
 
 
 def test_enforce_schema(spark):
