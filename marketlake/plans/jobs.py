@@ -17,6 +17,7 @@ from marketlake.operators import bronze as B
 from marketlake.operators import incremental as I
 from marketlake.operators import silver as SV
 from marketlake.plans import features as G
+from marketlake.session import drop_scratch_tables, scratch_mark
 from marketlake.sources import lake as L
 
 BRONZE_SCHEMAS = {"trades": S.BRONZE_TRADES, "ticker": S.BRONZE_TICKER}
@@ -43,6 +44,7 @@ def gold_job(spark: SparkSession, trades_path: str, ticker_path: str, gold_path:
     itself, not by extra count() jobs."""
     trades = L.read_table(spark, trades_path, S.SILVER_TRADES)
     ticker = L.read_table(spark, ticker_path, S.SILVER_TICKER)
+    mark = scratch_mark()
     unfiltered = G.build_features(trades, ticker, apply_filter=False, **feature_kw)
     obs = Observation("gold_counts")
     keep = F.col("ma_500_trades").isNotNull() & F.col("target_return_10").isNotNull()
@@ -50,6 +52,7 @@ def gold_job(spark: SparkSession, trades_path: str, ticker_path: str, gold_path:
                                   F.count(F.when(keep, F.lit(1))).alias("records_after_filter"))
     L.write_table(G.final_filter(observed), gold_path, S.GOLD_PARTITIONS, mode="overwrite",
                   dynamic_overwrite=dynamic_overwrite)
+    drop_scratch_tables(spark, mark)  # the materialized row index is no longer needed
     m = dict(obs.get)
     m["records_removed"] = m["records_before_filter"] - m["records_after_filter"]
     return m

@@ -74,11 +74,33 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+_SCRATCH_TABLES: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as a Parquet table under the shared checkpoint folder and
     read it back. Compact and column-prunable (unlike a row checkpoint), and every later
-    reader sees the same rows even when ``df`` holds nondeterministic values."""
+    reader sees the same rows even when ``df`` holds nondeterministic values. The folder is
+    removed by :func:`drop_scratch_tables` once the consuming job has finished."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
+    _SCRATCH_TABLES.append(path)
     return spark.read.parquet(path)
+
+
+def scratch_mark() -> int:
+    """Position in the list of materialized tables; pass it to :func:`drop_scratch_tables`."""
+    return len(_SCRATCH_TABLES)
+
+
+def drop_scratch_tables(spark: SparkSession, since: int) -> int:
+    """Delete the tables :func:`materialize` wrote after ``scratch_mark()`` returned
+    ``since`` (tables behind DataFrames built earlier stay); returns how many."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while len(_SCRATCH_TABLES) > since:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH_TABLES.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n

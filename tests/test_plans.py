@@ -14,11 +14,36 @@ def _plan(df) -> str:
 
 
 def test_halo_window_is_not_partitioned_by_product_alone(spark):
+    import re
     ev = TD.load_events(spark, SF_SMALL)
     plan = _plan(G.build_features(TD.trades(ev), TD.ticker(ev), chunk_rows=512))
-    assert "_chunk" in plan
-    # the per-product window of the reference (one task per product) must not appear
-    assert "hashpartitioning(product_id#" not in plan.replace(" ", "") or "_chunk" in plan
+    specs = re.findall(r"Window \[.*?\], \[(.*?)\], \[(.*?)\]", plan)
+    feature_windows = [p for p, o in specs if "_r#" in o]
+    assert feature_windows and all("_chunk" in p for p in feature_windows), specs
+    # the reference's per-product trade window (one task per product) is absent
+    assert not [p for p, o in specs if "event_ts_dt" in o]
+
+
+def test_plain_gold_plan_exchanges(spark):
+    ev = TD.load_events(spark, SF_SMALL)
+    plan = _plan(G.build_features(TD.trades(ev), TD.ticker(ev), strategy="plain"))
+    # one shuffle for the trade window (leads included), one for the quote aggregation,
+    # one per join side; no second trade-window shuffle after the join
+    import re
+    assert len(re.findall(r"Exchange hashpartitioning\(product_id#\d+, \d+\)", plan)) == 1, plan
+    assert plan.count("Exchange") <= 4, plan
+
+
+def test_silver_ticker_prunes_nested_event_type(spark, tmp_path):
+    from marketlake import schemas as S
+    from marketlake.operators import bronze as B
+    from marketlake.operators import silver as SV
+    from marketlake.sources import lake as L
+    raw = TD.raw_messages(TD.load_events(spark, SF_SMALL), channel="ticker")
+    L.write_table(B.bronze_ticker(raw), str(tmp_path / "b"), S.BRONZE_PARTITIONS)
+    plan = _plan(SV.silver_ticker(L.read_table(spark, str(tmp_path / "b"))))
+    schema = plan[plan.index("ReadSchema: "):].split("\n")[0]
+    assert "events:array<struct<tickers:" in schema and "client_id" not in schema, schema
 
 
 def test_plain_strategy_has_single_window_shuffle_before_join(spark):
