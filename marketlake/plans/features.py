@@ -90,6 +90,26 @@ def lookback_filter(df: DataFrame, index_col: str, min_history: int = 500) -> Da
     return df.filter(F.col(index_col) >= min_history - 1)
 
 
+def trade_order(df: DataFrame, order_by: str = "event_ts", numeric_trade_id: bool = False
+                ) -> tuple[DataFrame, list[str]]:
+    """Ordering of trades inside a product (S6, S7). Default: envelope time, then trade id
+    as TEXT (the reference). Options: the trade's own ``trade_time`` (S7), and trade ids
+    compared as numbers, text order breaking ties among non-numeric ids (S6)."""
+    order = []
+    if order_by == "event_ts":
+        order.append("event_ts_dt")
+    elif order_by == "trade_time":
+        df = df.withColumn("_trade_time_dt", utc_time("trade_time"))
+        order.append("_trade_time_dt")
+    else:
+        raise ValueError(f"unknown order_by {order_by!r}")
+    if numeric_trade_id:
+        df = df.withColumn("_trade_id_num", F.col("trade_id").try_cast("bigint"))
+        order.append("_trade_id_num")
+    order.append("trade_id")
+    return df, order
+
+
 def feature_columns(trades_cols: Sequence[str]) -> list[str]:
     base = list(trades_cols) + (["event_ts_dt"] if "event_ts_dt" not in trades_cols else [])
     return (base + W.TRADE_FEATURE_ORDER + list(Q.QUOTE_COLUMNS)
@@ -106,14 +126,16 @@ def build_features(
     apply_filter: bool = True,
     broadcast_quotes: bool = False,
     index_col: str | None = None,
+    order_by: str = "event_ts",
+    numeric_trade_id: bool = False,
 ) -> DataFrame:
     """silver trades + silver ticker -> gold feature table (77 columns; one more
-    with ``index_col``)."""
+    with ``index_col``). ``order_by``/``numeric_trade_id``: see :func:`trade_order`."""
     trade_cols = trades.columns
-    t = parse_times(trades)
+    t, order = trade_order(parse_times(trades), order_by, numeric_trade_id)
     q = parse_times(ticker.select("product_id", "event_ts", "ingest_ts", *Q.QUOTE_COLUMNS))
     feats = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
-                           index_col=index_col)
+                           index_col=index_col, order=order)
     quotes = Q.last_per_bucket(q, unit=unit)
     joined = Q.attach_quotes(feats, quotes, unit=unit, broadcast=broadcast_quotes)
     cols = feature_columns(trade_cols) + ([index_col] if index_col else [])

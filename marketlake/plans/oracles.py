@@ -26,7 +26,8 @@ trades AS (
          CASE WHEN event_id % 3 = 0 THEN 'SELL' ELSE 'BUY' END AS side,
          CAST(date_trunc('minute', ts) AS DATE) AS event_date,
          CASE WHEN user_id % 2 = 0 THEN 'BTC-USD' ELSE 'ETH-USD' END AS product_id,
-         date_trunc('minute', ts) AS event_ts_dt
+         date_trunc('minute', ts) AS event_ts_dt,
+         ts AS trade_time_dt
   FROM events WHERE event_type <> 'view'
 )"""
 
@@ -56,19 +57,23 @@ ticker AS (
 
 # ---------------------------------------------------------------- gold features
 
-_W = "PARTITION BY product_id ORDER BY event_ts_dt ASC NULLS FIRST, trade_id ASC NULLS FIRST"
+DEFAULT_ORDER = "event_ts_dt ASC NULLS FIRST, trade_id ASC NULLS FIRST"
 
 
-def _rows(n: int) -> str:
-    return f"OVER ({_W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+def _spec(order: str) -> str:
+    return f"PARTITION BY product_id ORDER BY {order}"
 
 
-def _lag(k: int) -> str:
-    return f"LAG(price, {k}) OVER ({_W})"
+def _rows(n: int, order: str = DEFAULT_ORDER) -> str:
+    return f"OVER ({_spec(order)} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
-def _lead(k: int) -> str:
-    return f"LEAD(price, {k}) OVER ({_W})"
+def _lag(k: int, order: str = DEFAULT_ORDER) -> str:
+    return f"LAG(price, {k}) OVER ({_spec(order)})"
+
+
+def _lead(k: int, order: str = DEFAULT_ORDER) -> str:
+    return f"LEAD(price, {k}) OVER ({_spec(order)})"
 
 
 def _pos_ratio(num: str, den: str) -> str:
@@ -79,19 +84,21 @@ def _pct_dist(v: str, ref: str) -> str:
     return f"CASE WHEN {ref} IS NOT NULL AND {ref} > 0 THEN ({v} - {ref}) / {ref} * 100 ELSE 0.0 END"
 
 
-WINDOWED = ",\n".join(
-    [f"AVG(price) {_rows(n)} AS ma_{n}_trades" for n in (10, 50, 100, 500)]
-    + [f"{fn}(price) {_rows(n)} AS {fn.lower()}_{n}_trades" for n in (10, 50, 100) for fn in ("MIN", "MAX")]
-    + [f"STDDEV_SAMP(price) {_rows(n)} AS volatility_{n}" for n in (10, 50, 100)]
-    + [f"{_lag(k)} AS lag_{k}" for k in (1, 5, 10, 50, 100)]
-    + [f"SUM(size) {_rows(n)} AS volume_{n}" for n in (10, 50, 100)]
-    + [f"AVG(size) {_rows(n)} AS volume_ma_{n}" for n in (10, 50, 100)]
-    + [f"CAST(SUM(CASE WHEN side = '{s}' THEN 1 ELSE 0 END) {_rows(n)} AS BIGINT) AS {s.lower()}_count_{n}"
-       for n in (50, 100) for s in ("BUY", "SELL")]
-    + [f"SUM(CASE WHEN side = '{s}' THEN size ELSE 0.0 END) {_rows(n)} AS {s.lower()}_volume_{n}"
-       for n in (50, 100) for s in ("BUY", "SELL")]
-    + [f"{_lead(k)} AS future_price_{k}" for k in (10, 50)]
-)
+def windowed(order: str = DEFAULT_ORDER) -> str:
+    return ",\n".join(
+        [f"AVG(price) {_rows(n, order)} AS ma_{n}_trades" for n in (10, 50, 100, 500)]
+        + [f"{fn}(price) {_rows(n, order)} AS {fn.lower()}_{n}_trades" for n in (10, 50, 100) for fn in ("MIN", "MAX")]
+        + [f"STDDEV_SAMP(price) {_rows(n, order)} AS volatility_{n}" for n in (10, 50, 100)]
+        + [f"{_lag(k, order)} AS lag_{k}" for k in (1, 5, 10, 50, 100)]
+        + [f"SUM(size) {_rows(n, order)} AS volume_{n}" for n in (10, 50, 100)]
+        + [f"AVG(size) {_rows(n, order)} AS volume_ma_{n}" for n in (10, 50, 100)]
+        + [f"CAST(SUM(CASE WHEN side = '{s}' THEN 1 ELSE 0 END) {_rows(n, order)} AS BIGINT) AS {s.lower()}_count_{n}"
+           for n in (50, 100) for s in ("BUY", "SELL")]
+        + [f"SUM(CASE WHEN side = '{s}' THEN size ELSE 0.0 END) {_rows(n, order)} AS {s.lower()}_volume_{n}"
+           for n in (50, 100) for s in ("BUY", "SELL")]
+        + [f"{_lead(k, order)} AS future_price_{k}" for k in (10, 50)]
+    )
+
 
 DERIVED = ",\n".join(
     [f"max_{n}_trades - min_{n}_trades AS price_range_{n}" for n in (10, 50, 100)]
@@ -136,11 +143,11 @@ SPREAD = ",\n".join([
 ])
 
 
-def features_ctes(unit: str = "minute") -> str:
+def features_ctes(unit: str = "minute", order: str = DEFAULT_ORDER) -> str:
     """CTEs up to ``gold`` (unfiltered, all 77 columns + helper lags)."""
     return f"""WITH {TRADES_CTE},
 {TICKER_CTE},
-fw AS (SELECT *, {WINDOWED} FROM trades),
+fw AS (SELECT *, {windowed(order)} FROM trades),
 fd AS (SELECT *, {DERIVED} FROM fw),
 ft AS (SELECT *, {DIRECTIONS} FROM fd),
 {quotes_cte(unit).strip()},

@@ -178,3 +178,24 @@ SELECT product_id, trade_id, ma_500_trades FROM (
 def lookback_filter_q(spark: SparkSession, d: str) -> DataFrame:
     g = _gold(spark, d, apply_filter=False, index_col="trade_seq")
     return G.lookback_filter(g, index_col="trade_seq").select("product_id", "trade_id", "ma_500_trades")
+
+
+# ---------------------------------------------------------------- ordering options
+
+_ORDER_COLS = ("ma_10_trades", "ma_500_trades", "price_change_1", "return_10", "buy_count_50",
+               "future_price_10", "target_return_50")
+
+
+@register("numeric_trade_id_order", O.features_ctes(
+    order="event_ts_dt ASC NULLS FIRST, TRY_CAST(trade_id AS BIGINT) ASC NULLS FIRST, trade_id ASC NULLS FIRST")
+    + f"SELECT product_id, trade_id, {', '.join(_ORDER_COLS)} FROM gold")
+def numeric_trade_id_order(spark: SparkSession, d: str) -> DataFrame:
+    g = _gold(spark, d, apply_filter=False, numeric_trade_id=True)
+    return g.select("product_id", "trade_id", *_ORDER_COLS)
+
+
+@register("trade_time_order", O.features_ctes(order="trade_time_dt ASC NULLS FIRST, trade_id ASC NULLS FIRST")
+          + f"SELECT product_id, trade_id, {', '.join(_ORDER_COLS)} FROM gold")
+def trade_time_order(spark: SparkSession, d: str) -> DataFrame:
+    g = _gold(spark, d, apply_filter=False, order_by="trade_time")
+    return g.select("product_id", "trade_id", *_ORDER_COLS)
