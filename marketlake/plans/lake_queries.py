@@ -35,11 +35,12 @@ ev AS (
          CASE WHEN user_id % 2 = 0 THEN 'BTC-USD' ELSE 'ETH-USD' END AS product_x,
          CASE WHEN event_type <> 'view' THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END AS t,
          ROUND(value * 100) AS cents,
-         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
+         TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+         CASE WHEN event_type <> 'view' THEN NULL ELSE event_id END AS msg_x
   FROM events
 ),
 evs AS (
-  SELECT *, MIN(event_id) OVER (PARTITION BY channel_x, product_x, t) AS seq FROM ev
+  SELECT *, MIN(event_id) OVER (PARTITION BY channel_x, product_x, t, msg_x) AS seq FROM ev
 ),
 copies AS (
   SELECT evs.*, 2 AS delay_s FROM evs
@@ -133,7 +134,7 @@ SELECT CASE channel_x WHEN 'ticker' THEN 'crypto.ticker.raw' ELSE 'crypto.trades
        product_x AS key, channel_x AS channel, product_x AS product_id,
        strftime(t, '%Y-%m-%dT%H:%M:%SZ') AS msg_timestamp, MIN(event_id) AS sequence_num,
        COUNT(*) AS items, '2024-02-01T00:00:00.000000+00:00' AS ingest_ts, 'ws_public' AS source
-FROM ev GROUP BY channel_x, product_x, t"""))
+FROM ev GROUP BY channel_x, product_x, t, msg_x"""))
 def route_messages(spark: SparkSession, d: str) -> DataFrame:
     routed = R.route_messages(_raw(spark, d, None), ingest_ts=ROUTE_STAMP)
     v = F.col("value")
@@ -161,7 +162,7 @@ SELECT 'ticker' AS channel, '' AS client_id, strftime(t, '%Y-%m-%dT%H:%M:%SZ') A
        MIN(event_id) AS sequence_num, strftime(t + INTERVAL 2 SECOND, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS ingest_ts,
        'ws_public' AS source, CAST(hour(t) AS INTEGER) AS event_hour, CAST(t AS DATE) AS event_date,
        1 AS n_events, COUNT(*) AS n_tickers, product_x AS first_product
-FROM ev WHERE event_type = 'view' GROUP BY product_x, t
+FROM ev WHERE event_type = 'view' GROUP BY product_x, t, msg_x
 UNION ALL
 SELECT NULL, NULL, NULL, CAST(NULL AS BIGINT), NULL, NULL, CAST(NULL AS INTEGER), CAST(NULL AS DATE),
        NULL, NULL, NULL
@@ -273,6 +274,24 @@ def silver_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
 
 
+@register("silver_ticker_stream_dedup", _with(True, f"""
+SELECT DISTINCT channel, event_ts, source, event_hour, price, volume_24h, low_24h, high_24h, low_52w, high_52w,
+       price_change_24h, best_bid, best_bid_qty, best_ask, best_ask_qty, client_id, sequence_num, event_date,
+       product_id
+FROM ({silver_ticker_sql(False, True, "'' AS client_id, seq AS sequence_num,")}) s"""))
+def silver_ticker_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """J2 stream form: ticker bronze files with one-hour-late duplicate messages -> silver
+    stream deduplicated on (product_id, sequence_num) within the watermark."""
+    root = _scratch(spark, "silver-ticker-stream")
+    bronze = B.bronze_ticker(_raw(spark, d, S.CHANNEL_TICKER, malformed=False, dups=True))
+    L.write_table(bronze, f"{root}/bronze", S.BRONZE_PARTITIONS)
+    q = ST.start_silver(spark, f"{root}/bronze", "ticker", f"{root}/silver", f"{root}/ckpt",
+                        available_now=True, dedup=True)
+    ST.run_until_idle(q)
+    out = spark.read.parquet(f"{root}/silver")
+    return out.select(*[c for c in out.columns if c != "ingest_ts"])
+
+
 # ---------------------------------------------------------------- quality
 
 @register("dedup_trades", _silver_trades_sql(False, False))

@@ -54,11 +54,18 @@ def dedup_within_watermark(stream: DataFrame, keys: Sequence[str] = ("product_id
 def start_silver(spark: SparkSession, bronze_path: str, kind: str, path: str, checkpoint: str,
                  available_now: bool = True, dedup: bool = False, dedup_delay: str = "2 hours") -> StreamingQuery:
     """D11 stream form: bronze files -> silver Parquet (event_date, product_id) with a
-    checkpoint: every bronze file is processed exactly once across reruns."""
+    checkpoint: every bronze file is processed exactly once across reruns. ``dedup`` drops
+    repeats within ``dedup_delay``: trades by (product_id, trade_id) (J1), ticker rows by
+    (product_id, sequence_num) (J2; the ticker silver then keeps client_id and sequence_num)."""
     src = bronze_file_stream(spark, bronze_path, kind)
-    out = silver_trades(src) if kind == "trades" else silver_ticker(src)
-    if dedup and kind == "trades":
-        out = dedup_within_watermark(out, delay=dedup_delay)
+    if kind == "trades":
+        out = silver_trades(src)
+        keys = ("product_id", "trade_id")
+    else:
+        out = silver_ticker(src, keep_sequence=dedup)
+        keys = ("product_id", "sequence_num")
+    if dedup:
+        out = dedup_within_watermark(out, keys=keys, delay=dedup_delay)
     return start_table_stream(out, path, checkpoint, S.SILVER_PARTITIONS, available_now=available_now,
                               query_name=f"silver_{kind}")
 
