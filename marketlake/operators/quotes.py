@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions import bucket_time, pct_distance
@@ -58,6 +58,46 @@ def attach_quotes(
     return left.join(right, on=[*keys, bucket_col], how="left").drop(bucket_col)
 
 
+def quotes_by_chunk(
+    indexed: DataFrame,
+    quotes: DataFrame,
+    chunk_rows: int,
+    unit: str = "minute",
+    keys: Sequence[str] = ("product_id",),
+    values: Sequence[str] = QUOTE_COLUMNS,
+    ts: str = "event_ts_dt",
+    bucket_col: str = "minute_ts",
+    index_col: str = "_r",
+) -> DataFrame:
+    """Quote rows addressed to the halo chunks that hold trades of their (key, bucket).
+
+    The chunk map ``(key, bucket) -> chunk`` is a distinct over the numbered trades (partial
+    aggregation, one row per trade-minute and chunk), so only the quote table and this map
+    are shuffled for the join, never the trades. A minute whose trades straddle a chunk
+    boundary sends its quote to both chunks.
+    """
+    chunk = F.floor(F.col(index_col) / F.lit(chunk_rows)).cast("long")
+    cmap = (indexed.select(*keys, bucket_time(unit, ts).alias(bucket_col), chunk.alias("_chunk"))
+            .where(F.col(bucket_col).isNotNull())
+            .distinct())
+    return (quotes.join(cmap, on=[*keys, bucket_col], how="inner")
+            .select(*keys, bucket_col, "_chunk", *values,
+                    F.lit(False).alias("_own"), F.lit(True).alias("_is_quote")))
+
+
+def chunk_quote_columns(
+    keys: Sequence[str] = ("product_id",),
+    values: Sequence[str] = QUOTE_COLUMNS,
+    bucket_col: str = "minute_ts",
+) -> list[tuple[str, Column]]:
+    """F7 inside the halo partitions: every row takes the values of the (single) quote row of
+    its (key, chunk, bucket). The window's partition keys extend the exchange's
+    (key, chunk) partitioning, so it needs a sort but no shuffle. NULL when the bucket has no
+    quote, like the reference's left join."""
+    wq = Window.partitionBy(*keys, "_chunk", bucket_col)
+    return [(v, F.max(F.when(F.col("_is_quote"), F.col(v))).over(wq)) for v in values]
+
+
 def spread_features(price: str = "price", bid: str = "best_bid", ask: str = "best_ask") -> list[tuple[str, Column]]:
     """E52-E55. ``spread_pct`` is NULL when bid > 0 and ask is missing (its guard omits ask)."""
     b, a = F.col(bid), F.col(ask)

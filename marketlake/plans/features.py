@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions import utc_time
+from marketlake.functions import bucket_time, utc_time
 from marketlake.operators import quotes as Q
 from marketlake.operators import windows as W
 
@@ -45,12 +45,18 @@ def trade_features(
     keys: Sequence[str] = ("product_id",),
     order: Sequence[str] = W.ORDER_COLUMNS,
     index_col: str | None = None,
+    quotes: DataFrame | None = None,
+    unit: str = "minute",
 ) -> DataFrame:
     """Windowed + derived per-trade columns (E1-E51, and E56-E61 when ``with_leads``).
 
     ``trades`` must already carry ``event_ts_dt``. With ``index_col`` the 0-based position
-    of each trade within its product is kept under that name.
+    of each trade within its product is kept under that name. With ``quotes`` (halo only:
+    output of ``last_per_bucket``) the quote columns are attached inside the same exchange
+    (see :func:`marketlake.operators.quotes.quotes_by_chunk`).
     """
+    if quotes is not None and strategy != "halo":
+        raise ValueError("quotes can be attached in the window stage only with strategy='halo'")
     if strategy == "plain":
         w = W.trade_window(keys, order)
         cols = W.window_columns(w, with_leads)
@@ -63,13 +69,21 @@ def trade_features(
         ties = [c for c in TIEBREAK if c in trades.columns and c not in order]
         idx = W.row_index(trades, keys, [*order, *ties], n)
         lookahead = W.LOOKAHEAD if with_leads else 0
+        h = W.halo_chunks(idx, chunk_rows, W.LOOKBACK, lookahead)
+        part = list(keys)
+        if quotes is not None:
+            h = h.withColumn("minute_ts", bucket_time(unit, "event_ts_dt")).withColumn("_is_quote", F.lit(False))
+            h = h.unionByName(Q.quotes_by_chunk(idx, quotes, chunk_rows, unit, keys), allowMissingColumns=True)
+            part.append("_is_quote")  # quote rows never enter the trade frames
         # Explicit partition count: window work is CPU-heavy per byte, so AQE must not
         # coalesce this exchange by size; chunks spread evenly over ``n`` tasks.
-        h = W.halo_chunks(idx, chunk_rows, W.LOOKBACK, lookahead).repartition(n, *keys, "_chunk")
-        w = W.halo_window(keys)
-        out = (W.with_columns(h, W.window_columns(w, with_leads))
+        h = h.repartition(n, *keys, "_chunk")
+        cols = W.window_columns(W.halo_window(part), with_leads)
+        if quotes is not None:
+            cols += Q.chunk_quote_columns(keys)
+        out = (W.with_columns(h, cols)
                .filter(F.col("_own"))
-               .drop("_chunk", "_own"))
+               .drop("_chunk", "_own", "_is_quote", "minute_ts"))
         out = out.withColumnRenamed("_r", index_col) if index_col else out.drop("_r")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -128,16 +142,27 @@ def build_features(
     index_col: str | None = None,
     order_by: str = "event_ts",
     numeric_trade_id: bool = False,
+    quote_join: str = "window",
 ) -> DataFrame:
     """silver trades + silver ticker -> gold feature table (77 columns; one more
-    with ``index_col``). ``order_by``/``numeric_trade_id``: see :func:`trade_order`."""
+    with ``index_col``). ``order_by``/``numeric_trade_id``: see :func:`trade_order`.
+
+    ``quote_join="window"`` (halo only) attaches the last quote of each minute inside the
+    halo exchange, so the trades are not shuffled a third time for the join; ``"join"`` is
+    a left join (AQE: broadcast when the measured quote side is small, else sort-merge)."""
     trade_cols = trades.columns
     t, order = trade_order(parse_times(trades), order_by, numeric_trade_id)
     q = parse_times(ticker.select("product_id", "event_ts", "ingest_ts", *Q.QUOTE_COLUMNS))
-    feats = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
-                           index_col=index_col, order=order)
     quotes = Q.last_per_bucket(q, unit=unit)
-    joined = Q.attach_quotes(feats, quotes, unit=unit, broadcast=broadcast_quotes)
+    if strategy == "halo" and quote_join == "window":
+        joined = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
+                                index_col=index_col, order=order, quotes=quotes, unit=unit)
+    elif quote_join in ("join", "window"):
+        feats = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
+                               index_col=index_col, order=order)
+        joined = Q.attach_quotes(feats, quotes, unit=unit, broadcast=broadcast_quotes)
+    else:
+        raise ValueError(f"unknown quote_join {quote_join!r}")
     cols = feature_columns(trade_cols) + ([index_col] if index_col else [])
     out = W.with_columns(joined, Q.spread_features()).select(*cols)
     return final_filter(out) if apply_filter else out

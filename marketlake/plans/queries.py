@@ -153,6 +153,13 @@ def feature_table(spark: SparkSession, d: str) -> DataFrame:
     return _round_vol(_gold(spark, d))
 
 
+@register("halo_feature_table", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
+def halo_feature_table(spark: SparkSession, d: str) -> DataFrame:
+    """The feature table with 512-row chunks: many chunk edges, and minutes whose trades
+    straddle two chunks receive their quote in both."""
+    return _round_vol(_gold(spark, d, chunk_rows=512))
+
+
 @register("final_filter", O.features_ctes() +
           f"SELECT product_id, trade_id, ma_500_trades, target_return_10 FROM gold {_GOLD_FILTER}")
 def final_filter_q(spark: SparkSession, d: str) -> DataFrame:

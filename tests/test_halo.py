@@ -63,3 +63,29 @@ def test_chunk_rows_below_lookback_rejected(spark):
     t = G.parse_times(_random_trades(spark, 10, seed=1))
     with pytest.raises(ValueError):
         G.trade_features(t, strategy="halo", chunk_rows=100)
+
+
+def _random_ticker(spark, n: int, seed: int):
+    from conftest import ticker_rows
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        m = int(rng.integers(0, 400))
+        ts = f"2024-01-{1 + m // 60 % 28:02d}T{m % 24:02d}:{m % 60:02d}:{int(rng.integers(0, 60)):02d}Z"
+        bid = float(rng.integers(-5, 50))
+        ask = None if rng.random() < 0.1 else bid + 10
+        rows.append((str(rng.choice(["HOT", "A", "B", "C"])), ts, f"i{i:05d}", bid, ask))
+    return ticker_rows(spark, rows)
+
+
+@pytest.mark.parametrize("chunk_rows", [499, 777])
+def test_gold_halo_with_quotes_in_exchange_equals_plain_join(spark, chunk_rows):
+    trades, ticker = _random_trades(spark, 2500, seed=chunk_rows + 1), _random_ticker(spark, 800, seed=chunk_rows)
+    plain = {r["trade_id"]: r for r in G.build_features(trades, ticker, strategy="plain", apply_filter=False).collect()}
+    halo = {r["trade_id"]: r for r in G.build_features(trades, ticker, chunk_rows=chunk_rows, num_partitions=4,
+                                                       apply_filter=False).collect()}
+    assert plain.keys() == halo.keys()
+    cols = list(next(iter(plain.values())).asDict())
+    bad = [(k, c, plain[k][c], halo[k][c]) for k in plain for c in cols if not _close(plain[k][c], halo[k][c])]
+    assert not bad, bad[:5]
+    assert sum(1 for r in plain.values() if r["best_bid"] is not None) > 50  # quotes really matched

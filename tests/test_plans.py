@@ -22,6 +22,8 @@ def test_halo_window_is_not_partitioned_by_product_alone(spark):
     assert feature_windows and all("_chunk" in p for p in feature_windows), specs
     # the reference's per-product trade window (one task per product) is absent
     assert not [p for p, o in specs if "event_ts_dt" in o]
+    # quotes are attached inside the halo exchange: no join of the trades with the quotes
+    assert "LeftOuter" not in plan
 
 
 def test_plain_gold_plan_exchanges(spark):
