@@ -36,7 +36,7 @@ ev AS (
          CASE WHEN event_type <> 'view' THEN date_trunc('minute', ts) ELSE date_trunc('second', ts) END AS t,
          ROUND(value * 100) AS cents,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
-         CASE WHEN event_type <> 'view' THEN NULL ELSE event_id END AS msg_x
+         CASE WHEN event_type <> 'view' THEN second(ts) ELSE event_id END AS msg_x
   FROM events
 ),
 evs AS (

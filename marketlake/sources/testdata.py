@@ -7,7 +7,7 @@ tables grow with ``events``.
 
 Fixed values (the mapping the SQL oracles repeat): product 'BTC-USD' for even user ids else
 'ETH-USD'; price = round(value * 100) (integer cents, so sums are exact); trade size = props.k;
-side 'SELL' when event_id % 3 = 0 else 'BUY'; trades use the minute of ``ts`` as event time,
+side 'SELL' when event_id % 3 = 0 else 'BUY'; trades use the minute of ``ts`` as event time (one message per second of trades),
 ticker rows the second (one ticker per message); ingest time = event time + 2 s; bid/ask = price -/+ 5, no ask when
 event_id % 11 = 0. Malformed variants: price 'bad' when event_id % 97 = 0, no side when
 event_id % 101 = 0, a non-JSON line per event_id % 499 = 0, an envelope without events per
@@ -108,8 +108,8 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
                  channel: str | None = None) -> DataFrame:
     """Raw feed messages, one JSON document per row in column ``value``.
 
-    Trades: one message per (product_id, minute of ts); ticker: one message per row (event
-    time = second of ts). ``ingest_ts`` and ``source`` are already stamped (as routing
+    Trades: one message per (product_id, minute, second of ts) with the minute as envelope
+    time; ticker: one message per row (event time = second of ts). ``ingest_ts`` and ``source`` are already stamped (as routing
     does), so the rows are what the bronze jobs read from their topics. ``channel`` keeps
     one channel only (what one topic holds); the malformed extras then carry that channel.
     """
@@ -133,6 +133,7 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
         F.when(is_trade, F.lit(S.CHANNEL_TRADES)).otherwise(F.lit(S.CHANNEL_TICKER)).alias("channel"),
         _product(e).alias("product_id"),
         unit_t.alias("t"),
+        F.second("ts").alias("_sec"),
         F.col("event_id"),
         F.struct(
             _product(e).alias("product_id"),
@@ -158,9 +159,9 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
             _num_text(k + 1).alias("best_ask_quantity"),
         ).alias("tick"),
     )
-    # a ticker message carries one ticker (as the feed sends one per product); trade
-    # messages batch every trade of a (product, minute)
-    msg_key = F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("event_id")).alias("_msg")
+    # a ticker message carries one ticker (as the feed sends one per product); a trade
+    # message batches the trades of one second (its envelope time stays the minute)
+    msg_key = F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("event_id")).otherwise(F.col("_sec")).alias("_msg")
     grouped = base.groupBy("channel", "product_id", "t", msg_key).agg(
         F.min("event_id").alias("sequence_num"),
         F.array_sort(F.collect_list(F.when(F.col("channel") == S.CHANNEL_TRADES, F.col("trade")))).alias("trades"),
