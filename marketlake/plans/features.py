@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import bucket_time, utc_time
 from marketlake.operators import quotes as Q
 from marketlake.operators import windows as W
+from marketlake.session import partitions_for
 
 # Trades columns used for a total order inside a (product, time, trade id) tie.
 TIEBREAK = ("ingest_ts", "price", "size", "side", "trade_time", "event_ts")
@@ -64,8 +65,7 @@ def trade_features(
             cols.append((index_col, F.row_number().over(w) - 1))
         out = W.with_columns(trades, cols)
     elif strategy == "halo":
-        spark = trades.sparkSession
-        n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = num_partitions or partitions_for(trades)
         ties = [c for c in TIEBREAK if c in trades.columns and c not in order]
         idx = W.row_index(trades, keys, [*order, *ties], n)
         lookahead = W.LOOKAHEAD if with_leads else 0

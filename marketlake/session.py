@@ -104,3 +104,19 @@ def drop_scratch_tables(spark: SparkSession, since: int) -> int:
         p = jvm.org.apache.hadoop.fs.Path(_SCRATCH_TABLES.pop())
         n += bool(p.getFileSystem(conf).delete(p, True))
     return n
+
+
+def partitions_for(df: DataFrame, target_bytes: int = 256 << 20, max_partitions: int = 200_000) -> int:
+    """Partition count for a shuffle of ``df`` that must not be coalesced by AQE: at least
+    ``spark.sql.shuffle.partitions``, and one per ``target_bytes`` of Catalyst's size
+    estimate (file sizes of the scanned columns; no job runs). An unknown estimate
+    (Spark's default of Long.MaxValue) keeps the configured count."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are an optimisation only
+        return base
+    if size >= (1 << 62):
+        return base
+    return int(min(max(base, -(-size // target_bytes)), max_partitions))
