@@ -17,7 +17,9 @@ from marketlake.operators import incremental as I
 from marketlake.operators import quality as DQ
 from marketlake.operators import routing as R
 from marketlake.operators import silver as SV
-from marketlake.plans.queries import register
+from marketlake.plans import jobs as JOBS
+from marketlake.plans import oracles as O
+from marketlake.plans.queries import _GOLD_FILTER, _gold, _gold_sql_cols, _round_vol, register
 from marketlake.session import scratch_dir
 from marketlake.sources import lake as L
 from marketlake.sources import testdata as TD
@@ -354,9 +356,6 @@ def partition_pruned_read(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- whole lake, raw JSON -> gold
 
-from marketlake.plans import jobs as JOBS  # noqa: E402
-from marketlake.plans import oracles as O  # noqa: E402
-from marketlake.plans.queries import _GOLD_FILTER, _gold_sql_cols, _round_vol  # noqa: E402
 
 
 @register("lake_end_to_end", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
@@ -373,13 +372,10 @@ def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     m = JOBS.gold_job(spark, f"{root}/silver_trades", f"{root}/silver_ticker", f"{root}/gold")
     if m["records_before_filter"] < m["records_after_filter"]:
         raise AssertionError(f"bad gold counts {m}")
-    gold = spark.read.parquet(f"{root}/gold")
-    cols = [c for c in gold.columns]
-    return _round_vol(gold.select(*cols))
+    return _round_vol(spark.read.parquet(f"{root}/gold"))
 
 
 @register("target50_filter", O.features_ctes() +
           f"SELECT product_id, trade_id, target_return_50 FROM gold {_GOLD_FILTER} AND target_return_50 IS NOT NULL")
 def target50_filter(spark: SparkSession, d: str) -> DataFrame:
-    from marketlake.plans.queries import _gold
     return DQ.target50_filter(_gold(spark, d)).select("product_id", "trade_id", "target_return_50")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake import schemas as S
 from marketlake.operators import quotes as Q
 from marketlake.plans import features as G
 from marketlake.plans import oracles as O
@@ -142,10 +143,7 @@ _GOLD_FILTER = "WHERE ma_500_trades IS NOT NULL AND target_return_10 IS NOT NULL
 
 
 def _gold_sql_cols() -> str:
-    cols = G.feature_columns([
-        "channel", "event_ts", "ingest_ts", "source", "event_type", "event_hour", "trade_id", "price", "size",
-        "trade_time", "side", "event_date", "product_id"])
-    return _sql_cols(cols)
+    return _sql_cols(G.feature_columns([f.name for f in S.SILVER_TRADES.fields]))
 
 
 @register("feature_table", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
