@@ -35,3 +35,12 @@ def test_kafka_options():
     opts = L.kafka_options("b:9092", "crypto.trades.raw")
     assert opts == {"kafka.bootstrap.servers": "b:9092", "subscribe": "crypto.trades.raw",
                     "startingOffsets": "latest", "failOnDataLoss": "false"}
+
+
+def test_partitions_for_uses_size_estimate(spark):
+    from marketlake.session import partitions_for
+    ev = TD.load_events(spark, SF_SMALL)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(ev) == base  # tiny input: the configured count
+    assert partitions_for(ev, target_bytes=1) > base  # one partition per estimated byte, capped
+    assert partitions_for(ev, target_bytes=1, max_partitions=1000) == 1000
