@@ -209,6 +209,7 @@ def row_index(
     index_col: str = "_r",
     checkpoint: bool = True,
     max_broadcast_rows: int = 2_000_000,
+    stats: dict | None = None,
 ) -> DataFrame:
     """Add the 0-based position of each row within its ``keys`` group, in ``order``.
 
@@ -221,8 +222,10 @@ def row_index(
     most ``num_partitions + #keys - 1`` rows: its size is bounded by the partition count
     and the number of products; it is counted and broadcast when under
     ``max_broadcast_rows``. ``order`` should be total (add tie breakers) so a recomputed
-    partition gives every row the same position.
+    partition gives every row the same position. ``stats`` (a dict) receives ``pairs`` (count
+    table rows) and ``rows`` (total rows).
     """
+    stats = {} if stats is None else stats
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + [F.col(c).asc_nulls_first() for c in order]
     pid = F.spark_partition_id()
     local = (
@@ -250,13 +253,24 @@ def row_index(
          - F.coalesce(F.sum("_n").over(before_in_part), F.lit(0))).alias("_base"),
     )
     cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    # Size check before the broadcast: counting the offsets reads two narrow columns of the
-    # materialized table. Beyond the limit (huge key cardinality) fall back to a shuffle join.
-    small = (counts.count() <= max_broadcast_rows) if checkpoint else True
+    # Size check before the broadcast: one small job over two narrow columns of the
+    # materialized table gives the count-table size (and the row total, for chunk sizing).
+    # Beyond the limit (huge key cardinality) fall back to a shuffle join.
+    if checkpoint:
+        st = counts.agg(F.count(F.lit(1)).alias("pairs"), F.sum("_n").alias("rows")).collect()[0]
+        stats.update(pairs=st["pairs"], rows=st["rows"] or 0)
+    small = stats.get("pairs", 0) <= max_broadcast_rows
     joined = local.join(F.broadcast(offsets) if small else offsets, on=cond, how="inner")
     return joined.select(*df.columns, (F.col("_base") + F.col("_pos")).alias(index_col))
 
 
+def auto_chunk_rows(total_rows: int, num_partitions: int, lo: int = 2048, hi: int = 65536) -> int:
+    """About two chunks per window task, within [lo, hi] rows: small inputs still spread
+    over every task, large ones keep the halo share ((499 + 50) / chunk) under 1 %."""
+    want = -(-int(total_rows) // max(1, 2 * num_partitions))
+    return int(min(hi, max(lo, want, LOOKBACK, LOOKAHEAD)))
+
+
 def halo_chunks(
     indexed: DataFrame,
     chunk_rows: int,

@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from marketlake.functions import bucket_time, utc_time
 from marketlake.operators import quotes as Q
 from marketlake.operators import windows as W
-from marketlake.session import partitions_for
+from marketlake.session import broadcast_threshold, estimated_bytes, partitions_for
 
 # Trades columns used for a total order inside a (product, time, trade id) tie.
 TIEBREAK = ("ingest_ts", "price", "size", "side", "trade_time", "event_ts")
-DEFAULT_CHUNK_ROWS = 16384
+DEFAULT_CHUNK_ROWS = None  # auto: see windows.auto_chunk_rows
 
 
 def parse_times(df: DataFrame, src: str = "event_ts", dst: str = "event_ts_dt") -> DataFrame:
@@ -40,7 +40,7 @@ def parse_times(df: DataFrame, src: str = "event_ts", dst: str = "event_ts_dt")
 def trade_features(
     trades: DataFrame,
     strategy: str = "halo",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     num_partitions: int | None = None,
     with_leads: bool = True,
     keys: Sequence[str] = ("product_id",),
@@ -67,7 +67,10 @@ def trade_features(
     elif strategy == "halo":
         n = num_partitions or partitions_for(trades)
         ties = [c for c in TIEBREAK if c in trades.columns and c not in order]
-        idx = W.row_index(trades, keys, [*order, *ties], n)
+        stats: dict = {}
+        idx = W.row_index(trades, keys, [*order, *ties], n, stats=stats)
+        if not chunk_rows:
+            chunk_rows = W.auto_chunk_rows(stats.get("rows", 0), n)
         lookahead = W.LOOKAHEAD if with_leads else 0
         h = W.halo_chunks(idx, chunk_rows, W.LOOKBACK, lookahead)
         part = list(keys)
@@ -134,7 +137,7 @@ def build_features(
     trades: DataFrame,
     ticker: DataFrame,
     strategy: str = "halo",
-    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     num_partitions: int | None = None,
     unit: str = "minute",
     apply_filter: bool = True,
@@ -142,18 +145,28 @@ def build_features(
     index_col: str | None = None,
     order_by: str = "event_ts",
     numeric_trade_id: bool = False,
-    quote_join: str = "window",
+    quote_join: str = "auto",
 ) -> DataFrame:
     """silver trades + silver ticker -> gold feature table (77 columns; one more
     with ``index_col``). ``order_by``/``numeric_trade_id``: see :func:`trade_order`.
 
     ``quote_join="window"`` (halo only) attaches the last quote of each minute inside the
     halo exchange, so the trades are not shuffled a third time for the join; ``"join"`` is
-    a left join (AQE: broadcast when the measured quote side is small, else sort-merge)."""
+    a left join (AQE: broadcast when the measured quote side is small, else sort-merge);
+    ``"auto"`` broadcasts when the estimated quote side is under the broadcast threshold
+    and uses ``"window"`` otherwise."""
     trade_cols = trades.columns
     t, order = trade_order(parse_times(trades), order_by, numeric_trade_id)
     q = parse_times(ticker.select("product_id", "event_ts", "ingest_ts", *Q.QUOTE_COLUMNS))
     quotes = Q.last_per_bucket(q, unit=unit)
+    if quote_join == "auto":
+        # Broadcast the quote side only behind a size check: Catalyst's estimate (an upper
+        # bound: the scanned ticker columns) under the broadcast threshold. Beyond it, the
+        # quotes travel to the trades' halo partitions instead of the trades to a join.
+        size, limit = estimated_bytes(quotes), broadcast_threshold(trades.sparkSession)
+        small = size is not None and 0 <= size <= limit
+        quote_join = "join" if (small or strategy != "halo") else "window"
+        broadcast_quotes = broadcast_quotes or small
     if strategy == "halo" and quote_join == "window":
         joined = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
                                 index_col=index_col, order=order, quotes=quotes, unit=unit)

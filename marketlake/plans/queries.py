@@ -153,9 +153,10 @@ def feature_table(spark: SparkSession, d: str) -> DataFrame:
 
 @register("halo_feature_table", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
 def halo_feature_table(spark: SparkSession, d: str) -> DataFrame:
-    """The feature table with 512-row chunks: many chunk edges, and minutes whose trades
-    straddle two chunks receive their quote in both."""
-    return _round_vol(_gold(spark, d, chunk_rows=512))
+    """The feature table with 512-row chunks and the quotes attached inside the halo exchange
+    (the large-data path): many chunk edges, and minutes whose trades straddle two chunks
+    receive their quote in both."""
+    return _round_vol(_gold(spark, d, chunk_rows=512, quote_join="window"))
 
 
 @register("final_filter", O.features_ctes() +

@@ -106,17 +106,30 @@ def drop_scratch_tables(spark: SparkSession, since: int) -> int:
     return n
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job runs); None when unknown."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are an optimisation only
+        return None
+    return None if size >= (1 << 62) else size
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasting disabled)."""
+    try:
+        return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    except Exception:  # noqa: BLE001
+        return -1
+
+
 def partitions_for(df: DataFrame, target_bytes: int = 256 << 20, max_partitions: int = 200_000) -> int:
     """Partition count for a shuffle of ``df`` that must not be coalesced by AQE: at least
     ``spark.sql.shuffle.partitions``, and one per ``target_bytes`` of Catalyst's size
     estimate (file sizes of the scanned columns; no job runs). An unknown estimate
     (Spark's default of Long.MaxValue) keeps the configured count."""
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics are an optimisation only
-        return base
-    if size >= (1 << 62):
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
         return base
     return int(min(max(base, -(-size // target_bytes)), max_partitions))

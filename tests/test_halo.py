@@ -83,7 +83,7 @@ def test_gold_halo_with_quotes_in_exchange_equals_plain_join(spark, chunk_rows):
     trades, ticker = _random_trades(spark, 2500, seed=chunk_rows + 1), _random_ticker(spark, 800, seed=chunk_rows)
     plain = {r["trade_id"]: r for r in G.build_features(trades, ticker, strategy="plain", apply_filter=False).collect()}
     halo = {r["trade_id"]: r for r in G.build_features(trades, ticker, chunk_rows=chunk_rows, num_partitions=4,
-                                                       apply_filter=False).collect()}
+                                                       apply_filter=False, quote_join="window").collect()}
     assert plain.keys() == halo.keys()
     cols = list(next(iter(plain.values())).asDict())
     bad = [(k, c, plain[k][c], halo[k][c]) for k in plain for c in cols if not _close(plain[k][c], halo[k][c])]

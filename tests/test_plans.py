@@ -16,7 +16,7 @@ def _plan(df) -> str:
 def test_halo_window_is_not_partitioned_by_product_alone(spark):
     import re
     ev = TD.load_events(spark, SF_SMALL)
-    plan = _plan(G.build_features(TD.trades(ev), TD.ticker(ev), chunk_rows=512))
+    plan = _plan(G.build_features(TD.trades(ev), TD.ticker(ev), chunk_rows=512, quote_join="window"))
     specs = re.findall(r"Window \[.*?\], \[(.*?)\], \[(.*?)\]", plan)
     feature_windows = [p for p, o in specs if "_r#" in o]
     assert feature_windows and all("_chunk" in p for p in feature_windows), specs
@@ -26,6 +26,20 @@ def test_halo_window_is_not_partitioned_by_product_alone(spark):
     assert "LeftOuter" not in plan
 
 
+def test_auto_quote_join_broadcasts_only_a_small_quote_side(spark):
+    ev = TD.load_events(spark, SF_SMALL)
+    small = _plan(G.build_features(TD.trades(ev), TD.ticker(ev)))
+    import re
+    assert re.search(r"BroadcastHashJoin \[[^\n]*LeftOuter", small), small
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # nothing counts as small
+        big = _plan(G.build_features(TD.trades(ev), TD.ticker(ev)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "LeftOuter" not in big and "_is_quote" in big
+
+
 def test_plain_gold_plan_exchanges(spark):
     ev = TD.load_events(spark, SF_SMALL)
     plan = _plan(G.build_features(TD.trades(ev), TD.ticker(ev), strategy="plain"))
