@@ -3,16 +3,19 @@
 Plan, for ``strategy="halo"`` (default):
 
 1. parse event times; range-shuffle trades by (product, time, trade id) and number each
-   product's rows (``row_index``; reliable checkpoint of the indexed rows);
+   product's rows (``row_index``; the numbered rows are written once to the shared
+   checkpoint folder);
 2. cut every product's sequence into chunks of ``chunk_rows`` rows with 499-row lookback and
    50-row lookahead halos; one Window node computes all frames, lags AND leads per
    (product, chunk) -- the leads are taken before the quote join, which keeps rows 1:1,
    so no second window shuffle is needed after it;
-3. pick the last quote per (product, minute) in one partially-aggregated group-by and
-   left-join it (AQE: broadcast if measured small, else sort-merge);
+3. pick the last quote per (product, minute) in one partially-aggregated group-by; attach it
+   by a broadcast left join when its estimated size is under the broadcast threshold, else
+   inside the halo exchange (quote rows travel to the trades' chunks; no trades shuffle);
 4. spread features, final filter.
 
-``strategy="plain"`` runs the reference's single window per product (one task per product).
+``strategy="plain"`` runs the reference's single window per product (one task per product)
+and a left join.
 """
 
 from __future__ import annotations
