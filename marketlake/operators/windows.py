@@ -264,10 +264,11 @@ def row_index(
     return joined.select(*df.columns, (F.col("_base") + F.col("_pos")).alias(index_col))
 
 
-def auto_chunk_rows(total_rows: int, num_partitions: int, lo: int = 2048, hi: int = 65536) -> int:
-    """About two chunks per window task, within [lo, hi] rows: small inputs still spread
-    over every task, large ones keep the halo share ((499 + 50) / chunk) under 1 %."""
-    want = -(-int(total_rows) // max(1, 2 * num_partitions))
+def auto_chunk_rows(total_rows: int, num_partitions: int, lo: int = 8192, hi: int = 65536) -> int:
+    """About one chunk per window task, within [lo, hi] rows: the halo share
+    ((499 + 50) / chunk) stays under 7 % for small inputs and under 1 % for large ones
+    (measured at sf0.1: smaller chunks add more halo work than they gain in parallelism)."""
+    want = -(-int(total_rows) // max(1, num_partitions))
     return int(min(hi, max(lo, want, LOOKBACK, LOOKAHEAD)))
 
 
