@@ -64,3 +64,24 @@ def test_increment_filter_is_pushed_to_parquet(spark, tmp_path):
     inc = I.increment(L.read_table(spark, path, S.BRONZE_TRADES), "2024-01-01T00:00:00.000000+00:00")
     plan = inc._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThan(ingest_ts" in plan
+
+
+def test_batch_bronze_silver_gold_jobs(spark, tmp_path):
+    from conftest import SF_SMALL
+
+    from marketlake.plans import jobs as JOBS
+    from marketlake.sources import testdata as TD
+
+    ev = TD.load_events(spark, SF_SMALL)
+    root = str(tmp_path)
+    for kind, channel in (("trades", "market_trades"), ("ticker", "ticker")):
+        TD.raw_messages(ev, channel=channel).write.text(f"{root}/raw_{kind}")
+        JOBS.bronze_batch_job(spark, f"{root}/raw_{kind}", kind, f"{root}/bronze_{kind}")
+        r = JOBS.silver_job(spark, kind, f"{root}/bronze_{kind}", f"{root}/silver_{kind}", f"{root}/mark_{kind}")
+        assert r["written"] and r["mark"] is not None
+    m = JOBS.gold_job(spark, f"{root}/silver_trades", f"{root}/silver_ticker", f"{root}/gold")
+    n_trades = TD.trades(ev).count()
+    assert m["records_before_filter"] == n_trades
+    assert m["records_removed"] == m["records_before_filter"] - m["records_after_filter"] >= 20  # last 10 per product
+    gold = spark.read.parquet(f"{root}/gold")
+    assert gold.count() == m["records_after_filter"] and len(gold.columns) == 77
