@@ -50,18 +50,24 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only when the cluster named none.
+    """Return the shared checkpoint folder, setting one only when the cluster named none.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; a local fallback is only
-    used when nothing is configured (tests, laptops).
+    used when nothing is configured (tests, laptops). The library writes its intermediate
+    tables there (it never uses RDD checkpoints), so a session without a SparkContext
+    (Spark Connect) only needs the configured path.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext behind this session
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="marketlake-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -96,8 +102,11 @@ def scratch_mark() -> int:
 def drop_scratch_tables(spark: SparkSession, since: int) -> int:
     """Delete the tables :func:`materialize` wrote after ``scratch_mark()`` returned
     ``since`` (tables behind DataFrames built earlier stay); returns how many."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM access: leave the tables for the folder's retention
+        return 0
     n = 0
     while len(_SCRATCH_TABLES) > since:
         p = jvm.org.apache.hadoop.fs.Path(_SCRATCH_TABLES.pop())

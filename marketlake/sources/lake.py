@@ -48,9 +48,17 @@ def text_batch(spark: SparkSession, path: str) -> DataFrame:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the cluster's Hadoop FileSystem (object stores included)."""
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): probe with a read
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return p.getFileSystem(conf).exists(p)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
