@@ -132,12 +132,18 @@ def broadcast_threshold(spark: SparkSession) -> int:
 
 
 def partitions_for(df: DataFrame, target_bytes: int = 256 << 20, max_partitions: int = 200_000) -> int:
-    """Partition count for a shuffle of ``df`` that must not be coalesced by AQE: at least
-    ``spark.sql.shuffle.partitions``, and one per ``target_bytes`` of Catalyst's size
-    estimate (file sizes of the scanned columns; no job runs). An unknown estimate
-    (Spark's default of Long.MaxValue) keeps the configured count."""
-    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partition count for a shuffle of ``df`` that AQE must not coalesce: one per
+    ``target_bytes`` of Catalyst's size estimate (file sizes of the scanned columns; no job
+    runs), never fewer than the cluster's default parallelism (its total task slots), so
+    every core has work and no partition outgrows memory. An unknown estimate (Spark's
+    default of Long.MaxValue) falls back to ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df)
     if size is None:
-        return base
-    return int(min(max(base, -(-size // target_bytes)), max_partitions))
+        return configured
+    try:
+        floor = int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+        floor = configured
+    return int(min(max(floor, -(-size // target_bytes)), max_partitions))

@@ -40,7 +40,7 @@ def test_kafka_options():
 def test_partitions_for_uses_size_estimate(spark):
     from marketlake.session import partitions_for
     ev = TD.load_events(spark, SF_SMALL)
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert partitions_for(ev) == base  # tiny input: the configured count
+    base = spark.sparkContext.defaultParallelism
+    assert partitions_for(ev) == base  # tiny input: one partition per task slot
     assert partitions_for(ev, target_bytes=1) > base  # one partition per estimated byte, capped
     assert partitions_for(ev, target_bytes=1, max_partitions=1000) == 1000
