@@ -6,7 +6,6 @@ import json
 
 import pytest
 from conftest import ticker_rows, trade_rows
-from pyspark.sql import functions as F
 
 from marketlake.operators import bronze as B
 from marketlake.operators import routing as R
@@ -240,4 +239,3 @@ def test_ticker_last_pick_is_deterministic_on_ties(spark):
                                           ("B", "2024-01-01T00:00:10Z", "z", 9.0, 9.0)]))
     r = Q.last_per_bucket(q).collect()[0]
     assert (r["best_bid"], r["best_ask"]) == (2.0, 4.0)
-    assert F is not None
