@@ -239,3 +239,11 @@ def test_ticker_last_pick_is_deterministic_on_ties(spark):
                                           ("B", "2024-01-01T00:00:10Z", "z", 9.0, 9.0)]))
     r = Q.last_per_bucket(q).collect()[0]
     assert (r["best_bid"], r["best_ask"]) == (2.0, 4.0)
+
+
+@pytest.mark.parametrize("quote_join", ["auto", "window"])
+def test_empty_trades(spark, quote_join):
+    t = trade_rows(spark, [])
+    q = ticker_rows(spark, [("BTC-USD", "2024-01-01T00:00:30Z", "i1", 95.0, 96.0)])
+    out = G.build_features(t, q, quote_join=quote_join)
+    assert out.count() == 0 and len(out.columns) == 77
