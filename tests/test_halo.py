@@ -89,3 +89,18 @@ def test_gold_halo_with_quotes_in_exchange_equals_plain_join(spark, chunk_rows):
     bad = [(k, c, plain[k][c], halo[k][c]) for k in plain for c in cols if not _close(plain[k][c], halo[k][c])]
     assert not bad, bad[:5]
     assert sum(1 for r in plain.values() if r["best_bid"] is not None) > 50  # quotes really matched
+
+
+@pytest.mark.parametrize("order_kw", [{"order_by": "trade_time"}, {"numeric_trade_id": True}])
+def test_gold_ordering_options_halo_equals_plain(spark, order_kw):
+    trades, ticker = _random_trades(spark, 1500, seed=5), _random_ticker(spark, 400, seed=6)
+    plain = {r["trade_id"]: r for r in G.build_features(trades, ticker, strategy="plain", apply_filter=False,
+                                                        **order_kw).collect()}
+    halo = {r["trade_id"]: r for r in G.build_features(trades, ticker, chunk_rows=600, num_partitions=3,
+                                                       apply_filter=False, quote_join="window",
+                                                       **order_kw).collect()}
+    assert plain.keys() == halo.keys()
+    cols = list(next(iter(plain.values())).asDict())
+    assert len(cols) == 77
+    bad = [(k, c, plain[k][c], halo[k][c]) for k in plain for c in cols if not _close(plain[k][c], halo[k][c])]
+    assert not bad, bad[:5]
