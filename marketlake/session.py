@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,39 +43,39 @@ def get_session(
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only when the cluster named none.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder; a local fallback is only
-    used when nothing is configured (tests, laptops). The library writes its intermediate
-    tables there (it never uses RDD checkpoints), so a session without a SparkContext
-    (Spark Connect) only needs the configured path.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext behind this session
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the driver and all executors share: the one
+    named in ``spark.checkpoint.dir``, or else the one given to ``setCheckpointDir``. There is
+    no fallback: a folder of one machine's own would lose rows on a cluster."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="marketlake-ckpt-")
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        try:
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext behind this session
+            configured = None
+    if not configured:
+        raise ValueError("no shared folder: name one in spark.checkpoint.dir")
+    return configured.rstrip("/")
+
+
+def use_local_folder(spark: SparkSession, folder: str | None = None) -> str:
+    """For tests and single-machine runs: use ``folder`` (default: a new temporary one) where
+    the session names none. Refuses on a cluster, whose executors would not see it."""
+    try:
+        return shared_folder(spark)
+    except ValueError:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise
+    spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="marketlake-"))
+    return shared_folder(spark)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint location for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base.rstrip("/"), "marketlake-scratch", name)
-    return path
+    return f"{shared_folder(spark)}/marketlake-scratch/{name}"
 
 
 _SCRATCH_TABLES: list[str] = []

@@ -14,9 +14,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from marketlake.session import get_session
+    from marketlake.session import get_session, use_local_folder
 
     s = get_session("local[4]", app_name="marketlake-tests", shuffle_partitions=8)
+    use_local_folder(s)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -13,7 +13,9 @@ import __spark_entry__ as E
 
 from tools.oracle_check import TABLES, _digest  # noqa: E402
 
-QUERIES = E.queries()
+from marketlake.plans.queries import QUERIES as OWN  # noqa: E402
+
+QUERIES = {name: fn for name, fn in E.queries().items() if name in OWN}
 ORACLES = E.oracle_sql()
 
 
