@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, token_counts
-from marketlake.llm.tables import read
+from marketlake.llm import bpe, chat_format, exact_dedup, token_counts
+from marketlake.llm.tables import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,49 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(read(spark, sf_dir, "documents"), Scratch(spark, "op5"))
+
+
+ORACLES["op5_exact_dedup"] = r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)"""
+
+
+@query
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marker = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-1, 0, "user", marker), (-1, 1, "assistant", marker)], rows.schema)
+    chats = chat_format.format_chats(rows.unionByName(planted))
+    turns = chat_format.read_back(F.col("formatted"))
+    loss = F.array_join(chat_format.trained_texts(F.col("pieces"), F.col("mask")), "")
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.withColumns({"turns": turns, "loss": loss}).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+_CONTROL = r"([<\[])(\\*)(\||/?s>|<SYS>>|</SYS>>|/?INST\])"
+ORACLES["op8_chat_format"] = f"""
+WITH rows_ AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+ e AS (SELECT *, regexp_replace(role, '{_CONTROL}', '\\1\\\\\\2\\3', 'g') AS er, regexp_replace(text, '{_CONTROL}', '\\1\\\\\\2\\3', 'g') AS et FROM rows_),
+ r AS (SELECT *, lag(role) OVER w IS DISTINCT FROM role AS opens, lead(role) OVER w IS DISTINCT FROM role AS closes
+       FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, er, et))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, er, et)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, er, et) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(et) + CASE WHEN opens THEN 16 + length(er) ELSE 0 END + CASE WHEN closes THEN 7 ELSE 8 END) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id"""
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
