@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, chat_format, exact_dedup, html_text, simhash, token_counts
+from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, simhash, token_counts
 from marketlake.llm.tables import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,31 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    found = decontamination.decontaminate(docs, items, Scratch(spark, "op4"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS = r"string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g')), ' ')"
+ORACLES["op4_decontamination"] = f"""
+WITH d AS (SELECT doc_id, CASE WHEN w = [''] THEN [] ELSE w END AS w FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+ i AS (SELECT item_id, w, least(len(w), 10) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE w <> ['']),
+ iw AS (SELECT DISTINCT item_id, k, array_to_string(w[s:s + k - 1], ' ') AS words
+        FROM (SELECT item_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s FROM i)),
+ ks AS (SELECT DISTINCT k FROM i),
+ dw AS (SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS words
+        FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s FROM d, ks WHERE len(w) >= k)),
+ hits AS (SELECT doc_id, item_id, s, dw.k FROM dw JOIN iw USING (k, words)),
+ n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(s, s + k - 1)) AS p FROM hits) GROUP BY doc_id),
+ it AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"), Scratch(spark, "op5"))
