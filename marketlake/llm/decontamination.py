@@ -58,7 +58,7 @@ def _blocks(table: DataFrame, key: str, block_rows: int) -> list[DataFrame]:
 
 def rarity(docs: DataFrame, vocabulary: DataFrame, block_rows: int, text_col: str) -> DataFrame:
     """(token, n): how often each word of the benchmark stands in the documents."""
-    every = docs.select(F.explode(_words(column(text_col))).alias("raw")).select(_lower(F.col("raw")).alias("token"))
+    every = docs.select(F.explode_outer(_words(column(text_col))).alias("raw")).select(_lower(F.col("raw")).alias("token"))
     parts = [every.join(block, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
              for block in _blocks(vocabulary, "token", block_rows)]
     return reduce(DataFrame.unionByName, parts)
@@ -79,7 +79,7 @@ def index_windows(wins: DataFrame, counts: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, index: DataFrame, block_rows: int, text_col: str, keys: list[str]) -> DataFrame:
     """(``keys``, s, k, words): every place of every window in the documents."""
-    placed = docs.select(*keys, _words(column(text_col)).alias("w")).select(*keys, "w", F.posexplode("w").alias("p", "raw"))
+    placed = docs.select(*keys, _words(column(text_col)).alias("w")).select(*keys, "w", F.posexplode_outer("w").alias("p", "raw"))
     probes = placed.select(*keys, "w", "p", _lower(F.col("raw")).alias("token"))
     first = F.col("p") - F.col("at")
     parts = []

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, simhash, token_counts
+from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, line_dedup, simhash, token_counts
 from marketlake.llm.tables import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op2"))
+    return found.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_dedup(read(spark, sf_dir, "documents"), Scratch(spark, "op3"))
