@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, line_dedup, simhash, token_counts
+from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, line_dedup, quality, simhash, token_counts
 from marketlake.llm.tables import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,12 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", *(F.round(c, 6).alias(c) for c in ("p_text", "p_meta", "score")), "keep")
+
+
 @query
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
