@@ -8,7 +8,7 @@ unlabelled pool. At last the calibrated scores of both views are combined by a s
 model fitted on the held-out rows, and every document is scored.
 
 Only the fit is bounded: ``max_labelled`` and ``max_unlabelled`` documents, those with the
-smallest hashes of their ids, whose features (4 kB each) go to the driver. Features and scores
+smallest hashes of their ids, whose features (4.4 kB each) go to the driver. Features and scores
 of all documents are computed map-only, over whole texts, block by block.
 
 Several labels of one id count by their mean (0.5 and more is good); null labels and ids
@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -30,20 +31,27 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.tables import column
 
-TEXT_DIMS, META_DIMS = 1024, 64
+_BUCKETS = 1024
+TEXT_DIMS, META_DIMS = _BUCKETS + 3, 64
 _BLOCK = 1 << 20
 
 
 def text_features(text: str | None) -> np.ndarray:
-    """Square roots of the shares of hashed byte trigrams: a vector of length one."""
+    """Square roots of the shares of hashed byte trigrams, how concentrated they are, and the
+    shares of words that repeat the word before or any earlier one."""
     data = np.frombuffer((text or "").encode(), np.uint8)
-    counts = np.zeros(TEXT_DIMS)
+    counts = np.zeros(_BUCKETS)
     for at in range(0, max(0, len(data) - 2), _BLOCK):
         part = data[at:at + _BLOCK + 2].astype(np.uint32)
         codes = (part[:-2] * np.uint32(0x9E3779B1) ^ part[1:-1] * np.uint32(0x85EBCA6B) ^ part[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(22)
-        counts += np.bincount(codes, minlength=TEXT_DIMS)
-    total = counts.sum()
-    return np.sqrt(counts / total).astype(np.float32) if total else np.zeros(TEXT_DIMS, np.float32)
+        counts += np.bincount(codes, minlength=_BUCKETS)
+    out = np.zeros(TEXT_DIMS, np.float32)
+    if total := counts.sum():
+        out[:_BUCKETS] = np.sqrt(counts / total)
+        words = (text or "").split()
+        n = max(1, len(words))
+        out[_BUCKETS:] = np.square(counts / total).sum() ** 0.5, sum(map(eq, words, words[1:])) / n, 1 - len(set(words)) / n
+    return out
 
 
 def meta_features(text: str | None, lang: str | None, source: str | None, n_chars: float | None) -> np.ndarray:
@@ -61,10 +69,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 300) -> np.ndarray:
-    """Weights (the last one is the intercept) by accelerated gradient descent."""
-    x = np.column_stack([x, np.ones(len(x))])
-    rate = 1 / (0.25 * (x ** 2).sum(1).mean() * 1.0 + l2)
+def _logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 400) -> np.ndarray:
+    """Weights (the last one is the intercept) by accelerated gradient descent on centred rows."""
+    mean = x.mean(0)
+    scale = np.sqrt(np.square(x - mean).sum(1).mean()) + 1e-9
+    w = _descend(np.column_stack([(x - mean) / scale, np.ones(len(x))]), y, l2, steps)
+    return np.r_[w[:-1] / scale, w[-1] - mean @ w[:-1] / scale]
+
+
+def _descend(x: np.ndarray, y: np.ndarray, l2: float, steps: int) -> np.ndarray:
+    rate = 1 / (0.25 * np.square(x).sum(1).mean() + l2)
     w = v = np.zeros(x.shape[1])
     penalty = np.r_[np.full(x.shape[1] - 1, l2), 0.0]
     for k in range(steps):
@@ -117,7 +131,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray
         weights, calibrations = [], []
         for x, own in zip(views, labels, strict=True):
             rows = ~np.isnan(own)
-            weights.append(_logistic(x[rows].astype(np.float64), own[rows], 1e-4))
+            weights.append(_logistic(x[rows].astype(np.float64), own[rows], 2e-5))
             calibrations.append(_calibration(x[check] @ weights[-1][:-1] + weights[-1][-1], y[check]))
         model = Model(tuple(weights), tuple(calibrations), None)
         z = model.logits(text, meta)
@@ -181,7 +195,7 @@ def score(model: Model) -> Column:
     return scored("text", "lang", "source", "n_chars")
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.4, **options) -> DataFrame:
     """``docs`` with ``p_text``, ``p_meta``, ``score`` and ``keep`` (score of ``threshold`` or more)."""
     own = ("p_text", "p_meta", "score", "keep")
     found = docs.select(*(column(c) for c in docs.columns if c.lower() not in own), score(fit(docs, labels, **options)).alias("keep"))
