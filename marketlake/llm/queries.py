@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, line_dedup, quality, simhash, token_counts
+from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, line_dedup, quality, simhash, substring_dedup, token_counts
 from marketlake.llm.tables import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +126,13 @@ SELECT conv_id, count(*) AS n_turns,
 FROM r GROUP BY conv_id"""
 
 
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
