@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.llm.tables import Scratch, column
+from marketlake.llm.tables import Scratch, column, fresh
 
 _NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -129,7 +129,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch, id_col: s
 
 def keep_clean(docs: DataFrame, items: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones; all columns as they were."""
-    hits = scratch.write(find(docs, items, scratch, id_col=id_col, text_col=text_col, **options).select("id", "body"), "found")
-    found = hits.select(F.col("id").alias("hit_id"), F.col("body").alias("hit_body")).alias("hit")
-    same = column(id_col).eqNullSafe(F.col("hit.hit_id")) & (F.xxhash64(column(text_col)) == F.col("hit.hit_body"))
-    return docs.join(found, same, "left_anti")
+    names = [fresh(docs, n) for n in ("hit_id", "hit_body")]
+    found = find(docs, items, scratch, id_col=id_col, text_col=text_col, **options).select("id", "body").toDF(*names)
+    hits = scratch.write(found, "found")
+    same = column(id_col).eqNullSafe(column(names[0])) & (F.xxhash64(column(text_col)) == column(names[1]))
+    return docs.join(hits, same, "left_anti")
