@@ -1,6 +1,6 @@
 """Incremental silver loads with an ingest high-water mark.
 
-The mark is a one-row JSON table ``{"last_ingest_ts": ...}`` in a state folder. A load
+The mark is the greatest row of a small JSON table ``{"last_ingest_ts": ...}`` in a state folder. A load
 reads the mark, keeps bronze rows with ``ingest_ts`` strictly greater (string order of
 ISO-8601 UTC text; pushed down to the Parquet scan), appends the transformed increment and
 then advances the mark to the increment's maximum. The append and the mark are not atomic
@@ -16,26 +16,42 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake import schemas as S
-from marketlake.sources.lake import path_exists, write_table
+from marketlake.session import delete_path
+from marketlake.sources.lake import data_files, path_exists, write_table
 
 
 def read_mark(spark: SparkSession, state_dir: str) -> str | None:
-    """The stored mark, or None when no mark was written yet."""
+    """The greatest stored mark, or None when no mark was written yet. A state folder
+    without any mark file is an error: taking it for a first run would load all of bronze again."""
     if not path_exists(spark, state_dir):
         return None
-    rows = spark.read.schema(S.MARK_SCHEMA).json(state_dir).limit(1).collect()
-    return rows[0]["last_ingest_ts"] if rows else None
+    row = spark.read.schema(S.MARK_SCHEMA).json(state_dir).agg(F.max("last_ingest_ts").alias("mark"), F.count(F.lit(1)).alias("n")).first()
+    if not row["n"]:
+        raise ValueError(f"{state_dir} holds no mark; delete the folder to load everything again")
+    return row["mark"] or None
 
 
 def write_mark(spark: SparkSession, state_dir: str, value: str) -> None:
-    """Replace the stored mark (one small JSON file)."""
-    spark.createDataFrame([(value,)], S.MARK_SCHEMA).coalesce(1).write.mode("overwrite").json(state_dir)
+    """Add a marker file, then remove the older ones. Marks only grow and the greatest
+    counts, so a crash at any point leaves the old mark or the new one."""
+    old = data_files(spark, state_dir)
+    spark.createDataFrame([(value,)], S.MARK_SCHEMA).coalesce(1).write.mode("append").json(state_dir)
+    for path in old:
+        delete_path(spark, path)
 
 
 def increment(df: DataFrame, mark: str | None, col: str = "ingest_ts") -> DataFrame:
     """Rows strictly after the mark; everything when there is no mark. Rows with
-    NULL ``ingest_ts`` never pass once a mark exists."""
-    return df if mark is None else df.filter(F.col(col) > F.lit(mark))
+    NULL ``ingest_ts`` never pass once a mark exists. Where bronze is partitioned by
+    ``ingest_date``, folders more than a day before the mark are not read: stamps compare as
+    text, and a stamp's UTC date is at most a day before its text's."""
+    if mark is None:
+        return df
+    after = F.col(col) > F.lit(mark)
+    if "ingest_date" in df.columns:
+        day = F.date_sub(F.lit(mark[:10]).try_cast("date"), 1)
+        after = after & (F.col("ingest_date").isNull() | day.isNull() | (F.col("ingest_date") >= day))
+    return df.filter(after)
 
 
 def max_mark(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
@@ -51,23 +67,21 @@ def incremental_append(
     state_dir: str,
     partition_by: Sequence[str] = S.SILVER_PARTITIONS,
     col: str = "ingest_ts",
+    write: Callable[[DataFrame], None] | None = None,
 ) -> dict:
     """One incremental load. Returns ``{"written", "previous_mark", "mark"}``.
 
-    D3: an empty increment writes nothing and keeps the mark. The new mark is observed
-    during the write job itself (an ``Observation`` on the increment, before any unnest,
-    so dropped messages still count), instead of a third scan. A NULL maximum leaves the
-    stored mark unchanged.
+    D3: an empty increment adds no rows and keeps the mark. Emptiness and the new mark are
+    observed during the one write job (an ``Observation`` on the increment, before any
+    unnest, so dropped messages still count); bronze is scanned once. A NULL maximum leaves
+    the stored mark unchanged. ``write`` replaces the plain append of the transformed rows.
     """
     mark = read_mark(spark, state_dir)
-    inc = increment(bronze, mark, col)
-    if inc.isEmpty():
-        return {"written": False, "previous_mark": mark, "mark": mark}
     obs = Observation("ingest_mark")
-    observed = inc.observe(obs, F.max(col).alias("last_ingest_ts"), F.count(F.lit(1)).alias("rows"))
-    write_table(transform(observed), sink_path, partition_by, mode="append")
+    observed = increment(bronze, mark, col).observe(obs, F.max(col).alias("last_ingest_ts"), F.count(F.lit(1)).alias("rows"))
+    (write or (lambda df: write_table(df, sink_path, partition_by, mode="append")))(transform(observed))
     new_mark = obs.get.get("last_ingest_ts")
     if new_mark is not None:
         write_mark(spark, state_dir, new_mark)
-    return {"written": True, "previous_mark": mark, "mark": new_mark if new_mark is not None else mark,
-            "bronze_rows": obs.get.get("rows")}
+    return {"written": obs.get["rows"] > 0, "previous_mark": mark, "mark": new_mark if new_mark is not None else mark,
+            "bronze_rows": obs.get["rows"]}

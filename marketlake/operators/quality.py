@@ -3,23 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _no_key(keys: Sequence[str]) -> Column:
+    return reduce(or_, (F.col(k).isNull() for k in keys))
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per ``keys`` group: the first by ``order`` (then by every other column, so the
-    pick is deterministic). Rows with a NULL key part are not duplicates of anything and
-    bypass the window: a huge NULL group never lands in one task. The ``= 1`` filter lets
-    Catalyst insert a partial group limit before the shuffle."""
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in (*order, *rest)])
-    keyed = df.filter(has_key).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-    return keyed.unionByName(df.filter(~has_key))
+    """One row per ``keys`` group: the first by ``order``, then by a hash of the row (equal rows
+    are interchangeable). Rows with a NULL key part are not duplicates of anything: all stay,
+    and a salt spreads them, so a huge NULL group never lands in one task. One pass."""
+    salt = F.when(_no_key(keys), F.monotonically_increasing_id() % 4096)
+    w = Window.partitionBy(*keys, "_salt").orderBy(*[F.col(c).asc_nulls_last() for c in order], "_hash")
+    plain = [c for c, kind in df.dtypes if not kind.startswith("map")]
+    ranked = df.withColumns({"_salt": salt, "_hash": F.xxhash64(*plain)}).withColumn("_rn", F.row_number().over(w))
+    return ranked.filter((F.col("_rn") == 1) | F.col("_salt").isNotNull()).drop("_rn", "_salt", "_hash")
+
+
+def not_stored(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not among the ``stored`` ones; rows with a NULL key part stay.
+    Only the key columns of ``stored`` are read."""
+    return df.join(stored.select(*keys).where(~_no_key(keys)), list(keys), "left_anti")
 
 
 def dedup_trades(df: DataFrame, by: Sequence[str] = ("product_id", "trade_id")) -> DataFrame:

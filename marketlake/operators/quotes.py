@@ -29,7 +29,7 @@ def last_per_bucket(
     to chance). One aggregation with a partial (map-side) step: each task ships at most one
     row per group into the shuffle, whatever the number of ticker rows.
     """
-    t = ticker.withColumn(bucket_col, bucket_time(unit, ts))
+    t = ticker.where(F.col(ts).isNotNull()).withColumn(bucket_col, bucket_time(unit, ts))
     order = F.struct(*[F.col(c) for c in (ts, *tiebreak, *values)])
     picked = t.groupBy(*keys, bucket_col).agg(
         F.max_by(F.struct(*[F.col(v) for v in values]), order).alias("_q")
@@ -44,18 +44,15 @@ def attach_quotes(
     ts: str = "event_ts_dt",
     keys: Sequence[str] = ("product_id",),
     bucket_col: str = "minute_ts",
-    broadcast: bool = False,
 ) -> DataFrame:
     """Left-join each trade to the quote row of its (key, bucket); trade rows are kept 1:1.
 
     Join strategy is left to AQE: it broadcasts the quote side when its measured size is
     under ``spark.sql.autoBroadcastJoinThreshold`` and sort-merges otherwise (quote rows
-    grow with products x buckets). ``broadcast=True`` forces the hint for callers that have
-    bounded the quote side themselves.
+    grow with products x buckets).
     """
     left = trades.withColumn(bucket_col, bucket_time(unit, ts))
-    right = F.broadcast(quotes) if broadcast else quotes
-    return left.join(right, on=[*keys, bucket_col], how="left").drop(bucket_col)
+    return left.join(quotes, on=[*keys, bucket_col], how="left").drop(bucket_col)
 
 
 def quotes_by_chunk(

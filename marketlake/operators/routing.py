@@ -41,12 +41,14 @@ def route_messages(
     Drops text that is not a JSON object with a channel (B1), channels other than ticker and
     market_trades (B2), messages without a non-empty product id (B4); stamps ``ingest_ts``
     (B5, one value per micro-batch; pass a literal for reproducible runs) and ``source``
-    (B6); picks the topic by channel (B7) and re-serialises the message (B8: fields outside
-    the declared message layout are not carried). ``products`` restricts to a subscription
-    set (B9).
+    (B6); picks the topic by channel (B7) and sends the whole document with these two fields
+    (B8), unknown fields and explicit nulls included. ``products`` restricts to a
+    subscription set (B9).
     """
     stamp = utc_now_iso() if ingest_ts is None else (F.lit(ingest_ts) if isinstance(ingest_ts, str) else ingest_ts)
-    parsed = raw.select(F.from_json(F.col(value_col).cast("string"), S.ANY_MESSAGE).alias("m"))
+    text = F.col(value_col).cast("string")
+    # read by its declared layout to decide, and field by field as it is to send
+    parsed = raw.select(F.from_json(text, S.ANY_MESSAGE).alias("m"), F.from_json(text, "map<string, variant>").alias("document"))
     pid = first_product_id("m")
     topic = None
     for channel, name in topics.items():
@@ -56,11 +58,9 @@ def route_messages(
             .filter(F.length("product_id") > 0))
     if products is not None:
         kept = kept.filter(F.col("product_id").isin(*products))
-    msg = F.struct(
-        *[F.col(f"m.{f.name}") for f in S.ANY_MESSAGE.fields if f.name not in ("ingest_ts", "source")],
-        stamp.alias("ingest_ts"),
-        F.lit(source).alias("source"),
-    )
+    stamps = {"ingest_ts": stamp, "source": F.lit(source)}
+    msg = F.map_concat(F.map_filter("document", lambda name, _: ~name.isin(*stamps)),
+                       F.create_map(*(x for name, value in stamps.items() for x in (F.lit(name), value.cast("variant")))))
     return kept.select(
         topic.alias("topic"),
         F.col("product_id").alias("key"),

@@ -81,9 +81,10 @@ def trade_features(
             h = h.withColumn("minute_ts", bucket_time(unit, "event_ts_dt")).withColumn("_is_quote", F.lit(False))
             h = h.unionByName(Q.quotes_by_chunk(idx, quotes, chunk_rows, unit, keys), allowMissingColumns=True)
             part.append("_is_quote")  # quote rows never enter the trade frames
-        # Explicit partition count: window work is CPU-heavy per byte, so AQE must not
-        # coalesce this exchange by size; chunks spread evenly over ``n`` tasks.
-        h = h.repartition(n, *keys, "_chunk")
+        # Explicit partition count: window work is CPU-heavy per byte, so AQE must not coalesce
+        # this exchange by size. Ranges of (product, chunk) give every task about the same rows
+        # and keep a product's neighbouring chunks together for the partitioned write.
+        h = h.repartitionByRange(n, *keys, "_chunk")
         cols = W.window_columns(W.halo_window(part), with_leads)
         if quotes is not None:
             cols += Q.chunk_quote_columns(keys)
@@ -144,7 +145,6 @@ def build_features(
     num_partitions: int | None = None,
     unit: str = "minute",
     apply_filter: bool = True,
-    broadcast_quotes: bool = False,
     index_col: str | None = None,
     order_by: str = "event_ts",
     numeric_trade_id: bool = False,
@@ -156,27 +156,26 @@ def build_features(
     ``quote_join="window"`` (halo only) attaches the last quote of each minute inside the
     halo exchange, so the trades are not shuffled a third time for the join; ``"join"`` is
     a left join (AQE: broadcast when the measured quote side is small, else sort-merge);
-    ``"auto"`` broadcasts when the estimated quote side is under the broadcast threshold
-    and uses ``"window"`` otherwise."""
+    ``"auto"`` is ``"join"`` when the estimated quote side is under the broadcast threshold
+    and ``"window"`` otherwise. No hint is given: AQE decides by the measured size."""
     trade_cols = trades.columns
     t, order = trade_order(parse_times(trades), order_by, numeric_trade_id)
     q = parse_times(ticker.select("product_id", "event_ts", "ingest_ts", *Q.QUOTE_COLUMNS))
     quotes = Q.last_per_bucket(q, unit=unit)
     if quote_join == "auto":
-        # Broadcast the quote side only behind a size check: Catalyst's estimate (an upper
-        # bound: the scanned ticker columns) under the broadcast threshold. Beyond it, the
-        # quotes travel to the trades' halo partitions instead of the trades to a join.
+        # Catalyst's estimate comes from compressed files, so it only picks the plan. Where the
+        # quotes look large they travel to the trades' halo partitions instead of the trades
+        # to a join.
         size, limit = estimated_bytes(quotes), broadcast_threshold(trades.sparkSession)
         small = size is not None and 0 <= size <= limit
         quote_join = "join" if (small or strategy != "halo") else "window"
-        broadcast_quotes = broadcast_quotes or small
     if strategy == "halo" and quote_join == "window":
         joined = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
                                 index_col=index_col, order=order, quotes=quotes, unit=unit)
     elif quote_join in ("join", "window"):
         feats = trade_features(t, strategy=strategy, chunk_rows=chunk_rows, num_partitions=num_partitions,
                                index_col=index_col, order=order)
-        joined = Q.attach_quotes(feats, quotes, unit=unit, broadcast=broadcast_quotes)
+        joined = Q.attach_quotes(feats, quotes, unit=unit)
     else:
         raise ValueError(f"unknown quote_join {quote_join!r}")
     cols = feature_columns(trade_cols) + ([index_col] if index_col else [])

@@ -9,15 +9,19 @@ Each takes a session and paths; none holds data on the driver. Typical wiring:
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from marketlake import schemas as S
 from marketlake.operators import bronze as B
 from marketlake.operators import incremental as I
+from marketlake.operators import quality as DQ
 from marketlake.operators import silver as SV
 from marketlake.plans import features as G
-from marketlake.session import drop_scratch_tables, scratch_mark
+from marketlake.session import materialize, scratch_scope
 from marketlake.sources import lake as L
 
 BRONZE_SCHEMAS = {"trades": S.BRONZE_TRADES, "ticker": S.BRONZE_TICKER}
@@ -25,16 +29,65 @@ SILVER_SCHEMAS = {"trades": S.SILVER_TRADES, "ticker": S.SILVER_TICKER}
 SILVER_FNS = {"trades": SV.silver_trades, "ticker": SV.silver_ticker}
 
 
-def bronze_batch_job(spark: SparkSession, raw_path: str, kind: str, bronze_path: str) -> None:
-    """Batch form of C11/C12 (e.g. replaying archived topic files): append to bronze."""
+# the columns that identify a row of each table
+SILVER_KEYS = {"trades": ("product_id", "trade_id"), "ticker": ("product_id", "sequence_num")}
+
+
+def bronze_batch_job(spark: SparkSession, raw_path: str, kind: str, bronze_path: str, ingest_date: bool = False) -> None:
+    """Batch form of C11/C12 (e.g. replaying archived topic files): append to bronze, with J6
+    partitioned by ``ingest_date`` first, so that silver loads read recent folders only."""
     fn = B.bronze_trades if kind == "trades" else B.bronze_ticker
-    L.write_table(fn(L.text_batch(spark, raw_path)), bronze_path, S.BRONZE_PARTITIONS, mode="append")
+    parts = [*(["ingest_date"] if ingest_date else []), *S.BRONZE_PARTITIONS]
+    L.write_table(fn(L.text_batch(spark, raw_path), ingest_date=ingest_date), bronze_path, parts, mode="append")
+
+
+def read_bronze(spark: SparkSession, kind: str, path: str, ingest_date: bool = False) -> DataFrame:
+    schema = BRONZE_SCHEMAS[kind]
+    return L.read_table(spark, path, StructType([*schema.fields, StructField("ingest_date", DateType())]) if ingest_date else schema)
+
+
+def new_rows(spark: SparkSession, rows: DataFrame, kind: str, silver_path: str, load_id: str) -> DataFrame:
+    """One copy of each key, and none that another load has stored already."""
+    first = DQ.keep_first(rows, SILVER_KEYS[kind], ("ingest_ts",))
+    if not L.path_exists(spark, silver_path) or not L.has_data(spark, silver_path):
+        return first
+    return DQ.not_stored(first, spark.read.parquet(silver_path).where(F.col("load_id") != load_id), SILVER_KEYS[kind])
+
+
+def store_load(spark: SparkSession, rows: DataFrame, kind: str, silver_path: str, load_id: str) -> None:
+    """Add a deduplicated load to silver under its own ``load_id`` folders. A replay of the load
+    replaces them, so it changes nothing, rows without a key included."""
+    out = new_rows(spark, rows, kind, silver_path, load_id).withColumn("load_id", F.lit(load_id))
+    L.write_table(out, silver_path, [*S.SILVER_PARTITIONS, "load_id"], mode="overwrite", dynamic_overwrite=True)
+
+
+def silver_job(spark: SparkSession, kind: str, bronze_path: str, silver_path: str, state_dir: str, dedup: bool = False,
+               validate: bool = False, quarantine_path: str | None = None, ingest_date: bool = False) -> dict:
+    """Incremental load of new bronze rows into silver.
+
+    ``dedup`` (J1, J2) drops rows whose key silver holds already, whenever they arrive; silver
+    is then also partitioned by ``load_id`` (from the mark the load started at). ``validate``
+    (J3, trades) sends rows that fail a check to ``quarantine_path`` with the reasons; the
+    increment is written once to the shared folder and both tables are filled from there.
+    ``ingest_date``: bronze is partitioned by it (J6) and pruned by the mark (D1)."""
+    if validate and not quarantine_path:
+        raise ValueError("validate needs a quarantine_path")
+    transform = (lambda df: SV.silver_ticker(df, keep_sequence=True)) if dedup and kind == "ticker" else SILVER_FNS[kind]
+    load_id = hashlib.sha1(str(I.read_mark(spark, state_dir)).encode()).hexdigest()[:12]
 
+    def write(rows: DataFrame) -> None:
+        if validate:
+            checked = materialize(DQ.validate(rows), "silver-checked")
+            bad = checked.filter(~F.col("dq_valid")).drop("dq_valid").withColumn("load_id", F.lit(load_id))
+            L.write_table(bad, quarantine_path, ["load_id"], mode="overwrite", dynamic_overwrite=True)
+            rows = checked.filter("dq_valid").drop("dq_reasons", "dq_valid")
+        if dedup:
+            store_load(spark, rows, kind, silver_path, load_id)
+        else:
+            L.write_table(rows, silver_path, S.SILVER_PARTITIONS, mode="append", rebalance=True)
 
-def silver_job(spark: SparkSession, kind: str, bronze_path: str, silver_path: str, state_dir: str) -> dict:
-    """Incremental load of new bronze rows into silver."""
-    bronze = L.read_table(spark, bronze_path, BRONZE_SCHEMAS[kind])
-    return I.incremental_append(spark, bronze, SILVER_FNS[kind], silver_path, state_dir)
+    with scratch_scope(spark):
+        return I.incremental_append(spark, read_bronze(spark, kind, bronze_path, ingest_date), transform, silver_path, state_dir, write=write)
 
 
 def gold_job(spark: SparkSession, trades_path: str, ticker_path: str, gold_path: str,
@@ -44,15 +97,15 @@ def gold_job(spark: SparkSession, trades_path: str, ticker_path: str, gold_path:
     itself, not by extra count() jobs."""
     trades = L.read_table(spark, trades_path, S.SILVER_TRADES)
     ticker = L.read_table(spark, ticker_path, S.SILVER_TICKER)
-    mark = scratch_mark()
-    unfiltered = G.build_features(trades, ticker, apply_filter=False, **feature_kw)
     obs = Observation("gold_counts")
     keep = F.col("ma_500_trades").isNotNull() & F.col("target_return_10").isNotNull()
-    observed = unfiltered.observe(obs, F.count(F.lit(1)).alias("records_before_filter"),
-                                  F.count(F.when(keep, F.lit(1))).alias("records_after_filter"))
-    L.write_table(G.final_filter(observed), gold_path, S.GOLD_PARTITIONS, mode="overwrite",
-                  dynamic_overwrite=dynamic_overwrite)
-    drop_scratch_tables(spark, mark)  # the materialized row index is no longer needed
+    with scratch_scope(spark):  # deletes the row index of this job, also when the write fails
+        unfiltered = G.build_features(trades, ticker, apply_filter=False, **feature_kw)
+        observed = unfiltered.observe(obs, F.count(F.lit(1)).alias("records_before_filter"),
+                                      F.count(F.when(keep, F.lit(1))).alias("records_after_filter"))
+        L.write_table(G.final_filter(observed), gold_path, S.GOLD_PARTITIONS, mode="overwrite",
+                      dynamic_overwrite=dynamic_overwrite)
     m = dict(obs.get)
     m["records_removed"] = m["records_before_filter"] - m["records_after_filter"]
-    return m
+    # counts without columns: answered from the files' footers
+    return m | {"input_trades": trades.count(), "input_ticker": ticker.count()}

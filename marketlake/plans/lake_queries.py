@@ -152,6 +152,25 @@ def route_messages(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register("route_whole_message", _with(False, """
+SELECT CASE channel_x WHEN 'ticker' THEN 'crypto.ticker.raw' ELSE 'crypto.trades.raw' END AS topic, product_x AS key,
+       strftime(t, '%Y-%m-%dT%H:%M:%SZ') AS msg_timestamp, MIN(event_id) AS sequence_num, '{"n":[1,"1"]}' AS extra, TRUE AS note_kept
+FROM ev WHERE product_x = 'BTC-USD' GROUP BY channel_x, product_x, t, msg_x"""))
+def route_whole_message(spark: SparkSession, d: str) -> DataFrame:
+    """Messages as bytes, with an unknown field and an explicit null (B8, C1), among copies with a
+    foreign channel (B2) and with an empty product id (B4); one product is subscribed (B9)."""
+    raw = _raw(spark, d, None)
+    foreign = raw.select(F.regexp_replace("value", '"channel":"[a-z_]+"', '"channel":"heartbeats"').alias("value"))
+    unnamed = raw.select(F.regexp_replace("value", '"product_id":"[^"]*"', '"product_id":""').alias("value"))
+    marked = F.regexp_replace("value", r"^\{", '{"extra":{"n":[1,"1"]},"note":null,')
+    every = raw.unionByName(foreign).unionByName(unnamed).select(marked.cast("binary").alias("value"))
+    routed = R.route_messages(every, ingest_ts=ROUTE_STAMP, products=("BTC-USD",))
+    v = F.col("value")
+    return routed.select("topic", "key", F.get_json_object(v, "$.timestamp").alias("msg_timestamp"),
+                         F.get_json_object(v, "$.sequence_num").cast("bigint").alias("sequence_num"),
+                         F.get_json_object(v, "$.extra").alias("extra"), F.contains(v, F.lit('"note":null')).alias("note_kept"))
+
+
 # ---------------------------------------------------------------- bronze (C*)
 
 @register("bronze_trades_flatten", _with(False, bronze_trades_sql(True, False)))
@@ -261,9 +280,8 @@ SELECT DISTINCT channel, event_ts, source, event_type, event_hour, trade_id, pri
        event_date, product_id
 FROM ({bronze_trades_sql(False, True, 'event_ts')}) b"""))
 def silver_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Bronze files (with one-hour-late duplicate messages) -> silver stream with
-    dropDuplicatesWithinWatermark on (product_id, trade_id); the checkpoint makes reruns
-    exactly-once. ``ingest_ts`` is left out of the result: which copy survives is the
+    """Bronze files (with one-hour-late duplicate messages) -> silver stream deduplicated on
+    (product_id, trade_id) against what is stored; the checkpoint makes reruns exactly-once. ``ingest_ts`` is left out of the result: which copy survives is the
     first to arrive."""
     root = _scratch(spark, "silver-stream")
     bronze = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True))
@@ -283,15 +301,47 @@ SELECT DISTINCT channel, event_ts, source, event_hour, price, volume_24h, low_24
 FROM ({silver_ticker_sql(False, True, "'' AS client_id, seq AS sequence_num,")}) s"""))
 def silver_ticker_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """J2 stream form: ticker bronze files with one-hour-late duplicate messages -> silver
-    stream deduplicated on (product_id, sequence_num) within the watermark."""
+    stream deduplicated on (product_id, sequence_num), several micro-batches."""
     root = _scratch(spark, "silver-ticker-stream")
     bronze = B.bronze_ticker(_raw(spark, d, S.CHANNEL_TICKER, malformed=False, dups=True))
     L.write_table(bronze, f"{root}/bronze", S.BRONZE_PARTITIONS)
     q = ST.start_silver(spark, f"{root}/bronze", "ticker", f"{root}/silver", f"{root}/ckpt",
-                        available_now=True, dedup=True)
+                        available_now=True, dedup=True, max_files=40)
     ST.run_until_idle(q)
     out = spark.read.parquet(f"{root}/silver")
-    return out.select(*[c for c in out.columns if c != "ingest_ts"])
+    return out.select(*[c for c in out.columns if c not in ("ingest_ts", "load_id")])
+
+
+_DEDUPED_TRADES = f"""
+SELECT DISTINCT channel, event_ts, source, event_type, event_hour, trade_id, price, size, trade_time, side, event_date, product_id
+FROM ({bronze_trades_sql(False, True, 'event_ts')}) b"""
+
+
+@register("silver_stream_dedup_late", _with(True, _DEDUPED_TRADES))
+def silver_stream_dedup_late(spark: SparkSession, d: str) -> DataFrame:
+    """Three runs of the stream: the newest half of bronze, then the re-sent messages, then the
+    oldest half, all of it weeks late. Late rows stay, re-sent ones go, whenever they come."""
+    root = _scratch(spark, "silver-late")
+    bronze = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True))
+    sent_again = F.col("ingest_ts") > F.date_format(F.to_timestamp("timestamp") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")
+    for part in (bronze.where(F.col("ingest_ts") > MARK).where(~sent_again), bronze.where(sent_again),
+                 bronze.where(F.col("ingest_ts") <= MARK).where(~sent_again)):
+        L.write_table(part, f"{root}/bronze", S.BRONZE_PARTITIONS)
+        ST.run_until_idle(ST.start_silver(spark, f"{root}/bronze", "trades", f"{root}/silver", f"{root}/ckpt", dedup=True))
+    out = L.read_table(spark, f"{root}/silver", S.SILVER_TRADES)
+    return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
+
+
+@register("silver_job_dedup", _with(True, _DEDUPED_TRADES))
+def silver_job_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Incremental loads with dedup against stored keys: re-sent messages come with the next load."""
+    root = _scratch(spark, "silver-job")
+    bronze = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True), ingest_date=True)
+    for part in (bronze.where(F.col("ingest_ts") <= MARK), bronze.where(F.col("ingest_ts") > MARK)):
+        L.write_table(part, f"{root}/bronze", ["ingest_date", *S.BRONZE_PARTITIONS])
+        JOBS.silver_job(spark, "trades", f"{root}/bronze", f"{root}/silver", f"{root}/state", dedup=True, ingest_date=True)
+    out = L.read_table(spark, f"{root}/silver", S.SILVER_TRADES)
+    return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
 
 
 # ---------------------------------------------------------------- quality
@@ -326,12 +376,39 @@ def validate_trades(spark: SparkSession, d: str) -> DataFrame:
     return v.select("trade_id", "product_id", text.alias("dq_reasons"))
 
 
+_REASONS = """list_filter([CASE WHEN product_id IS NULL OR length(product_id) = 0 THEN 'missing_product_id' END,
+                    CASE WHEN trade_id IS NULL THEN 'missing_trade_id' END,
+                    CASE WHEN event_ts IS NULL THEN 'bad_event_ts' END,
+                    CASE WHEN price IS NULL OR price <= 0 THEN 'bad_price' END,
+                    CASE WHEN size IS NULL OR size < 0 THEN 'bad_size' END,
+                    CASE WHEN side IS NULL OR side NOT IN ('BUY', 'SELL') THEN 'bad_side' END], lambda x: x IS NOT NULL)::VARCHAR"""
+
+
+@register("quarantine_roundtrip", _with(False, f"""
+SELECT CASE WHEN dq_reasons = '[]' THEN 'silver' ELSE 'quarantine' END AS stored_in, trade_id, product_id, price, side, dq_reasons
+FROM (SELECT *, {_REASONS} AS dq_reasons FROM ({bronze_trades_sql(True, False, 'event_ts')}) b)"""))
+def quarantine_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """J3 in the job: one load fills silver and quarantine; both are read back."""
+    root = _scratch(spark, "quarantine")
+    L.write_table(B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES)), f"{root}/bronze", S.BRONZE_PARTITIONS)
+    JOBS.silver_job(spark, "trades", f"{root}/bronze", f"{root}/silver", f"{root}/state", validate=True, quarantine_path=f"{root}/bad")
+    cols = ("trade_id", "product_id", "price", "side")
+    good = L.read_table(spark, f"{root}/silver", S.SILVER_TRADES).select(F.lit("silver").alias("stored_in"), *cols, F.lit("[]").alias("dq_reasons"))
+    text = F.concat(F.lit("["), F.array_join("dq_reasons", ", "), F.lit("]"))
+    bad = spark.read.parquet(f"{root}/bad").select(F.lit("quarantine").alias("stored_in"), *cols, text.alias("dq_reasons"))
+    return good.unionByName(bad)
+
+
 @register("ingest_date_partition", _with(False, f"""
 SELECT CAST(ingest_ts[1:10] AS DATE) AS ingest_date, COUNT(*) AS n_rows
-FROM ({bronze_trades_sql(True, False)}) b GROUP BY 1"""))
+FROM ({bronze_trades_sql(True, False)}) b GROUP BY 1 HAVING CAST(ingest_ts[1:10] AS DATE) IS NULL OR CAST(ingest_ts[1:10] AS DATE) >= DATE '2024-01-14'"""))
 def ingest_date_partition(spark: SparkSession, d: str) -> DataFrame:
-    b = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES), ingest_date=True)
-    return b.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Bronze written by ``ingest_date`` and read back under the mark's bound, which prunes."""
+    root = _scratch(spark, "ingest-date")
+    L.write_table(B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES), ingest_date=True), f"{root}/bronze", ["ingest_date", *S.BRONZE_PARTITIONS])
+    b = JOBS.read_bronze(spark, "trades", f"{root}/bronze", ingest_date=True)
+    recent = b.where(F.col("ingest_date").isNull() | (F.col("ingest_date") >= F.date_sub(F.lit(MARK[:10]).cast("date"), 1)))
+    return recent.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 # ---------------------------------------------------------------- J8 partition-pruned read
@@ -354,6 +431,20 @@ def partition_pruned_read(spark: SparkSession, d: str) -> DataFrame:
     return part.groupBy("event_date").agg(F.count(F.lit(1)).alias("trades"), F.sum("price").alias("price_sum"))
 
 
+@register("partition_pruned_view", """
+WITH t AS (SELECT CAST(date_trunc('minute', ts) AS DATE) AS event_date, ROUND(value * 100) AS price
+           FROM events
+           WHERE event_type <> 'view' AND user_id % 2 = 1 AND CAST(date_trunc('minute', ts) AS DATE) >= DATE '2024-01-20')
+SELECT event_date, COUNT(*) AS trades, MAX(price) AS top FROM t GROUP BY event_date""")
+def partition_pruned_view(spark: SparkSession, d: str) -> DataFrame:
+    """J8 as SQL text over a view of the partitioned table."""
+    root = _scratch(spark, "view")
+    L.write_table(TD.trades(_events(spark, d)), f"{root}/silver", S.SILVER_PARTITIONS, mode="overwrite")
+    view = L.as_view(spark, f"{root}/silver", S.SILVER_TRADES, "silver_" + uuid.uuid4().hex[:8])
+    return spark.sql(f"""SELECT event_date, count(*) AS trades, max(price) AS top FROM {view}
+                         WHERE product_id = 'ETH-USD' AND event_date >= DATE '2024-01-20' GROUP BY event_date""")
+
+
 # ---------------------------------------------------------------- whole lake, raw JSON -> gold
 
 

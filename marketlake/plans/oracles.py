@@ -155,15 +155,3 @@ fj AS (SELECT ft.*, quotes.best_bid, quotes.best_ask FROM ft LEFT JOIN quotes
        ON ft.product_id = quotes.product_id AND date_trunc('{unit}', ft.event_ts_dt) = quotes.minute_ts),
 gold AS (SELECT *, {SPREAD} FROM fj)
 """
-
-
-def with_trades(body: str) -> str:
-    return f"WITH {TRADES_CTE}\n{body}"
-
-
-def with_ticker(body: str) -> str:
-    return f"WITH {TICKER_CTE}\n{body}"
-
-
-def with_both(body: str) -> str:
-    return f"WITH {TRADES_CTE},\n{TICKER_CTE}\n{body}"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas as S
 from marketlake.operators import quotes as Q
+from marketlake.operators import windows as W
 from marketlake.plans import features as G
 from marketlake.plans import oracles as O
 from marketlake.sources import testdata as TD
@@ -78,7 +79,15 @@ _family("buy_sell_counts_ratio", ("buy_count_50", "sell_count_50", "buy_count_10
                                   "buy_sell_ratio_50", "buy_sell_ratio_100"))
 _family("buy_sell_volume_ratio", ("buy_volume_50", "sell_volume_50", "buy_volume_100", "sell_volume_100",
                                   "buy_volume_ratio_50", "buy_volume_ratio_100"))
-_family("time_features", ("event_ts_dt", "hour_of_day", "day_of_week", "is_weekend", "is_buy"))
+
+
+@register("time_features", O.features_ctes() + "SELECT product_id, trade_id, event_ts_dt, hour_of_day, day_of_week, is_weekend, is_buy FROM gold")
+def time_features(spark: SparkSession, d: str) -> DataFrame:
+    """Map-only columns: a plain projection."""
+    rows = W.with_columns(G.parse_times(_trades(spark, d)), W.time_features())
+    return rows.select("product_id", "trade_id", "event_ts_dt", "hour_of_day", "day_of_week", "is_weekend", "is_buy")
+
+
 _family("future_targets", ("future_price_10", "future_price_50", "target_return_10", "target_return_50"),
         with_leads=True)
 _family("target_direction", ("target_return_10", "target_direction_10", "target_direction_50"), with_leads=True)
@@ -153,10 +162,8 @@ def feature_table(spark: SparkSession, d: str) -> DataFrame:
 
 @register("halo_feature_table", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
 def halo_feature_table(spark: SparkSession, d: str) -> DataFrame:
-    """The feature table with 512-row chunks and the quotes attached inside the halo exchange
-    (the large-data path): many chunk edges, and minutes whose trades straddle two chunks
-    receive their quote in both."""
-    return _round_vol(_gold(spark, d, chunk_rows=512, quote_join="window"))
+    """The large-data path: default chunks, quotes attached inside the halo exchange."""
+    return _round_vol(_gold(spark, d, quote_join="window"))
 
 
 @register("final_filter", O.features_ctes() +

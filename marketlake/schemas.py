@@ -25,9 +25,7 @@ def _strings(*names: str) -> list[StructField]:
 # ---- fixed values: channel names, origin tag, product subscription, topics ----
 CHANNEL_TICKER = "ticker"
 CHANNEL_TRADES = "market_trades"
-CHANNELS = (CHANNEL_TICKER, CHANNEL_TRADES)
 SOURCE_TAG = "ws_public"
-PRODUCT_IDS = ("BTC-USD", "ETH-USD")
 TOPIC_TICKER = "crypto.ticker.raw"
 TOPIC_TRADES = "crypto.trades.raw"
 

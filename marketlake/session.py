@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,39 +81,47 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/marketlake-scratch/{name}"
 
 
-_SCRATCH_TABLES: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("marketlake_scratch_scope", default=None)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as a Parquet table under the shared checkpoint folder and
-    read it back. Compact and column-prunable (unlike a row checkpoint), and every later
-    reader sees the same rows even when ``df`` holds nondeterministic values. The folder is
-    removed by :func:`drop_scratch_tables` once the consuming job has finished."""
+    """Cut lineage: write ``df`` as a Parquet table under the shared folder and read it back.
+    Compact and column-prunable (unlike a row checkpoint), and every later reader sees the same
+    rows even when ``df`` holds nondeterministic values. Inside a :func:`scratch_scope` the
+    table is deleted when the scope ends; else it stays for the folder's retention, as the
+    returned DataFrame is lazy and its reader is not known here."""
     spark = df.sparkSession
     path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    _SCRATCH_TABLES.append(path)
+    df.write.mode("error").parquet(path)
+    if (own := _SCOPE.get()) is not None:
+        own.append(path)
     return spark.read.schema(df.schema).parquet(path)  # known schema: no footer-inference job
 
 
-def scratch_mark() -> int:
-    """Position in the list of materialized tables; pass it to :func:`drop_scratch_tables`."""
-    return len(_SCRATCH_TABLES)
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that :func:`materialize` writes inside the ``with`` block are deleted at its end,
+    also after an error, and no others: scopes of other jobs and threads are their own."""
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(token)
+        for path in own:
+            delete_path(spark, path)
 
 
-def drop_scratch_tables(spark: SparkSession, since: int) -> int:
-    """Delete the tables :func:`materialize` wrote after ``scratch_mark()`` returned
-    ``since`` (tables behind DataFrames built earlier stay); returns how many."""
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder through the cluster's file system; False where the session has
+    no access to it (Spark Connect)."""
     try:
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # noqa: BLE001 - no JVM access: leave the tables for the folder's retention
-        return 0
-    n = 0
-    while len(_SCRATCH_TABLES) > since:
-        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH_TABLES.pop())
-        n += bool(p.getFileSystem(conf).delete(p, True))
-    return n
+    except Exception:  # noqa: BLE001 - no JVM access: leave it for the folder's retention
+        return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).delete(p, True))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -130,7 +141,7 @@ def broadcast_threshold(spark: SparkSession) -> int:
         return -1
 
 
-def partitions_for(df: DataFrame, target_bytes: int = 256 << 20, max_partitions: int = 200_000) -> int:
+def partitions_for(df: DataFrame, target_bytes: int = 256 << 20, max_partitions: int = 1_000_000) -> int:
     """Partition count for a shuffle of ``df`` that AQE must not coalesce: one per
     ``target_bytes`` of Catalyst's size estimate (file sizes of the scanned columns; no job
     runs), never fewer than the cluster's default parallelism (its total task slots), so

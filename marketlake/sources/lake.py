@@ -53,7 +53,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
     except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): probe with a read
         try:
-            spark.read.format("binaryFile").load(path).limit(1).collect()
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
             return True
         except Exception:  # noqa: BLE001
             return False
@@ -61,6 +61,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files directly in a folder (none if it does not exist)."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return [s.getPath().toString() for s in found if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder holds any data file, at any depth (no file is opened)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A partitioned Parquet lake table. With ``schema`` the read schema is fixed
     (no footer inference; nested fields not in it are never read)."""
@@ -70,10 +89,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return r.parquet(path)
 
 
+def as_view(spark: SparkSession, path: str, schema: StructType, name: str) -> str:
+    """A temporary view of a lake table, for SQL text; partition filters prune folders."""
+    read_table(spark, path, schema).createOrReplaceTempView(name)
+    return name
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append",
-                dynamic_overwrite: bool = False, compression: str = "snappy") -> None:
+                dynamic_overwrite: bool = False, compression: str = "snappy", rebalance: bool = False) -> None:
     """Partitioned Parquet write. ``mode="overwrite"`` replaces the table;
-    with ``dynamic_overwrite`` only the partitions present in ``df`` are replaced."""
+    with ``dynamic_overwrite`` only the partitions present in ``df`` are replaced.
+    ``rebalance`` gathers each partition's rows first (one shuffle; large partitions are split),
+    so that not every task writes a small file per partition."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("compression", compression)
     if dynamic_overwrite:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -102,6 +131,8 @@ def write_topic(routed: DataFrame, bootstrap: str, checkpoint: str | None = None
     """Keyed topic sink for ``route_messages`` output (``topic``, ``key``, ``value``).
     Batch DataFrames are written at once; streaming ones return the started query."""
     out = routed.selectExpr("topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+    if out.isStreaming and not checkpoint:
+        raise ValueError("a streaming topic sink needs a checkpoint folder")
     if out.isStreaming:
         return (out.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
                 .option("checkpointLocation", checkpoint).start())

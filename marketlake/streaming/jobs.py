@@ -8,74 +8,72 @@ supported on streams (``NON_TIME_WINDOW_NOT_SUPPORTED_IN_STREAMING``), so gold s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from marketlake import schemas as S
-from marketlake.functions import utc_time
 from marketlake.operators.bronze import bronze_ticker, bronze_trades
 from marketlake.operators.silver import silver_ticker, silver_trades
+from marketlake.plans.jobs import store_load
 from marketlake.sources.lake import start_table_stream
 
 
-def start_bronze(raw_stream: DataFrame, kind: str, path: str, checkpoint: str,
-                 available_now: bool = False, ingest_date: bool = False) -> StreamingQuery:
-    """C11/C12 + A5/A6: raw topic stream -> bronze Parquet, partitioned by event_date
-    (plus ingest_date with J6)."""
+def start_bronze(raw_stream: DataFrame, kind: str, path: str, checkpoint: str, available_now: bool = False,
+                 ingest_date: bool = False, processing_time: str | None = None) -> StreamingQuery:
+    """C11/C12 + A5/A6: raw topic stream -> bronze Parquet, partitioned by event_date (with J6
+    by ingest_date first). ``processing_time``: interval between micro-batches (H3)."""
     fn = {"ticker": bronze_ticker, "trades": bronze_trades}[kind]
-    parts = [*S.BRONZE_PARTITIONS] + (["ingest_date"] if ingest_date else [])
-    return start_table_stream(fn(raw_stream, ingest_date=ingest_date), path, checkpoint, parts,
-                              available_now=available_now, query_name=f"bronze_{kind}")
+    parts = [*(["ingest_date"] if ingest_date else []), *S.BRONZE_PARTITIONS]
+    return start_table_stream(fn(raw_stream, ingest_date=ingest_date), path, checkpoint, parts, available_now=available_now,
+                              processing_time=processing_time, query_name=f"bronze_{kind}")
+
 
+def bronze_file_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
+    """Bronze files as a stream; ``max_files`` or ``max_bytes`` bound a micro-batch, so a backlog
+    is worked off in several."""
+    reader = spark.readStream.schema({"ticker": S.BRONZE_TICKER, "trades": S.BRONZE_TRADES}[kind])
+    for option, value in (("maxFilesPerTrigger", max_files), ("maxBytesPerTrigger", max_bytes)):
+        if value is not None:
+            reader = reader.option(option, str(value))
+    return reader.parquet(path)
 
-def bronze_file_stream(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    schema: StructType = {"ticker": S.BRONZE_TICKER, "trades": S.BRONZE_TRADES}[kind]
-    return spark.readStream.schema(schema).parquet(path)
 
+def start_silver(spark: SparkSession, bronze_path: str, kind: str, path: str, checkpoint: str, available_now: bool = True,
+                 dedup: bool = False, processing_time: str | None = None, max_files: int | None = None,
+                 max_bytes: str | None = None) -> StreamingQuery:
+    """D11 stream form: bronze files -> silver Parquet (event_date, product_id) with a
+    checkpoint: every bronze file is processed exactly once across reruns.
 
-def dedup_within_watermark(stream: DataFrame, keys: Sequence[str] = ("product_id", "trade_id"),
-                           delay: str = "2 hours", time_col: str = "ingest_ts") -> DataFrame:
-    """J1 (stream): drop repeats of a key that arrive within ``delay`` of the first copy
-    (event time = parsed ``ingest_ts``). Rows with a NULL key part are passed through
-    untouched (they are not duplicates of anything)."""
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    timed = stream.withColumn("_ingest_time", utc_time(time_col).cast("timestamp"))
-    keyed = (timed.filter(has_key).withWatermark("_ingest_time", delay)
-             .dropDuplicatesWithinWatermark(list(keys)))
-    return keyed.unionByName(timed.filter(~has_key)).drop("_ingest_time")
+    ``dedup`` drops repeats: trades by (product_id, trade_id) (J1), ticker rows by (product_id,
+    sequence_num) (J2; the ticker silver then keeps client_id and sequence_num). Each micro-batch
+    is compared with itself and with all stored keys, so a row is dropped only if its key is
+    stored, however late it comes (H4); a replayed micro-batch replaces its own rows."""
+    src = bronze_file_stream(spark, bronze_path, kind, max_files, max_bytes)
+    out = silver_trades(src) if kind == "trades" else silver_ticker(src, keep_sequence=dedup)
+    if not dedup:
+        return start_table_stream(out, path, checkpoint, S.SILVER_PARTITIONS, available_now=available_now,
+                                  processing_time=processing_time, query_name=f"silver_{kind}")
 
+    def store(batch: DataFrame, batch_id: int) -> None:
+        store_load(batch.sparkSession, batch, kind, path, f"batch-{batch_id}")
 
-def start_silver(spark: SparkSession, bronze_path: str, kind: str, path: str, checkpoint: str,
-                 available_now: bool = True, dedup: bool = False, dedup_delay: str = "2 hours") -> StreamingQuery:
-    """D11 stream form: bronze files -> silver Parquet (event_date, product_id) with a
-    checkpoint: every bronze file is processed exactly once across reruns. ``dedup`` drops
-    repeats within ``dedup_delay``: trades by (product_id, trade_id) (J1), ticker rows by
-    (product_id, sequence_num) (J2; the ticker silver then keeps client_id and sequence_num)."""
-    src = bronze_file_stream(spark, bronze_path, kind)
-    if kind == "trades":
-        out = silver_trades(src)
-        keys = ("product_id", "trade_id")
-    else:
-        out = silver_ticker(src, keep_sequence=dedup)
-        keys = ("product_id", "sequence_num")
-    if dedup:
-        out = dedup_within_watermark(out, keys=keys, delay=dedup_delay)
-    return start_table_stream(out, path, checkpoint, S.SILVER_PARTITIONS, available_now=available_now,
-                              query_name=f"silver_{kind}")
-
-
-def run_until_idle(query: StreamingQuery, timeout_s: float | None = 600) -> None:
-    """Block until an ``availableNow`` query ends (or the timeout passes)."""
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.processAllAvailable()
-        query.stop()
-    exc = query.exception()
-    if exc is not None:
-        raise RuntimeError(str(exc))
+    w = out.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).queryName(f"silver_{kind}")
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def await_query(query: StreamingQuery) -> None:
+    """Block until the query ends; its error is raised here."""
+    query.awaitTermination()
+
+
+def run_until_idle(query: StreamingQuery, timeout_s: float | None = None) -> bool:
+    """Block until the query ends or ``timeout_s`` passes; whether it has ended. A query that
+    still runs is left running; the error of one that failed is raised."""
+    if timeout_s is None:
+        query.awaitTermination()
+        return True
+    return bool(query.awaitTermination(timeout_s))
