@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,15 @@ def max_mark(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
     return df.agg(F.max(col).alias("last_ingest_ts"))
 
 
+def _observed(obs: Observation) -> dict:
+    """What an observation saw in the job that has ended; nothing if adaptive execution found
+    the observed input empty and cut it off, observation included."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return {}
+
+
 def incremental_append(
     spark: SparkSession,
     bronze: DataFrame,
@@ -80,8 +90,8 @@ def incremental_append(
     obs = Observation("ingest_mark")
     observed = increment(bronze, mark, col).observe(obs, F.max(col).alias("last_ingest_ts"), F.count(F.lit(1)).alias("rows"))
     (write or (lambda df: write_table(df, sink_path, partition_by, mode="append")))(transform(observed))
-    new_mark = obs.get.get("last_ingest_ts")
+    seen = _observed(obs)
+    new_mark, rows = seen.get("last_ingest_ts"), seen.get("rows", 0)
     if new_mark is not None:
         write_mark(spark, state_dir, new_mark)
-    return {"written": obs.get["rows"] > 0, "previous_mark": mark, "mark": new_mark if new_mark is not None else mark,
-            "bronze_rows": obs.get["rows"]}
+    return {"written": rows > 0, "previous_mark": mark, "mark": new_mark if new_mark is not None else mark, "bronze_rows": rows}
