@@ -30,6 +30,9 @@ empty results; other columns pass through. ``docs`` is read several times: pass
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,28 +133,46 @@ def within(a: Column, b: Column, max_edits: int) -> Column:
     ``b`` moves all words along: the diagonal stays where characters are equal or at one more
     error, an added character comes from the next diagonal, a left-out one goes to it."""
     width = 2 * max_edits + 1
-    full, chars_a, chars_b = (1 << width) - 1, F.split(a, ""), F.split(b, "")
-
-    def step(state: Column, j: Column) -> Column:
-        c = F.get(chars_b, j)
-        equal = F.lit(0)
-        for k in range(width):
-            row = j + F.lit(k - max_edits)
-            equal = equal.bitwiseOR(F.when(F.coalesce(F.get(chars_a, row) == c, F.lit(False)), F.lit(1 << k)).otherwise(F.lit(0)))
-        words: list[Column] = []
-        for e in range(max_edits + 1):
-            word = state[f"r{e}"].bitwiseAND(equal)
-            if e:
-                old = state[f"r{e - 1}"]
-                word = word.bitwiseOR(old).bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(words[-1], 1)).bitwiseAND(F.lit(full))
-            words.append(word)
-        return F.struct(*(w.alias(f"r{e}") for e, w in enumerate(words)))
-
+    full = (1 << width) - 1
     start = F.struct(*(F.lit(sum(1 << k for k in range(max_edits, max_edits + e + 1))).alias(f"r{e}") for e in range(max_edits + 1)))
-    steps = F.when(F.length(b) > 0, F.sequence(F.lit(0), F.length(b) - 1)).otherwise(F.array().cast("array<int>"))
-    end = F.length(a) - F.length(b) + max_edits
-    last = F.aggregate(steps, start, step)[f"r{max_edits}"]
-    return (end >= 0) & (end < width) & (F.call_function("shiftright", last, F.greatest(end, F.lit(0))).bitwiseAND(F.lit(1)) == 1)
+
+    def judged(pair: Column) -> Column:
+        def step(state: Column, j: Column) -> Column:
+            c, equal, words = F.get(pair["b"], j), F.lit(0), []
+            for k in range(width):
+                same = F.coalesce(F.get(pair["a"], j + F.lit(k - max_edits)) == c, F.lit(False))
+                equal = equal.bitwiseOR(F.when(same, F.lit(1 << k)).otherwise(F.lit(0)))
+            for e in range(max_edits + 1):
+                word = state[f"r{e}"].bitwiseAND(equal)
+                if e:
+                    old = state[f"r{e - 1}"]
+                    word = word.bitwiseOR(old).bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(words[-1], 1)).bitwiseAND(F.lit(full))
+                words.append(word)
+            return F.struct(*(w.alias(f"r{e}") for e, w in enumerate(words)))
+
+        steps = F.when(pair["m"] > 0, F.sequence(F.lit(0), pair["m"] - 1)).otherwise(F.array().cast("array<int>"))
+        end = pair["n"] - pair["m"] + max_edits
+        last = F.aggregate(steps, start, step)[f"r{max_edits}"]
+        return (end >= 0) & (end < width) & (F.call_function("shiftright", last, F.greatest(end, F.lit(0))).bitwiseAND(F.lit(1)) == 1)
+
+    # as the variable of a lambda, the arrays of characters are made once per pair
+    pair = F.struct(F.split(a, "").alias("a"), F.split(b, "").alias("b"), F.length(a).alias("n"), F.length(b).alias("m"))
+    return F.transform(F.array(pair), judged)[0]
+
+
+def parts_agree(a: Column, b: Column, max_edits: int, parts: int = 8) -> Column:
+    """A cheap necessary condition for :func:`within`: an edit breaks one of ``parts`` parts of
+    ``a`` at most, and the others stand in ``b``, shifted by at most ``max_edits``."""
+    n = F.length(a)
+
+    def broken(i: Column) -> Column:
+        start = F.floor(n * i / parts).cast("int")
+        size = F.floor(n * (i + 1) / parts).cast("int") - start
+        part = F.substring(a, start + 1, size)
+        return ~reduce(or_, ((start + s >= 0) & (F.substring(b, F.greatest(start + s, F.lit(0)) + 1, size) == part)
+                             for s in sorted(range(-max_edits, max_edits + 1), key=abs)))
+
+    return F.size(F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), broken)) <= max_edits
 
 
 def _checked(table: DataFrame) -> DataFrame:
@@ -182,7 +203,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
     a = texts.select("h1", "h2", F.col("line").alias("a"))
     b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("b"))
     both = pairs.join(a, ["h1", "h2"]).join(b, ["g1", "g2"])
-    return both.where(within(F.col("a"), F.col("b"), max_edits)).select(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
+    likely = both.where(parts_agree(F.col("a"), F.col("b"), max_edits))
+    return likely.where(within(F.col("a"), F.col("b"), max_edits)).select(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
 
 
 def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16) -> DataFrame:

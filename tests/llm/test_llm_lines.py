@@ -52,8 +52,9 @@ def test_banded_distance(spark, edits):
         a = "".join(rng.choices("abcé", k=rng.randint(1, 25)))
         pairs.append((a, _edited(rng, a)))
     df = spark.createDataFrame(pairs, "a string, b string")
-    for r in df.select("a", "b", line_dedup.within(F.col("a"), F.col("b"), edits).alias("w")).collect():
-        assert r.w == (_distance(r.a, r.b) <= edits), r
+    a, b = F.col("a"), F.col("b")
+    for r in df.select("a", "b", line_dedup.within(a, b, edits).alias("w"), line_dedup.parts_agree(a, b, edits).alias("p")).collect():
+        assert r.w == (_distance(r.a, r.b) <= edits) and (r.p or not r.w), r
 
 
 @pytest.mark.parametrize(("edits", "hot_rows"), [(1, 32), (1, 2), (2, 32)])
