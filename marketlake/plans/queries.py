@@ -41,8 +41,12 @@ def _ticker(spark: SparkSession, d: str) -> DataFrame:
     return TD.ticker(TD.load_events(spark, d))
 
 
+# what the window families use: keys, order, tie-breakers and the three measures
+_WINDOW_INPUT = ("product_id", "trade_id", "event_ts", "ingest_ts", "trade_time", "price", "size", "side")
+
+
 def _trade_feats(spark: SparkSession, d: str, **kw) -> DataFrame:
-    return G.trade_features(G.parse_times(_trades(spark, d)), **kw)
+    return G.trade_features(G.parse_times(_trades(spark, d).select(*_WINDOW_INPUT)), **kw)
 
 
 VOL_COLS = ("volatility_10", "volatility_50", "volatility_100")
