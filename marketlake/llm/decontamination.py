@@ -116,7 +116,8 @@ def find(docs: DataFrame, items: DataFrame, scratch: Scratch, window: int = 10,
 def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document: ``id_col``, ``n_words``, ``n_hit``, ``n_items``, ``items`` (array,
     sorted as strings) and ``contaminated``."""
-    hits = scratch.write(find(docs, items, scratch, id_col=id_col, text_col=text_col, **options), "found")
+    with scratch.part("work") as work:
+        hits = scratch.write(find(docs, items, work, id_col=id_col, text_col=text_col, **options), "found")
     every = docs.select(column(id_col).alias("doc"), F.xxhash64(column(text_col)).alias("hash"),
                         F.size(_words(column(text_col))).cast("long").alias("n_words"))
     joined = every.join(hits, F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("body")), "left")
@@ -130,7 +131,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch, id_col: s
 def keep_clean(docs: DataFrame, items: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones; all columns as they were."""
     names = [fresh(docs, n) for n in ("hit_id", "hit_body")]
-    found = find(docs, items, scratch, id_col=id_col, text_col=text_col, **options).select("id", "body").toDF(*names)
-    hits = scratch.write(found, "found")
+    with scratch.part("work") as work:
+        found = find(docs, items, work, id_col=id_col, text_col=text_col, **options).select("id", "body").toDF(*names)
+        hits = scratch.write(found, "found")
     same = column(id_col).eqNullSafe(column(names[0])) & (F.xxhash64(column(text_col)) == column(names[1]))
     return docs.join(hits, same, "left_anti")

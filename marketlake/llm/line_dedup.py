@@ -255,7 +255,8 @@ def dedup_lines(docs: DataFrame, scratch: Scratch, max_edits: int = 1, min_chars
     """``docs`` with the remaining lines as ``text_col`` and their loss as ``removed_col``."""
     doc = F.coalesce(column(id_col).cast("long"), F.lit(_LAST))
     plain = docs.select(doc.alias("doc"), column(text_col).alias("text"))
-    gone = scratch.write(places_to_drop(plain, scratch, max_edits, min_chars, hot_rows), "gone")
+    with scratch.part("work") as work:
+        gone = scratch.write(places_to_drop(plain, work, max_edits, min_chars, hot_rows), "gone")
     names = [fresh(docs, n) for n in ("gone_doc", "gone_body", "gone_places")]
     gone = gone.toDF(*names)
     joined = docs.join(gone, (doc == F.col(names[0])) & (_body(column(text_col)) == F.col(names[1])), "left")

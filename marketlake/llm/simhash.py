@@ -204,8 +204,10 @@ def keep_one(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     ids, row = fresh(df, "id_or_last"), fresh(df, "row_hash")
     hashed = F.xxhash64(*(column(c) for c, kind in df.dtypes if not kind.startswith("map")))
     keyed = df.withColumns({ids: F.coalesce(column(id_col).cast("long"), F.lit((1 << 63) - 1)), row: hashed})
-    found = groups(keyed.select(F.col(ids).alias("id"), F.col(row).alias("row"), column(text_col).alias("text")), scratch, words_per, max_bits, list_rows)
-    stays = scratch.write(found.where("id = component_id").groupBy("id").agg(F.min("row").alias("row")), "stays")
+    plain = keyed.select(F.col(ids).alias("id"), F.col(row).alias("row"), column(text_col).alias("text"))
+    with scratch.part("work") as work:
+        found = groups(plain, work, words_per, max_bits, list_rows)
+        stays = scratch.write(found.where("id = component_id").groupBy("id").agg(F.min("row").alias("row")), "stays")
     kept = keyed.join(stays.toDF(ids, row), [ids, row], "left_semi")
     # equal rows all got here; one of them stays (the join's partitioning and order serve again)
     return kept.dropDuplicates([ids, row]).select(*(column(c) for c in df.columns))

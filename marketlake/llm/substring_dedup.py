@@ -287,11 +287,12 @@ def remove_repeats(df: DataFrame, scratch: Scratch, length: int = 200, core: int
     times: pass a table. ``core`` (below ``length``) sets the density of the sample."""
     docs = df.select(F.coalesce(column(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(column(text_col)).alias("body"),
                      F.coalesce(column(text_col), F.lit("")).alias("text"))
-    found = scratch.write(candidates(docs, scratch, length, core), "marks")
-    marks = found.where("sent").groupBy("id", "body").agg(F.collect_list(F.struct("place", "name", "rows")).alias("marks"))
-    sent = scratch.write(_reach(docs.join(marks, ["id", "body"]), length, core), "reach")
-    whole = found.where("done").select("id", "body", (F.col("place") - (length - core)).alias("start"), (F.col("place") + length).alias("end"))
-    covered = scratch.write(whole.unionByName(open_intervals(sent, length, core, task_rows)), "covered")
+    with scratch.part("work") as work:
+        found = work.write(candidates(docs, work, length, core), "marks")
+        marks = found.where("sent").groupBy("id", "body").agg(F.collect_list(F.struct("place", "name", "rows")).alias("marks"))
+        sent = work.write(_reach(docs.join(marks, ["id", "body"]), length, core), "reach")
+        whole = found.where("done").select("id", "body", (F.col("place") - (length - core)).alias("start"), (F.col("place") + length).alias("end"))
+        covered = scratch.write(whole.unionByName(open_intervals(sent, length, core, task_rows)), "covered")
     spans = covered.groupBy("id", "body").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))
     joined = docs.join(spans, ["id", "body"], "left").select("id", "text", "spans")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,9 +32,18 @@ def fresh(df: DataFrame, wanted: str) -> str:
 class Scratch:
     """Tables written to the shared folder to cut lineage; each has a path of its own."""
 
-    def __init__(self, spark: SparkSession, name: str):
+    def __init__(self, spark: SparkSession, name: str, within: str | None = None):
         self.spark = spark
-        self.root = f"{shared_folder(spark)}/marketlake-llm/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = f"{within or shared_folder(spark) + '/marketlake-llm'}/{name}-{uuid.uuid4().hex[:12]}"
+
+    @contextmanager
+    def part(self, name: str) -> Iterator[Scratch]:
+        """A folder for tables that only serve to write others; it goes at the end of the block."""
+        part = Scratch(self.spark, name, self.root)
+        try:
+            yield part
+        finally:
+            part.delete()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back (schema known: no job to infer it)."""
