@@ -43,7 +43,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: token ids of each text, decoded again; ``exact`` tells whether the round trip
     gives the text back."""
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    back = bpe.decode(bpe.encode(plain, byte_bpe_file()), byte_bpe_file())
+    back = bpe.encode_and_decode(plain, byte_bpe_file())
     return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("exact"))
 
 

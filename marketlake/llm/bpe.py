@@ -35,7 +35,7 @@ LONG_WORD = 256
 class Encoder:
     """Encodes words with one vocabulary; remembers which pairs can stand side by side."""
 
-    MAX_PAIRS = 500_000
+    MAX_PAIRS = 200_000
 
     def __init__(self, vocab: byte_bpe.Vocabulary):
         self.vocab = vocab
@@ -200,7 +200,7 @@ def _ids(texts: list[str | None], memory: _Memory, vocab: byte_bpe.Vocabulary) -
     return out
 
 
-def _groups(texts: pa.Array, size: int = 4_000_000) -> Iterator[list[str | None]]:
+def _groups(texts: pa.Array, size: int = 1_000_000) -> Iterator[list[str | None]]:
     """Consecutive texts of about ``size`` characters: bounds the memory beside one text."""
     group, chars = [], 0
     for x in texts:
@@ -214,28 +214,52 @@ def _groups(texts: pa.Array, size: int = 4_000_000) -> Iterator[list[str | None]
         yield group
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, text_col: str, ids_col: str) -> Iterator[pa.RecordBatch]:
+    vocab, memory = byte_bpe.load_vocabulary(vocabulary), _memory(vocabulary)
+    for batch in batches:
+        kept = [c for c in batch.schema.names if c != ids_col]
+        row = 0
+        for group in _groups(batch.column(text_col)):
+            ids = _ids(group, memory, vocab)
+            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+            part = batch.slice(row, len(group))
+            row += len(group)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), lists], names=[*kept, ids_col])
+
+
+@cache
+def _tokens(vocabulary: str) -> list[bytes]:
+    """Token bytes by id; the last one, empty, stands for ids out of the vocabulary."""
+    by_id = byte_bpe.load_vocabulary(vocabulary).by_id
+    return [by_id.get(i, b"") for i in range(max(by_id) + 1)] + [b""]
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: str, ids_col: str, text_col: str) -> Iterator[pa.RecordBatch]:
+    table = _tokens(vocabulary)
+    for batch in batches:
+        kept = [c for c in batch.schema.names if c != text_col]
+        lists, texts = batch.column(ids_col), []
+        for i in range(len(lists)):
+            values = lists[i].values
+            ids = np.empty(0, np.int64) if values is None else values.to_numpy(zero_copy_only=False)
+            ids = np.where((ids >= 0) & (ids < len(table)), ids, -1).tolist()
+            texts.append(b"".join([table[j] for j in ids]).decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, text_col])
+
+
+def _ids_field(name: str) -> T.StructField:
+    return T.StructField(name, T.ArrayType(T.IntegerType(), False), False)
+
+
 def encode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Add ``ids_col``, the token ids (array of int) of ``text_col``, as the tokenizers
     library gives them with ``add_special_tokens=False`` and no truncation or padding.
 
     ``vocabulary`` is the path of a byte-level BPE ``.json`` that every executor can read."""
     kept = [c for c in df.columns if c != ids_col]
-    schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = byte_bpe.load_vocabulary(vocabulary)
-        memory = _memory(vocabulary)
-        for batch in batches:
-            row = 0
-            for group in _groups(batch.column(text_col)):
-                ids = _ids(group, memory, vocab)
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-                part = batch.slice(row, len(group))
-                row += len(group)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), lists], names=[*kept, ids_col])
-
-    return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    schema = T.StructType([*(df.schema[c] for c in kept), _ids_field(ids_col)])
+    return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(lambda it: _encoded(it, vocabulary, text_col, ids_col), schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -244,18 +268,12 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str =
     and null lists give nothing."""
     kept = [c for c in df.columns if c != text_col]
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(text_col, T.StringType(), False)])
+    return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(lambda it: _decoded(it, vocabulary, ids_col, text_col), schema)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = byte_bpe.load_vocabulary(vocabulary).by_id
-        table = [by_id.get(i, b"") for i in range(max(by_id) + 1)] + [b""]
-        for batch in batches:
-            lists = batch.column(ids_col)
-            texts = []
-            for i in range(len(lists)):
-                values = lists[i].values
-                ids = np.empty(0, np.int64) if values is None else values.to_numpy(zero_copy_only=False)
-                ids = np.where((ids >= 0) & (ids < len(table)), ids, -1).tolist()
-                texts.append(b"".join([table[j] for j in ids]).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], names=[*kept, text_col])
-
-    return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+def encode_and_decode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
+    """:func:`encode`, then :func:`decode`, in one Python worker per task instead of two."""
+    kept = [c for c in df.columns if c not in (ids_col, decoded_col)]
+    schema = T.StructType([*(df.schema[c] for c in kept), _ids_field(ids_col), T.StructField(decoded_col, T.StringType(), False)])
+    return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(
+        lambda it: _decoded(_encoded(it, vocabulary, text_col, ids_col), vocabulary, ids_col, decoded_col), schema)

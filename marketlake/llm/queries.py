@@ -28,8 +28,7 @@ def byte_bpe_file() -> str:
 @query
 def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, byte_bpe_file()).drop("text")
-    back = bpe.decode(ids, byte_bpe_file())
+    back = bpe.encode_and_decode(docs, byte_bpe_file())
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -82,5 +82,5 @@ def test_decoding_what_is_no_text(spark, vocabulary, library):
 
 def test_documents_round_trip(spark, vocabulary, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    for r in bpe.decode(bpe.encode(docs, vocabulary), vocabulary).collect():
+    for r in bpe.encode_and_decode(docs, vocabulary).collect():
         assert list(r.ids) == library.encode(r.text, add_special_tokens=False).ids and r.decoded == r.text
