@@ -35,7 +35,7 @@ LONG_WORD = 256
 class Encoder:
     """Encodes words with one vocabulary; remembers which pairs can stand side by side."""
 
-    MAX_PAIRS = 200_000
+    MAX_PAIRS = 400_000
 
     def __init__(self, vocab: byte_bpe.Vocabulary):
         self.vocab = vocab

@@ -18,7 +18,7 @@ import regex
 
 #: Chunks whose encodings a Python worker remembers between batches; when full, the memory
 #: starts anew, so it never grows with the input.
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 800_000
 
 
 def _latin(major: str) -> str:
