@@ -79,8 +79,10 @@ def _runs(x: np.ndarray, width: int, least: bool) -> np.ndarray:
 
 def sample(data: np.ndarray, length: int, core: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Places, core names and whole-reach names (0 where the reach leaves the text) of the
-    samples of one text (uint8), block by block."""
+    samples of one text (uint8), block by block. Windows of two blocks can share a sample: the
+    first of them yields it."""
     width, reach, room = length - core + 1, length - core, BLOCK + 4 * length
+    beyond = np.empty(0, np.int64)  # places yielded already from where the block starts
     none = np.zeros(width - 1, np.uint64)
     for at in range(0, len(data) - length + 1, BLOCK):
         # windows that start in this block; their samples lie up to ``reach`` beyond
@@ -95,6 +97,9 @@ def sample(data: np.ndarray, length: int, core: int) -> Iterator[tuple[np.ndarra
         spot = np.flatnonzero(best == names[first:first + len(best)]) + first
         if len(spot) > len(lows) // 8:  # equal names side by side: keep what is leftmost in some window
             spot = np.unique(_leftmost(names[first:last + reach], lows, width) + first)
+        beyond = beyond[beyond >= at]
+        spot = spot[~np.isin(spot + lo, beyond)]
+        beyond = np.r_[beyond, spot[spot + lo >= at + BLOCK] + lo]
         whole = (spot + lo >= reach) & (spot + lo + length <= len(data)) & (spot >= reach) & (spot + length <= hi - lo)
         wide = np.zeros(len(spot), np.uint64)
         wide[whole] = _mixed((sums[spot[whole] + length] - sums[spot[whole] - reach]) * down[spot[whole] - reach]) | np.uint64(1)

@@ -59,3 +59,16 @@ def test_odd_rows(spark, scratch):  # noqa: F811
     want = Counter((len((r.text or "").encode()), k) for r, (k, _) in zip(df.collect(), _brute([r.text for r in df.collect()], 200), strict=True))
     assert Counter((r.n_bytes, bytes(r.kept)) for r in rows) == want
     assert substring_dedup.remove_repeats(df.limit(0), scratch).count() == 0
+
+
+def test_blocks_share_no_sample(spark, scratch):  # noqa: F811
+    rng = random.Random(9)
+    text = "".join(rng.choices("abcdefghij ", k=substring_dedup.BLOCK * 2 + 5_000))
+    places = [p for part in substring_dedup.sample(substring_dedup._bytes(text), 200, 100) for p in part[0].tolist()]
+    assert len(places) == len(set(places))
+    twice = text[:300] + "|" + text  # only the opening occurs twice
+    df = spark.createDataFrame([(1, text[50_000:]), (2, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in substring_dedup.remove_repeats(df, scratch).collect()}
+    assert bytes(rows[1].kept).decode() == text[50_000:] and rows[1].spans == []
+    row = substring_dedup.remove_repeats(spark.createDataFrame([(1, twice)], df.schema), scratch).first()
+    assert [tuple(s) for s in row.spans] == [(0, 300), (301, 601)]
