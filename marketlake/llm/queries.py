@@ -42,7 +42,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_dedup(read(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+    found = simhash.near_dedup(read(spark, sf_dir, "documents"), Scratch(spark, "op3")).drop("component")
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 

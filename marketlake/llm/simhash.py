@@ -177,37 +177,41 @@ def links(prints: DataFrame, scratch: Scratch, max_bits: int = 3, list_rows: int
 
 
 def groups(docs: DataFrame, scratch: Scratch, words_per: int, max_bits: int, list_rows: int) -> DataFrame:
-    """``docs`` (with ``id`` and ``text`` among its columns) with ``fingerprint`` and
-    ``component_id`` in place of ``text``."""
+    """``docs`` (with ``id`` and ``text`` among its columns) with ``fingerprint``, ``component_id``
+    and ``component``, the least fingerprint of the group, in place of ``text``. Groups without
+    an id, or with the same least one, differ in ``component`` alone."""
     prints = scratch.write(with_fingerprints(docs, "text", "fingerprint", words_per), "prints")
     distinct = scratch.write(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "distinct")
     linked = components(links(distinct.select("fingerprint"), scratch, max_bits, list_rows), scratch)
     grouped = distinct.join(linked.withColumnRenamed("node", "fingerprint"), "fingerprint")
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = grouped.select("fingerprint", "component").join(least, "component").select("fingerprint", "component_id")
-    every = distinct.join(named, "fingerprint", "left").select("fingerprint", F.coalesce("component_id", "least").alias("component_id"))
+    named = grouped.select("fingerprint", "component").join(least, "component").select("fingerprint", "component_id", "component")
+    every = distinct.join(named, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component_id", "least").alias("component_id"), F.coalesce("component", "fingerprint").alias("component"))
     return prints.join(every, "fingerprint")
 
 
 def near_dedup(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", words_per: int = 3,
                max_bits: int = 3, list_rows: int = 4096) -> DataFrame:
-    """One row per input row: ``id_col``, ``fingerprint`` (long) and ``component_id``, the
-    smallest id reachable over links of at most ``max_bits`` differing bits."""
+    """One row per input row: ``id_col``, ``fingerprint`` (long), ``component_id``, the smallest
+    id reachable over links of at most ``max_bits`` differing bits, and ``component``, the least
+    fingerprint of the group, which tells groups of null or repeated ids apart."""
     docs = df.select(column(id_col).cast("long").alias("id"), column(text_col).alias("text"))
-    return groups(docs, scratch, words_per, max_bits, list_rows).select(F.col("id").alias(id_col), "fingerprint", "component_id")
+    return groups(docs, scratch, words_per, max_bits, list_rows).select(F.col("id").alias(id_col), "fingerprint", "component_id", "component")
 
 
 def keep_one(df: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", words_per: int = 3,
              max_bits: int = 3, list_rows: int = 4096) -> DataFrame:
-    """``df`` with one row of each group: that of the smallest id (null ids last; among rows that
-    repeat the id, the one of the smallest hash over all columns, one of equal ones)."""
+    """``df`` with one row of each group: that of the smallest id (null ids last; among rows of the
+    group that repeat the id, the one of the smallest hash over all columns, one of equal ones)."""
     ids, row = fresh(df, "id_or_last"), fresh(df, "row_hash")
     hashed = F.xxhash64(*(column(c) for c, kind in df.dtypes if not kind.startswith("map")))
     keyed = df.withColumns({ids: F.coalesce(column(id_col).cast("long"), F.lit((1 << 63) - 1)), row: hashed})
     plain = keyed.select(F.col(ids).alias("id"), F.col(row).alias("row"), column(text_col).alias("text"))
     with scratch.part("work") as work:
         found = groups(plain, work, words_per, max_bits, list_rows)
-        stays = scratch.write(found.where("id = component_id").groupBy("id").agg(F.min("row").alias("row")), "stays")
+        least = found.groupBy("component").agg(F.min(F.struct("id", "row")).alias("least"))
+        stays = scratch.write(least.select("least.id", "least.row"), "stays")
     kept = keyed.join(stays.toDF(ids, row), [ids, row], "left_semi")
     # equal rows all got here; one of them stays (the join's partitioning and order serve again)
     return kept.dropDuplicates([ids, row]).select(*(column(c) for c in df.columns))

@@ -74,3 +74,13 @@ def test_odd_rows(spark, scratch):  # noqa: F811
     rows = kept.collect()
     assert len(rows) == len({c for _, c in groups})
     assert simhash.keep_one(df.limit(0), scratch).count() == simhash.near_dedup(df.limit(0), scratch).count() == 0
+
+
+def test_groups_of_null_and_repeated_ids_keep_a_row_each(spark, scratch):  # noqa: F811
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(5)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[3]), (None, texts[4]), (8, texts[4])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id or 0, r.text) for r in simhash.keep_one(df, scratch).collect()))
+    assert kept == sorted([(0, texts[0]), (0, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[4])])
+    assert len({r.component for r in simhash.near_dedup(df, scratch).collect()}) == 5
