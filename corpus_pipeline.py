@@ -16,9 +16,9 @@ from marketlake.llm.tables import Scratch, column, read
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: documents that the classifier rejects go (those without text among them)."""
+    """Operator 7: documents that the classifier rejects or finds toxic go (those without text among them)."""
     scored = quality.classify(docs, read(spark, sf_dir, "labels"))
-    return scored.where("keep").select(*(column(c) for c in docs.columns))
+    return scored.where("keep AND NOT is_toxic").select(*(column(c) for c in docs.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

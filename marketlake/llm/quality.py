@@ -7,18 +7,25 @@ held out from the fit, and each gives the other its confident labels for documen
 unlabelled pool. At last the calibrated scores of both views are combined by a small logistic
 model fitted on the held-out rows, and every document is scored.
 
+Toxicity is a target of its own: toxic prose can be good prose, and its words are what tells it.
+The words that the labelled sample shows to be tied to ``toxic``, beyond what chance gives among so
+many words, are the features of a logistic model (``p_toxic``). ``keep`` judges quality, ``is_toxic``
+toxicity; a corpus takes what is kept and not toxic.
+
 Only the fit is bounded: ``max_labelled`` and ``max_unlabelled`` documents, those with the
-smallest hashes of their ids, whose features (4.4 kB each) go to the driver. Features and scores
-of all documents are computed map-only, over whole texts, block by block.
+smallest hashes of their ids, whose features (4.4 kB each) go to the driver, and the hashes of the
+distinct words of the labelled ones. Features and scores of all documents are computed map-only,
+over whole texts, block by block.
 
-Several labels of one id count by their mean (0.5 and more is good); null labels and ids
-are no sample. Without labels of both classes nothing can be told apart: the score is the
+Several labels of one id count by their mean (0.5 and more is good, or toxic); null labels and ids
+are no sample. Without labels of toxic and other documents, ``p_toxic`` is 0 (1 if all are toxic). Without labels of both classes nothing can be told apart: the score is the
 share of good labels, or 1 without any. Null metadata is a value of its own. Null and empty
 texts score 0. Equal rows score equally; other columns pass through.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +33,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +73,12 @@ def meta_features(text: str | None, lang: str | None, source: str | None, n_char
     return out
 
 
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the distinct words of a text, in lower case."""
+    words = set(re.findall(r"\w+", (text or "").lower()))
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -147,6 +161,38 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray
     return Model(model.views, model.calibrations, combination)
 
 
+@dataclass(frozen=True)
+class Marks:
+    """Hashes of words that mark toxic texts and their weights (then those of the number of such
+    words, of any, and the intercept)."""
+
+    words: np.ndarray
+    weights: np.ndarray
+
+    def scores(self, found: list[np.ndarray]) -> np.ndarray:
+        return _sigmoid(self.rows(found) @ self.weights[:-1] + self.weights[-1])
+
+    def rows(self, found: list[np.ndarray]) -> np.ndarray:
+        has = np.array([np.isin(self.words, f) for f in found], float).reshape(len(found), len(self.words))
+        return np.column_stack([has, has.sum(1), has.any(1)])
+
+
+def fit_marks(found: list[np.ndarray], toxic: np.ndarray, odds: float = 100, most: int = 1024) -> Marks:
+    """Words whose share of toxic texts is over a half and would not come by chance: by the bound
+    of Chernoff, ``odds`` to one over all words. ``toxic`` is 1 or 0."""
+    share = float(toxic.mean()) if len(toxic) else 0.0
+    if share in (0.0, 1.0):
+        return Marks(np.empty(0, np.uint64), np.array([0.0, 0.0, 30.0 if share else -30.0]))
+    words, at = np.unique(np.concatenate(found), return_inverse=True)
+    n = np.bincount(at, minlength=len(words))
+    rate = np.bincount(at, np.repeat(toxic, [len(f) for f in found]), len(words)) / np.maximum(1, n)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = n * (rate * np.log(rate / share) + np.where(rate < 1, (1 - rate) * np.log((1 - rate) / (1 - share)), 0))
+    pick = np.flatnonzero((rate > max(0.5, share)) & (gain > np.log(odds * max(1, len(words)))))
+    marks = Marks(words[pick[np.argsort(-gain[pick], kind="stable")][:most]], np.empty(0))
+    return Marks(marks.words, _logistic(marks.rows(found), toxic, 1e-3))
+
+
 def _features(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     rows = list(zip(text, lang, source, n_chars, strict=True))
     return (np.array([text_features(r[0]) for r in rows], np.float32).reshape(-1, TEXT_DIMS),
@@ -154,49 +200,58 @@ def _features(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.S
 
 
 def sample(docs: DataFrame, labels: DataFrame, max_labelled: int, max_unlabelled: int, id_col: str = "doc_id") -> DataFrame:
-    """(id, label, text, lang, source, n_chars) of the bounded sample; one row per id."""
+    """(id, label, toxic, text, lang, source, n_chars) of the bounded sample; one row per id."""
     by_hash = F.xxhash64("id")
-    marked = (labels.select(column(id_col).cast("long").alias("id"), F.col("quality").cast("double").alias("q"))
-              .where("id IS NOT NULL AND q IS NOT NULL").groupBy("id").agg((F.avg("q") >= 0.5).cast("double").alias("label")))
+    half = lambda c: (F.avg(c) >= 0.5).cast("double")
+    marked = (labels.select(column(id_col).cast("long").alias("id"), F.col("quality").cast("double").alias("q"), F.col("toxic").cast("double").alias("t"))
+              .where("id IS NOT NULL AND (q IS NOT NULL OR t IS NOT NULL)").groupBy("id").agg(half("q").alias("label"), half("t").alias("toxic")))
     ids = docs.select(column(id_col).cast("long").alias("id")).where("id IS NOT NULL")
-    pool = ids.join(marked, "id", "left_anti").distinct().withColumn("label", F.lit(None).cast("double"))
+    pool = ids.join(marked, "id", "left_anti").distinct().withColumns({c: F.lit(None).cast("double") for c in ("label", "toxic")})
     chosen = (marked.join(ids.distinct(), "id").orderBy(by_hash, "id").limit(max_labelled)
               .unionByName(pool.orderBy(by_hash, "id").limit(max_unlabelled)))
     rows = docs.select(column(id_col).cast("long").alias("id"), F.struct("text", "lang", "source", "n_chars").alias("d"))
     # the bound on the sample is the bound of this broadcast
-    return rows.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("d").alias("d")).select("id", "label", "d.*")
+    return rows.join(F.broadcast(chosen), "id").groupBy("id", "label", "toxic").agg(F.min("d").alias("d")).select("id", "label", "toxic", "d.*")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_unlabelled: int = 4000, id_col: str = "doc_id", **options) -> Model:
-    """Co-train on at most ``max_labelled`` labelled and ``max_unlabelled`` other documents."""
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_unlabelled: int = 4000, id_col: str = "doc_id", **options) -> tuple[Model, Marks]:
+    """Co-train on at most ``max_labelled`` labelled and ``max_unlabelled`` other documents; the
+    labelled ones give the marks of toxic texts."""
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             text, meta = _features(b.text, b.lang, b.source, b.n_chars)
-            yield pd.DataFrame({"id": b.id, "label": b.label, "features": [x.tobytes() for x in np.hstack([text, meta])]})
+            words = [word_hashes(x).tobytes() if t == t else b"" for x, t in zip(b.text, b.toxic, strict=True)]
+            yield pd.DataFrame({"id": b.id, "label": b.label, "toxic": b.toxic, "features": [x.tobytes() for x in np.hstack([text, meta])], "words": words})
 
-    rows = sample(docs, labels, max_labelled, max_unlabelled, id_col).mapInPandas(featurise, "id long, label double, features binary").toPandas()
+    rows = sample(docs, labels, max_labelled, max_unlabelled, id_col).mapInPandas(
+        featurise, "id long, label double, toxic double, features binary, words binary").toPandas()
     rows = rows.sort_values("id", ignore_index=True)
     x = np.frombuffer(b"".join(map(bytes, rows.features)), np.float32).reshape(len(rows), TEXT_DIMS + META_DIMS)
     held = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in rows.id], bool)
-    return co_train(x[:, :TEXT_DIMS], x[:, TEXT_DIMS:], rows.label.to_numpy(np.float64), held, **options)
+    told = rows[rows.toxic.notna()]
+    marks = fit_marks([np.frombuffer(bytes(w), np.uint64) for w in told.words], told.toxic.to_numpy(np.float64))
+    return co_train(x[:, :TEXT_DIMS], x[:, TEXT_DIMS:], rows.label.to_numpy(np.float64), held, **options), marks
 
 
-def score(model: Model) -> Column:
-    """A struct (p_text, p_meta, score) over the columns text, lang, source and n_chars."""
-    @F.pandas_udf("p_text double, p_meta double, score double")
+def score(model: Model, marks: Marks) -> Column:
+    """A struct (p_text, p_meta, score, p_toxic) over the columns text, lang, source and n_chars."""
+    @F.pandas_udf("p_text double, p_meta double, score double, p_toxic double")
     def scored(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
-        out = np.zeros((len(text), 3))
+        out = np.zeros((len(text), 4))
         for at in range(0, len(text), 256):
             part = slice(at, at + 256)
-            out[part] = np.column_stack(model.scores(*_features(text[part], lang[part], source[part], n_chars[part])))
+            toxic = marks.scores([word_hashes(None if x != x else x) for x in text[part]])
+            out[part] = np.column_stack([*model.scores(*_features(text[part], lang[part], source[part], n_chars[part])), toxic])
         out[(text.isna() | (text == "")).to_numpy(bool)] = 0
-        return pd.DataFrame(out, columns=["p_text", "p_meta", "score"])
+        return pd.DataFrame(out, columns=["p_text", "p_meta", "score", "p_toxic"])
 
     return scored("text", "lang", "source", "n_chars")
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.4, **options) -> DataFrame:
-    """``docs`` with ``p_text``, ``p_meta``, ``score`` and ``keep`` (score of ``threshold`` or more)."""
-    own = ("p_text", "p_meta", "score", "keep")
-    found = docs.select(*(column(c) for c in docs.columns if c.lower() not in own), score(fit(docs, labels, **options)).alias("keep"))
-    return found.select(*(column(c) for c in found.columns[:-1]), "keep.p_text", "keep.p_meta", "keep.score", (F.col("keep.score") >= threshold).alias("keep"))
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.4, toxic_from: float = 0.5, **options) -> DataFrame:
+    """``docs`` with ``p_text``, ``p_meta``, ``score``, ``p_toxic``, ``keep`` (score of ``threshold`` or
+    more) and ``is_toxic`` (``p_toxic`` of ``toxic_from`` or more)."""
+    own = ("p_text", "p_meta", "score", "p_toxic", "keep", "is_toxic")
+    found = docs.select(*(column(c) for c in docs.columns if c.lower() not in own), score(*fit(docs, labels, **options)).alias("keep"))
+    return found.select(*(column(c) for c in found.columns[:-1]), *(f"keep.{c}" for c in own[:4]),
+                        (F.col("keep.score") >= threshold).alias("keep"), (F.col("keep.p_toxic") >= toxic_from).alias("is_toxic"))

@@ -91,7 +91,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return found.select("doc_id", *(F.round(c, 6).alias(c) for c in ("p_text", "p_meta", "score")), "keep")
+    return found.select("doc_id", *(F.round(c, 6).alias(c) for c in ("p_text", "p_meta", "score", "p_toxic")), "keep", "is_toxic")
 
 
 @query

@@ -6,6 +6,7 @@ import numpy as np
 from llm_helpers import odd_documents
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketlake.llm import quality as Q
 
 SF = "/root/testdata/sf0.01"
@@ -49,3 +50,24 @@ def test_odd_rows(spark):
             assert (r.score == 0 and not r.keep) if not r.text else 0 <= r.score <= 1
     assert all(r.keep for r in Q.classify(df, table.limit(0)).collect() if r.text)
     assert Q.classify(df.limit(0), table).count() == 0
+
+
+def test_held_out_toxic_documents_go(spark, tmp_path):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    seen = F.col("doc_id") % 3 != 0
+    labels.where(seen).write.parquet(f"{tmp_path}/labels.parquet")
+    held = labels.where(~seen)
+    stays = corpus_pipeline.quality_filter(spark, docs, str(tmp_path)).select("doc_id", F.lit(True).alias("stays"))
+    rows = held.join(stays, "doc_id", "left").where("quality = 1").select("toxic", "stays").collect()
+    assert np.mean([not r.stays for r in rows if r.toxic == 1]) >= 0.8
+    assert np.mean([bool(r.stays) for r in rows if r.toxic == 0]) >= 0.97
+
+
+def test_marks_are_no_chance():
+    rng = np.random.default_rng(1)
+    toxic = (np.arange(600) % 8 == 0).astype(float)
+    found = [np.unique(np.r_[rng.integers(10, 5000, 40), [1] if t else []]).astype(np.uint64) for t in toxic]
+    assert Q.fit_marks(found, toxic).words.tolist() == [1]
+    for share in (0.0, 1.0):
+        assert np.allclose(Q.fit_marks(found, np.full(600, share)).scores(found), share)
+    assert Q.fit_marks([], np.empty(0)).scores([]).shape == (0,)
