@@ -10,7 +10,8 @@ body's ratio LCb / Cb,
 its children's densities tells how much text sits right below a node. The node of the largest
 sum is the content's heart; the threshold is the smallest density on the path from it up to
 the body. Going down from the body through nodes of at least that density, the subtree of the
-largest sum in each is taken. Within it, elements that by tag, role or class are menus, headers,
+largest sum in each is taken, widened to the outermost article around it, or else the outermost
+main, if the page names one. Within it, elements that by tag, role or class are menus, headers,
 footers, sidebars, notices, adverts, forms or reader comments are left out, as are scripts
 and styles, which never enter the tree.
 
@@ -173,6 +174,14 @@ def _post_order(top: _Node) -> list[_Node]:
     return order
 
 
+def _above(node: _Node | None) -> set[_Node]:
+    found = set()
+    while node is not None:
+        found.add(node)
+        node = node.parent
+    return found
+
+
 def _measure(body: _Node) -> None:
     """Counts, densities and density sums of all nodes below and including ``body``."""
     order = _post_order(body)
@@ -214,12 +223,6 @@ def _content(body: _Node) -> list[_Node]:
     while node is not body:
         node = node.parent
         threshold = min(threshold, node.density)
-    # the article around the heart, if the page names one
-    node = heart
-    while node is not None:
-        if node.tag in ("article", "main"):
-            return [node]
-        node = node.parent
     found, stack = [], [body]
     while stack:
         node = stack.pop()
@@ -233,7 +236,21 @@ def _content(body: _Node) -> list[_Node]:
             found.append(top)
         else:
             found.append(node)
-    return found or [heart]
+    return _widened(found or [heart])
+
+
+def _widened(found: list[_Node]) -> list[_Node]:
+    """Each node, or the outermost article around it, or else the outermost main; none within another."""
+    tops: dict[_Node, None] = {}
+    for node in found:
+        named: dict[str, _Node] = {}
+        at: _Node | None = node
+        while at is not None:
+            if at.tag in ("article", "main"):
+                named[at.tag] = at
+            at = at.parent
+        tops[named.get("article") or named.get("main") or node] = None
+    return [t for t in tops if not (_above(t.parent) & tops.keys())]
 
 
 def _blocks(top: _Node) -> list[str]:

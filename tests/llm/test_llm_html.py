@@ -50,3 +50,23 @@ def test_given_pages(spark):
         assert r.text == _article(r.html) and r.n_chars == len(r.text)
     assert X.extract(df.limit(0)).count() == 0
     assert [r.text for r in X.extract(spark.createDataFrame([(1, None), (None, "x")], "page_id long, html string")).collect()] == ["", "x"]
+
+
+LONG = "<p>Here is a passage of running text, long enough to be the heart of a page, number {}.</p>"
+
+
+def _passages(a: int, b: int) -> str:
+    return "".join(LONG.format(i) for i in range(a, b))
+
+
+def _want(n: int) -> str:
+    return "\n\n".join(re.sub("<.*?>", "", LONG.format(i)) for i in range(n))
+
+
+@pytest.mark.parametrize("page", [
+    "<article>{a}</article><article>{b}</article>", "<main><article>{a}</article><article>{b}</article></main>",
+    "<article>{a}<article>{b}</article></article>", "<article><article>{a}</article>{b}</article>", "<div><div>{a}{b}</div></div>"])
+def test_articles_apart_nested_and_none(page):
+    page = page.format(a=_passages(0, 4), b=_passages(4, 9))
+    menu = "<ul>" + "".join(f"<li><a href={i}>Link number {i}</a></li>" for i in range(30)) + "</ul>"
+    assert X.main_text(f"<body><nav>{menu}</nav><div>{menu}</div>{page}<footer>end</footer></body>") == _want(9)
