@@ -11,9 +11,10 @@ its children's densities tells how much text sits right below a node. The node o
 sum is the content's heart; the threshold is the smallest density on the path from it up to
 the body. Going down from the body through nodes of at least that density, the subtree of the
 largest sum in each is taken, widened to the outermost article around it, or else the outermost
-main, if the page names one. Within it, elements that by tag, role or class are menus, headers,
-footers, sidebars, notices, adverts, forms or reader comments are left out, as are scripts
-and styles, which never enter the tree.
+main, if the page names one. Elements that by tag, role or class are menus, headers, footers,
+sidebars, notices, adverts, forms or reader comments are left out, as are scripts and styles,
+which never enter the tree. A class, id, role or form alone says little of an element that holds
+most of the characters outside links, a main element or the page's only article: its density decides.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 trimmed, empty ones skipped, and the rest joined in page order by two line feeds.
@@ -62,32 +63,43 @@ _ITEMS = {"li": (frozenset({"li"}), frozenset({"ul", "ol", "menu", "dir"})),
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "out", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
+    __slots__ = ("tag", "parent", "children", "out", "named", "plain", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
 
-    def __init__(self, tag: str, parent: _Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: _Node | None, out: bool, named: bool = False):
+        self.tag, self.parent, self.out, self.named = tag, parent, out, named
         self.children: list[_Node | str] = []
 
 
-def _is_out(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    if tag in BOILERPLATE:
-        return True
+#: Names of reader comments, which can be longer than what they comment on.
+_COMMENTS = re.compile(r"(?:^|[^a-z])(?:comments?|commentlist|disqus|respond|repl(?:y|ies))(?:$|[^a-z])")
+
+
+def _is_out(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    """Whether an element is no main text, and whether only its name, role or being a form says so."""
+    if tag in BOILERPLATE and tag != "form":
+        return True, False
     if tag in ("html", "body"):
-        return False
+        return False, False
+    named = tag == "form"
     for name, value in attrs:
+        if name == "hidden" and tag not in ("main", "article"):
+            return True, False
         if not value:
             continue
         if tag in ("main", "article"):  # named after what surrounds them at times; only comments are not main text
             if name in ("class", "id") and re.search(r"(?:^|[^a-z])(?:comments?|repl(?:y|ies))(?:$|[^a-z])", value.lower()):
-                return True
+                return True, False
             continue
+        if name == "aria-hidden" and value.lower() == "true":
+            return True, False
         if name == "role" and value.strip().lower() in _ROLES:
-            return True
-        if name in ("class", "id") and _NAMES.search(re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()):
-            return True
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+            named = True
+        if name in ("class", "id"):
+            words = re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()
+            if _COMMENTS.search(words):
+                return True, False
+            named = named or bool(_NAMES.search(words))
+    return named, named
 
 
 class _Tree(HTMLParser):
@@ -134,7 +146,7 @@ class _Tree(HTMLParser):
         for rule in (_CLOSES.get(tag), _ITEMS.get(tag)):
             if rule:
                 self._close(*rule)
-        node = _Node(tag, self.at, _is_out(tag, attrs))
+        node = _Node(tag, self.at, *_is_out(tag, attrs))
         self.at.children.append(node)
         if tag in VOID:
             return
@@ -174,11 +186,40 @@ def _post_order(top: _Node) -> list[_Node]:
     return order
 
 
-def _above(node: _Node | None) -> set[_Node]:
-    found = set()
-    while node is not None:
-        found.add(node)
-        node = node.parent
+def _readmit(body: _Node) -> None:
+    """Let the density decide on elements out by name alone that hold most of the page's text, unless
+    the page names articles or a main element apart from them."""
+    order, articles, mains = _post_order(body), [], []
+    for node in order:
+        node.plain = 0
+        if node.out and not node.named or node.tag == "a":
+            continue
+        for c in node.children:
+            node.plain += c.plain if type(c) is _Node else len("".join(c.split()))
+    # parents first: what is below an element that is out for good tells nothing
+    seen, inside = {body.parent}, set()
+    for node in reversed(order):
+        if node.parent not in seen or node.out and not node.named:
+            continue
+        seen.add(node)
+        if node.tag in ("main", "article"):
+            (mains if node.tag == "main" else articles).append(node)
+        if node.tag in ("main", "article") or node.parent in inside:
+            inside.add(node)
+    holding = _above(*mains, *(articles if len(articles) == 1 else []))
+    near = inside | _above(*articles, *mains)
+    for node in order:
+        if node.named and (node in holding or 2 * node.plain > body.plain and (node in near or not near)):
+            node.out = False
+
+
+def _above(*nodes: _Node | None) -> set[_Node]:
+    """The nodes and all that they stand in."""
+    found: set[_Node] = set()
+    for node in nodes:
+        while node is not None and node not in found:
+            found.add(node)
+            node = node.parent
     return found
 
 
@@ -217,6 +258,7 @@ def _measure(body: _Node) -> None:
 
 def _content(body: _Node) -> list[_Node]:
     """The subtrees that hold the main text, in page order."""
+    _readmit(body)
     _measure(body)
     heart = body.best
     threshold, node = heart.density, heart

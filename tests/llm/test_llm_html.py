@@ -70,3 +70,16 @@ def test_articles_apart_nested_and_none(page):
     page = page.format(a=_passages(0, 4), b=_passages(4, 9))
     menu = "<ul>" + "".join(f"<li><a href={i}>Link number {i}</a></li>" for i in range(30)) + "</ul>"
     assert X.main_text(f"<body><nav>{menu}</nav><div>{menu}</div>{page}<footer>end</footer></body>") == _want(9)
+
+
+@pytest.mark.parametrize("start", [
+    '<div class="content with-sidebar">', '<div id="page" class="fixed-header">', '<div class="post sponsored widget-area main">',
+    "<form action=x>", '<div role="search">', '<div class="has-nav"><div class="widget"><form>', '<div class="with-banner"><main>'])
+def test_wrappers_named_like_boilerplate(start):
+    page = f'<body><nav><a href=1>x</a></nav>{start}<div class="sidebar"><p>Side text.</p></div><div>{_passages(0, 6)}</div>'
+    assert X.main_text(page) == _want(6)
+
+
+def test_a_long_advert_beside_a_short_article_stays_out():
+    assert X.main_text('<body><div class="ad">An advert of many words and more.</div><article><p>Short.</p></article></body>') == "Short."
+    assert X.main_text(f'<body><article><div class="has-sidebar">{_passages(0, 6)}</div></article></body>') == _want(6)
