@@ -25,7 +25,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Operator 2: lines that stand earlier in the corpus go from the texts. All documents
     stay, also those that lose all their lines: as empty texts they are near-duplicates of
     each other for the next stage."""
-    found = line_dedup.dedup_lines(docs, Scratch(spark, "pipeline-lines"), removed_col=None)
+    found = line_dedup.dedup_lines(docs, Scratch(spark, "pipeline-lines"), removed_col=None,
+                                   bands=line_dedup.BANDS, equal_from=line_dedup.EQUAL_FROM)
     return found.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in found.columns else found
 
 

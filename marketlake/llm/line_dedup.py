@@ -3,11 +3,14 @@
 A line goes if an equal line, or one within ``max_edits`` edits, stands earlier in the corpus;
 the first of its kind stays. The order is that of documents' ids, then of lines. Lines are
 compared without white space at their ends and with every other run of it as one space; lines
-of fewer than ``min_chars`` characters stay. Texts are split at line feeds.
+of fewer than ``min_chars`` characters are not compared for edits, those of fewer than
+``equal_from`` not at all. ``bands`` in place of the two numbers lets the edits grow with the
+length: pairs of (least length, edits); the shorter line of two decides. Texts are split at
+line feeds.
 
 1. Segments. A line is known by two 64-bit hashes and cut into ``max_edits + 1`` even segments.
    Of two lines within that many edits, one has a segment of the other unchanged, shifted by
-   at most ``max_edits``. So every line writes its segments to an index by (length, segment
+   at most ``max_edits``. Each band of lengths has an index of its own. So every line writes its segments to an index by (length, segment
    number, hash), and probes the indexes of its own and of shorter lengths with the
    substrings at the places that the edits allow. Copies are combined before the shuffle
    into one row with the line's first place and its number of occurrences.
@@ -20,8 +23,8 @@ of fewer than ``min_chars`` characters stay. Texts are split at line feeds.
 4. Each document drops the places of lines that are not their line's first, or whose line has
    an earlier near line.
 
-Only fixed-size rows and candidates are shuffled before the last join. For more than one edit,
-long lists are paired as they are.
+Only fixed-size rows and candidates are shuffled before the last join. Long lists of bands of more
+than one edit are paired as they are.
 
 Null texts stay null; a text left without lines becomes empty. Rows that repeat an id and a
 text count as one document and keep the same lines; null ids come last. Empty tables give
@@ -42,6 +45,9 @@ from marketlake.llm.tables import Scratch, column, fresh
 _LAST = (1 << 63) - 1
 #: Lines of a document that are told apart in the order; later ones count as the last of them.
 _PLACES = 1 << 24
+#: Edits by length for a corpus: one to three, about one in forty characters; and the least length
+#: of lines that are compared for equality. Blank lines stay.
+BANDS, EQUAL_FROM = ((20, 1), (60, 2), (120, 3)), 1
 #: Rows (8 to 24 bytes each) up to which keys are broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -78,28 +84,49 @@ def _keyed(lines: DataFrame, keys: Column) -> DataFrame:
     return lines.select("h1", "h2", "at", F.explode(keys).alias("k")).select("k.seg", "k.role", "h1", "h2", "at").where("seg IS NOT NULL")
 
 
-def _segment(length: Column, segments: int, i: int) -> tuple[Column, Column]:
+def _segment(length: Column, segments: int, i: Column) -> tuple[Column, Column]:
     """0-based start and length of segment ``i``: even segments, the longer ones last."""
     short = F.floor(length / segments).cast("int")
     first_long = F.lit(segments) - (length - short * segments)
-    return short * i + F.greatest(F.lit(i) - first_long, F.lit(0)), short + (F.lit(i) >= first_long).cast("int")
+    return short * i + F.greatest(i - first_long, F.lit(0)), short + (i >= first_long).cast("int")
 
 
-def segment_keys(lines: DataFrame, max_edits: int) -> DataFrame:
+Bands = tuple[tuple[int, int], ...]
+
+
+def _spans(bands: Bands) -> list[tuple[int, int, int]]:
+    """(least length, first length beyond, edits) of each band."""
+    ends = [low for low, _ in bands[1:]] + [1 << 31 - 1]
+    return [(low, end, edits) for (low, edits), end in zip(bands, ends, strict=True)]
+
+
+def _places(max_edits: int) -> list[tuple[int, int, int, int]]:
+    """(role, less, segment, shift) of the keys of a line: index keys first."""
+    index = [(_INDEX if i else _OWN, 0, i, 0) for i in range(max_edits + 1)]
+    # at most i edits stand before the segment and at most max_edits - i after it
+    return index + [(_PROBE, less, i, shift) for less in range(max_edits + 1) for i in range(max_edits + 1)
+                    for shift in range(max(-i, less - (max_edits - i)), min(i, less + max_edits - i) + 1) if less or shift]
+
+
+def segment_keys(lines: DataFrame, bands: Bands) -> DataFrame:
     """(seg, role, h1, h2, at): the index keys and the probes of each line. Probes of a line's
-    own length at its own places are its index keys."""
-    keys, segments, n, line = [], max_edits + 1, F.col("n"), F.col("line")
-    for less in range(max_edits + 1):
-        for i in range(segments):
-            start, size = _segment(n - less, segments, i)
-            # at most i edits stand before the segment and at most max_edits - i after it
-            for shift in range(max(-i, less - (max_edits - i)), min(i, less + max_edits - i) + 1):
-                part = F.substring(line, start + shift + 1, size)
-                if not less and not shift:
-                    keys.append(_key(_INDEX if i else _OWN, n, i, part))
-                else:
-                    keys.append(_key(_PROBE, n - less, i, part, valid=start + shift >= 0))
-    return _keyed(lines, F.array(*keys))
+    own length at its own places are its index keys. Lines below the bands have one key of their own."""
+    n, line = F.col("n"), F.col("line")
+    none = F.array().cast("array<struct<seg: bigint, role: int>>")
+
+    def keys(low: int, end: int, edits: int) -> Column:
+        def key(x: Column) -> Column:
+            length = n - x["less"]
+            start, size = _segment(length, edits + 1, x["i"])
+            seg = F.xxhash64(length, x["i"], F.substring(line, start + x["shift"] + 1, size))
+            seg = F.shiftleft(seg, 1).bitwiseOR(F.lit(int(edits == 1)))  # the last bit tells keys for one edit
+            return F.struct(F.when((length >= low) & (length < end) & (start + x["shift"] >= 0), seg).alias("seg"), x["role"].alias("role"))
+
+        places = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("role", "less", "i", "shift"), p, strict=True))) for p in _places(edits)))
+        return F.when((n >= low) & (n - edits < end), F.transform(places, key)).otherwise(none)
+
+    short = F.when(n < bands[0][0], F.array(_key(_OWN, n, -1, line))).otherwise(none)
+    return _keyed(lines, F.concat(short, *(keys(*span) for span in _spans(bands))))
 
 
 def part_keys(lines: DataFrame, parts: int) -> DataFrame:
@@ -198,19 +225,27 @@ def _pairs(shared: DataFrame) -> DataFrame:
         "low.h1", "low.h2", F.col("high.h1").alias("g1"), F.col("high.h2").alias("g2"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
-    """(h1, h2) of the later line of each pair within ``max_edits`` edits."""
+def _verified(pairs: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
+    """(h1, h2) of the later line of each pair within the edits of its shorter line."""
     a = texts.select("h1", "h2", F.col("line").alias("a"))
     b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("b"))
     both = pairs.join(a, ["h1", "h2"]).join(b, ["g1", "g2"])
-    likely = both.where(parts_agree(F.col("a"), F.col("b"), max_edits))
-    return likely.where(within(F.col("a"), F.col("b"), max_edits)).select(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
+    shorter = F.least(F.length("a"), F.length("b"))
+
+    def by_band(judge) -> Column:
+        out = None
+        for _, end, edits in _spans(bands):
+            test = judge(F.col("a"), F.col("b"), edits)
+            out = F.when(shorter < end, test) if out is None else out.when(shorter < end, test)
+        return out
+
+    return both.where(by_band(parts_agree)).where(by_band(within)).select(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
 
 
 def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16) -> DataFrame:
     """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n) with an earlier one within an edit."""
     shared = _shared(part_keys(hot, parts), scratch)
-    near = _verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, 1)
+    near = _verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, ((0, 1),))
     hottest = shared.where(F.col("rows") > hot_rows).select("h1", "h2").distinct()
     keys = char_keys(hot.join(hottest, ["h1", "h2"], "left_semi"))
     at = lambda role: F.min(F.when(F.col("role") == role, F.col("at")))
@@ -220,28 +255,28 @@ def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16)
     return near.unionByName(keys.join(firsts, "seg").where(earlier < F.col("at")).select("h1", "h2")).distinct()
 
 
-def near_lines(docs: DataFrame, lines: DataFrame, keys: DataFrame, scratch: Scratch, max_edits: int, hot_rows: int) -> DataFrame:
-    """(h1, h2) of the distinct lines that have an earlier one within ``max_edits`` edits."""
+def near_lines(docs: DataFrame, lines: DataFrame, keys: DataFrame, scratch: Scratch, bands: Bands, hot_rows: int) -> DataFrame:
+    """(h1, h2) of the distinct lines that have an earlier one within the edits of their band."""
     shared = _shared(keys.select("seg", "role", "h1", "h2", "at"), scratch)
-    long_lists = F.col("rows") > hot_rows if max_edits == 1 else F.lit(False)
+    long_lists = (F.col("rows") > hot_rows) & (F.col("seg").bitwiseAND(F.lit(1)) == 1)
     pairs = scratch.write(_pairs(shared.where(~long_lists)), "pairs")
     hot = shared.where(long_lists).select("h1", "h2", "at").distinct()
     wanted = scratch.write(pairs.select("h1", "h2").unionByName(pairs.select(F.col("g1").alias("h1"), F.col("g2").alias("h2")))
                            .withColumn("at", F.lit(None).cast("decimal(38,0)")).unionByName(hot)
                            .groupBy("h1", "h2").agg(F.max("at").alias("hot_at")), "wanted")
     texts = scratch.write(lines.select("h1", "h2", "line", "n").join(_checked(wanted), ["h1", "h2"]).distinct(), "texts")
-    near = _verified(pairs, texts, max_edits)
-    if max_edits == 1:
+    near = _verified(pairs, texts, bands)
+    if any(edits == 1 for _, edits in bands):
         near = near.unionByName(_hot_near(texts.where("hot_at IS NOT NULL").withColumnRenamed("hot_at", "at"), scratch, hot_rows))
     return scratch.write(near.distinct(), "near")
 
 
-def places_to_drop(docs: DataFrame, scratch: Scratch, max_edits: int = 1, min_chars: int = 20, hot_rows: int = 32) -> DataFrame:
+def places_to_drop(docs: DataFrame, scratch: Scratch, bands: Bands, equal_from: int, hot_rows: int = 32) -> DataFrame:
     """(doc, body, gone): the places of the lines to drop, for documents that drop some."""
-    lines = eligible_lines(docs, min_chars)
-    keys = scratch.write(segment_keys(lines, max_edits).groupBy("seg", "role", "h1", "h2")
+    lines = eligible_lines(docs, min(equal_from, bands[0][0]))
+    keys = scratch.write(segment_keys(lines, bands).groupBy("seg", "role", "h1", "h2")
                          .agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "segments")
-    near = near_lines(docs, lines, keys, scratch, max_edits, hot_rows)
+    near = near_lines(docs, lines, keys, scratch, bands, hot_rows)
     firsts = keys.where(F.col("role") == _OWN).select("h1", "h2", F.col("at").alias("first_at"), "times")
     verdicts = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("times > 1 OR near")
     verdicts = scratch.write(verdicts.select("h1", "h2", F.when(F.col("near").isNull(), F.col("first_at")).alias("stays")), "verdicts")
@@ -251,12 +286,16 @@ def places_to_drop(docs: DataFrame, scratch: Scratch, max_edits: int = 1, min_ch
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch, max_edits: int = 1, min_chars: int = 20, id_col: str = "doc_id",
-                text_col: str = "text", removed_col: str | None = "n_removed", hot_rows: int = 32) -> DataFrame:
-    """``docs`` with the remaining lines as ``text_col`` and their loss as ``removed_col``."""
+                text_col: str = "text", removed_col: str | None = "n_removed", hot_rows: int = 32,
+                bands: Bands | None = None, equal_from: int | None = None) -> DataFrame:
+    """``docs`` with the remaining lines as ``text_col`` and their loss as ``removed_col``. ``bands``
+    stands in place of ``max_edits`` and ``min_chars``; ``equal_from`` is their least length if not given."""
+    bands = bands or ((min_chars, max_edits),)
+    equal_from = bands[0][0] if equal_from is None else equal_from
     doc = F.coalesce(column(id_col).cast("long"), F.lit(_LAST))
     plain = docs.select(doc.alias("doc"), column(text_col).alias("text"))
     with scratch.part("work") as work:
-        gone = scratch.write(places_to_drop(plain, work, max_edits, min_chars, hot_rows), "gone")
+        gone = scratch.write(places_to_drop(plain, work, bands, equal_from, hot_rows), "gone")
     names = [fresh(docs, n) for n in ("gone_doc", "gone_body", "gone_places")]
     gone = gone.toDF(*names)
     joined = docs.join(gone, (doc == F.col(names[0])) & (_body(column(text_col)) == F.col(names[1])), "left")

@@ -36,7 +36,8 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op2"))
+    found = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "op2"),
+                                   bands=line_dedup.BANDS, equal_from=line_dedup.EQUAL_FROM)
     return found.select("doc_id", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -83,3 +83,29 @@ def test_odd_rows(spark, scratch):  # noqa: F811
     assert sum(r.text is None for r in rows) == 1
     empty = line_dedup.dedup_lines(df.limit(0), scratch)
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [32, 2])
+def test_edits_grow_with_the_length_and_short_lines_are_equal(spark, scratch, hot_rows):  # noqa: F811
+    rng = random.Random(6)
+    base = ["".join(rng.choices("abcd e", k=rng.randint(1, 45))).strip(" ") or "a" for _ in range(30)]
+    docs = [(i or None, None if i == 5 else "\n".join(_edited(rng, rng.choice(base)) for _ in range(rng.randint(0, 9)))) for i in range(60)]
+    docs.append((100, "\n".join(["Les.", "", "Les.", " ", "", "Lez."])))
+    bands, seen, want = ((10, 1), (20, 2), (30, 3)), [], {}
+
+    def near(a: str, b: str) -> bool:
+        edits = max((e for low, e in bands if min(len(a), len(b)) >= low), default=0)
+        return abs(len(a) - len(b)) <= edits and _distance(a, b) <= edits
+
+    for doc, text in sorted(docs, key=lambda r: (r[0] is None, r[0] or 0)):
+        lines = []
+        for line in [] if text is None else text.split("\n"):
+            plain = re.sub(r"[ \t\v\f\r]+", " ", line).strip(" ")
+            if not plain or not any(near(plain, s) for s in seen):
+                lines.append(line)
+            if plain:
+                seen.append(plain)
+        want[doc] = None if text is None else "\n".join(lines)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, scratch, hot_rows=hot_rows, bands=bands, equal_from=1).collect()}
+    assert got == want and got[100] == "Les.\n\n \n\nLez."
