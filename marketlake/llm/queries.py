@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import bpe, chat_format, decontamination, exact_dedup, html_text, line_dedup, quality, simhash, substring_dedup, token_counts
+from marketlake.llm import (bpe, chat_format, clustering, decontamination, exact_dedup, html_text, language, line_dedup, quality, simhash,
+                            substring_dedup, token_counts, whitening)
 from marketlake.llm.tables import Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,3 +138,42 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, byte_bpe_file()).drop("text")
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"), Scratch(spark, "op11"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.cluster(read(spark, sf_dir, "embeddings"), Scratch(spark, "op12"))
+    # a row per centroid, at most 16
+    small = found.centroids.select("cluster", F.col("inertia").alias("cluster_inertia"), F.lit(found.inertia).cast("long").alias("inertia"),
+                                   F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+    return found.rows.join(F.broadcast(small), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+_KEPT = """SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64"""
+_NEAREST = """a{n} AS (SELECT row_id, any_value(vec_id) AS vec_id, any_value(x) AS x, min(d) AS distance, arg_min(cluster, d * 16 + cluster) AS cluster
+  FROM (SELECT row_id, vec_id, x, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{n}) GROUP BY row_id)"""
+_MOVED = """c{m} AS (SELECT c{n}.cluster, coalesce(moved.c, c{n}.c) AS c FROM c{n} LEFT JOIN (
+  SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS c
+  FROM (SELECT cluster, pos, CAST(sum(x[pos]) AS BIGINT) AS s, count(*) AS n FROM a{n}, generate_series(1, 64) AS g(pos) GROUP BY cluster, pos) GROUP BY cluster) AS moved USING (cluster))"""
+ORACLES["op12_clustering"] = f"""
+WITH v AS ({_KEPT}),
+ c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x AS c FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), 'null')) AS h, x FROM v ORDER BY h, x LIMIT 16)),
+ {", ".join(_NEAREST.format(n=n) + ", " + _MOVED.format(n=n, m=n + 1) for n in range(3))}, {_NEAREST.format(n=3)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (cluster)"""
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language.fit(docs, learn=~held_out)
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
