@@ -8,33 +8,48 @@ of fewer than ``min_chars`` characters are not compared for edits, those of fewe
 length: pairs of (least length, edits); the shorter line of two decides. Texts are split at
 line feeds.
 
-1. Segments. A line is known by two 64-bit hashes and cut into ``max_edits + 1`` even segments.
-   Of two lines within that many edits, one has a segment of the other unchanged, shifted by
-   at most ``max_edits``. Each band of lengths has an index of its own. So every line writes its segments to an index by (length, segment
-   number, hash), and probes the indexes of its own and of shorter lengths with the
-   substrings at the places that the edits allow. Copies are combined before the shuffle
-   into one row with the line's first place and its number of occurrences.
-2. Candidates. Keys that one line alone has are dropped; lines that share one are paired.
+1. Lines. A line is known by two 64-bit hashes. One narrow table holds every line's hashes and place;
+   copies are combined into one row with the first place and the number of occurrences, so
+   equality is settled first, and copies are combined before the shuffle.
+2. Segments. Lengths fall into classes (an eighth of a power of two wide, never across two bands).
+   A class has one width of segments, ``max_edits + 1`` of which fit its shortest line; the first
+   ones are laid from the line's start, the last ones from its end, and what lies between belongs
+   to none. Of two lines within that many edits, the shorter one has a segment i that stands
+   unchanged in the longer one with exactly i edits before it, so it is shifted by at most i against
+   the start and by at most ``max_edits - i`` against the end. Each line writes its segments
+   to the index of its class, and probes the index with the substrings at these shifts; a line
+   a few characters beyond a class probes the index of that class too. This makes 2, 5 or 8
+   rows of hashes for one, two or three edits.
+3. Candidates. Keys that one line alone has are dropped; lines that share one are paired.
    A key that more than ``hot_rows`` distinct lines share (a common opening, say) is not
-   paired: with one edit, its lines are keyed anew by everything but one of 16 parts, and those
+   paired. With one edit, its lines are keyed anew by everything but one of 16 parts, and those
    that still share a key with many by everything but one character. There, lines of one
-   key are within an edit, and an aggregation per key takes the place of pairs.
-3. Verification by banded bit-parallel edit distance, over the texts of candidates alone.
-4. Each document drops the places of lines that are not their line's first, or whose line has
+   key are within an edit, and an aggregation per key takes the place of pairs. With more
+   edits, its lines are cut into one segment more and keyed by every two of them (two stay
+   unchanged), lists that are still long by three of another cut. Lists that are long even
+   then hold lines alike in half their text: all are compared with the earliest one first, and only
+   what is not within the edits of it is compared with the others.
+4. Verification by banded bit-parallel edit distance, over the texts of candidates alone, without
+   what both begin and end with.
+5. Each document drops the places of lines that are not their line's first, or whose line has
    an earlier near line.
 
-Only fixed-size rows and candidates are shuffled before the last join. Long lists of bands of more
-than one edit are paired as they are.
+Only fixed-size rows and candidates are shuffled before the last join. Very long lines and texts are
+split into lines and substrings inside the row; a line must fit a row.
 
 Null texts stay null; a text left without lines becomes empty. Rows that repeat an id and a
 text count as one document and keep the same lines; null ids come last. Empty tables give
-empty results; other columns pass through. ``docs`` is read several times: pass a table.
+empty results; other columns pass through, whatever their names, but for one named as
+``removed_col``, which is replaced. ``docs`` is read several times: pass a table.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from functools import reduce
-from operator import or_
+from itertools import combinations, product
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +58,8 @@ from marketlake.llm.tables import Scratch, column, fresh
 
 #: Stands for a null id in the order of documents.
 _LAST = (1 << 63) - 1
-#: Lines of a document that are told apart in the order; later ones count as the last of them.
-_PLACES = 1 << 24
+#: More than the lines of a text.
+_PLACES = 1 << 31
 #: Edits by length for a corpus: one to three, about one in forty characters; and the least length
 #: of lines that are compared for equality. Blank lines stay.
 BANDS, EQUAL_FROM = ((20, 1), (60, 2), (120, 3)), 1
@@ -56,77 +71,106 @@ def _body(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def _first_of(doc: Column) -> Column:
-    return doc.cast("decimal(38,0)") * F.lit(_PLACES).cast("decimal(10,0)")
-
-
 def eligible_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, body, pos, at, line, n, h1, h2): the lines to compare, in their compared form.
-    ``at`` is a line's place in the corpus order. ``docs`` has doc and text."""
+    ``at`` is a line's place in the corpus order; the last bit of h2 is free. ``docs`` has doc and text."""
     even = F.regexp_replace("text", r"[\t\x0B\f\r][ \t\x0B\f\r]*| [ \t\x0B\f\r]+", " ")
     raw = docs.select("doc", _body(F.col("text")).alias("body"), F.posexplode_outer(F.split(even, "\n")).alias("pos", "raw"))
     lines = raw.select("doc", "body", "pos", F.trim("raw").alias("line")).withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
-    at = (_first_of(F.col("doc")) + F.least("pos", F.lit(_PLACES - 1)).cast("decimal(10,0)")).cast("decimal(38,0)")
-    return lines.select("doc", "body", "pos", at.alias("at"), "line", "n",
-                        F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"))
+    at = (F.col("doc").cast("decimal(38,0)") * F.lit(_PLACES).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
+    return lines.select("doc", "body", "pos", at.alias("at"), "line", "n", F.xxhash64("line").alias("h1"),
+                        F.xxhash64(F.lit(1), F.col("line")).bitwiseAND(F.lit(-2)).alias("h2"))
 
 
-# roles of a key row: the first index key of a line, its other index keys, its probes
-_OWN, _INDEX, _PROBE = 0, 1, 2
+# roles of a key row: of the index, a probe of it, and for one edit the line as it is
+_INDEX, _PROBE, _OWN = 0, 1, 2
 
+Bands = tuple[tuple[int, int], ...]
+Spans = list[tuple[int, int, int]]
 
-def _key(role: int, *parts: Column | int, valid: Column | None = None) -> Column:
-    seg = F.xxhash64(*(F.lit(p) if isinstance(p, int) else p for p in parts))
-    return F.struct((seg if valid is None else F.when(valid, seg)).alias("seg"), F.lit(role).alias("role"))
 
+def _spans(bands: Bands) -> Spans:
+    """(least length, first length beyond, edits) of each band."""
+    ends = [low for low, _ in bands[1:]] + [(1 << 31) - 1]
+    return [(low, end, edits) for (low, edits), end in zip(bands, ends, strict=True)]
 
-def _keyed(lines: DataFrame, keys: Column) -> DataFrame:
-    return lines.select("h1", "h2", "at", F.explode(keys).alias("k")).select("k.seg", "k.role", "h1", "h2", "at").where("seg IS NOT NULL")
 
+def _class(n: Column, low: int) -> Column:
+    """The least length of the class of a length of the band from ``low`` on."""
+    step = F.call_function("shiftleft", F.lit(1), F.greatest(F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int") - 3, F.lit(0)))
+    return F.greatest(n - n % step, F.lit(low))
 
-def _segment(length: Column, segments: int, i: Column) -> tuple[Column, Column]:
-    """0-based start and length of segment ``i``: even segments, the longer ones last."""
-    short = F.floor(length / segments).cast("int")
-    first_long = F.lit(segments) - (length - short * segments)
-    return short * i + F.greatest(i - first_long, F.lit(0)), short + (i >= first_long).cast("int")
 
+def _classes(lines: DataFrame, spans: Spans) -> DataFrame:
+    """A row per line and class that it belongs to or probes: ``least`` (the class), ``edits``, ``role``."""
+    n, found = F.col("n"), []
+    for low, end, edits in spans:
+        for less in range(edits + 1):
+            m = n - less
+            inside = (m >= low) & (m < end)
+            if less:  # beyond the last length of a class
+                inside &= (m + 1 >= end) | (_class(m + 1, low) != _class(m, low))
+            found.append(F.when(inside, F.struct(_class(m, low).alias("least"), F.lit(edits).alias("edits"), F.lit(_PROBE if less else _INDEX).alias("role"))))
+    return lines.withColumn("class", F.explode(F.array_compact(F.array(*found))))
 
-Bands = tuple[tuple[int, int], ...]
 
+def _cuts(edits: int, intact: int) -> list[tuple[tuple[int, bool, int], ...]]:
+    """For every choice of ``intact`` of ``edits + intact`` segments, and every shift of each: (segment,
+    whether it is laid from the start, shift). The t-th chosen one, segment i, has i - t edits before it."""
+    def places(t: int, i: int) -> list[tuple[int, bool, int]]:
+        before, after = i - t, edits - (i - t)
+        return [(i, before <= after, s) for s in range(-min(before, after), min(before, after) + 1)]
 
-def _spans(bands: Bands) -> list[tuple[int, int, int]]:
-    """(least length, first length beyond, edits) of each band."""
-    ends = [low for low, _ in bands[1:]] + [1 << 31 - 1]
-    return [(low, end, edits) for (low, edits), end in zip(bands, ends, strict=True)]
+    return [cut for chosen in combinations(range(edits + intact), intact) for cut in product(*(places(t, i) for t, i in enumerate(chosen)))]
+
+
+def segment_keys(lines: DataFrame, spans: Spans, intact: int = 1) -> DataFrame:
+    """(seg, role, h1, h2): the index keys and the probes of each line; a probe without a shift
+    in the line's own class is an index key. The last bit of seg tells keys for one edit."""
+    n, line, least = F.col("n"), F.col("line"), F.col("class.least")
+
+    def keys(edits: int) -> Column:
+        segments = edits + intact
+        width = F.floor(least / segments).cast("int")
 
+        def start(i: Column | int, left: Column, shift: Column | int) -> Column:
+            return F.when(left, width * i + shift).otherwise(n - width * (F.lit(segments) - i) + shift)
 
-def _places(max_edits: int) -> list[tuple[int, int, int, int]]:
-    """(role, less, segment, shift) of the keys of a line: index keys first."""
-    index = [(_INDEX if i else _OWN, 0, i, 0) for i in range(max_edits + 1)]
-    # at most i edits stand before the segment and at most max_edits - i after it
-    return index + [(_PROBE, less, i, shift) for less in range(max_edits + 1) for i in range(max_edits + 1)
-                    for shift in range(max(-i, less - (max_edits - i)), min(i, less + max_edits - i) + 1) if less or shift]
+        def row(seg: Column, fits: Column, probes: Column) -> Column:
+            seg = F.shiftleft(seg, 1).bitwiseOR(F.lit(int(edits == 1)))
+            return F.struct(F.when(fits, seg).alias("seg"), F.when(probes, _PROBE).otherwise(F.col("class.role")).alias("role"))
 
+        def one(cut: tuple) -> Column:
+            (i, left, shift), = cut
+            at = start(i, F.lit(left), shift)
+            return row(F.xxhash64(least, F.lit(edits * 100 + i), F.substring(line, at + 1, width)), at >= 0, F.lit(shift != 0))
 
-def segment_keys(lines: DataFrame, bands: Bands) -> DataFrame:
-    """(seg, role, h1, h2, at): the index keys and the probes of each line. Probes of a line's
-    own length at its own places are its index keys. Lines below the bands have one key of their own."""
-    n, line = F.col("n"), F.col("line")
-    none = F.array().cast("array<struct<seg: bigint, role: int>>")
+        def several(cut: Column) -> Column:
+            at = lambda p: start(p["i"], p["left"], p["shift"])
+            seg = F.aggregate(cut["places"], F.xxhash64(least, cut["name"]), lambda h, p: F.xxhash64(h, F.substring(line, at(p) + 1, width)))
+            return row(seg, F.forall(cut["places"], lambda p: at(p) >= 0), cut["shifted"])
 
-    def keys(low: int, end: int, edits: int) -> Column:
-        def key(x: Column) -> Column:
-            length = n - x["less"]
-            start, size = _segment(length, edits + 1, x["i"])
-            seg = F.xxhash64(length, x["i"], F.substring(line, start + x["shift"] + 1, size))
-            seg = F.shiftleft(seg, 1).bitwiseOR(F.lit(int(edits == 1)))  # the last bit tells keys for one edit
-            return F.struct(F.when((length >= low) & (length < end) & (start + x["shift"] >= 0), seg).alias("seg"), x["role"].alias("role"))
+        if intact == 1:
+            return F.array(*map(one, _cuts(edits, 1)))
+        # many cuts: a table in a literal instead of as many expressions
+        table = [{"name": f"{edits}:{[i for i, _, _ in cut]}", "shifted": any(s for _, _, s in cut),
+                  "places": [{"i": i, "left": left, "shift": s} for i, left, s in cut]} for cut in _cuts(edits, intact)]
+        return F.transform(F.from_json(F.lit(json.dumps(table)), "array<struct<name: string, shifted: boolean, places: "
+                                       "array<struct<i: int, left: boolean, shift: int>>>>"), several)
 
-        places = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("role", "less", "i", "shift"), p, strict=True))) for p in _places(edits)))
-        return F.when((n >= low) & (n - edits < end), F.transform(places, key)).otherwise(none)
+    chosen = None
+    for edits in sorted({e for *_, e in spans}):
+        chosen = F.when(F.col("class.edits") == edits, keys(edits)) if chosen is None else chosen.when(F.col("class.edits") == edits, keys(edits))
+    return _keyed(_classes(lines, spans), chosen)
 
-    short = F.when(n < bands[0][0], F.array(_key(_OWN, n, -1, line))).otherwise(none)
-    return _keyed(lines, F.concat(short, *(keys(*span) for span in _spans(bands))))
+
+def _key(role: int, *parts: Column | int) -> Column:
+    return F.struct(F.xxhash64(*(F.lit(p) if isinstance(p, int) else p for p in parts)).alias("seg"), F.lit(role).alias("role"))
+
+
+def _keyed(lines: DataFrame, keys: Column) -> DataFrame:
+    own = [c for c in ("h1", "h2", "at") if c in lines.columns]
+    return lines.select(*own, F.explode(keys).alias("k")).select("k.seg", "k.role", *own).where("seg IS NOT NULL")
 
 
 def part_keys(lines: DataFrame, parts: int) -> DataFrame:
@@ -202,50 +246,81 @@ def parts_agree(a: Column, b: Column, max_edits: int, parts: int = 8) -> Column:
     return F.size(F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), broken)) <= max_edits
 
 
+def _alike(a: Column, b: Column, most: Column, from_end: bool) -> Column:
+    """How many characters, ``most`` at most, two texts have alike at their start or end: halving steps."""
+    steps = F.when(most > 0, F.sequence(F.floor(F.log2(most)).cast("int") + 1, F.lit(0))).otherwise(F.array().cast("array<int>"))
+
+    def step(got: Column, power: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1), power)
+        part = lambda x: F.substring(x, F.length(x) - got - size + 1, size) if from_end else F.substring(x, got + 1, size)
+        return F.when((got + size <= most) & (part(a) == part(b)), got + size).otherwise(got)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value made once: optimiser rules repeat a column that is used twice, not a lambda's variable."""
+    return F.transform(F.array(value), use)[0]
+
+
+def near(a: Column, b: Column, max_edits: int) -> Column:
+    """Whether two lines are within ``max_edits`` edits. What both begin and end with is left out, which
+    leaves their distance as it is; the cheap condition comes first."""
+    def middles(p: Column) -> Column:
+        cut = lambda x: F.substring(x, p["start"] + 1, F.length(x) - p["start"] - p["end"])
+        return _let(F.struct(cut(p["a"]).alias("a"), cut(p["b"]).alias("b")),
+                    lambda m: parts_agree(m["a"], m["b"], max_edits) & within(m["a"], m["b"], max_edits))
+
+    def ends(p: Column) -> Column:
+        return _let(F.struct(p["a"], p["b"], p["start"], _alike(p["a"], p["b"], p["most"] - p["start"], True).alias("end")), middles)
+
+    def starts(p: Column) -> Column:
+        return _let(F.struct(p["a"], p["b"], p["most"], _alike(p["a"], p["b"], p["most"], False).alias("start")), ends)
+
+    return _let(F.struct(a.alias("a"), b.alias("b"), F.least(F.length(a), F.length(b)).alias("most")), starts)
+
+
 def _checked(table: DataFrame) -> DataFrame:
     """``table``, to be broadcast if it is small; it must be written already."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def _shared(keys: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``keys`` whose key several lines share, with the number of rows as ``rows``."""
-    sizes = keys.groupBy("seg").agg(F.count(F.lit(1)).alias("rows"), F.min("h1").alias("x"), F.max("h1").alias("y"),
-                                    F.min("role").alias("role")).where(f"x != y AND role < {_PROBE}")
-    return scratch.write(keys.join(_checked(scratch.write(sizes.select("seg", "rows"), "sizes")), "seg"), "shared")
+    """The distinct rows of ``keys`` (a written table) whose key several lines share, with the number of rows as ``rows``."""
+    sizes = keys.groupBy("seg").agg(F.min("h1").alias("x"), F.max("h1").alias("y"), F.max(F.col("role") != _PROBE).alias("indexed"))
+    several = scratch.write(sizes.where("x != y AND indexed").select("seg"), "several")
+    shared = scratch.write(keys.join(_checked(several), "seg").distinct(), "shared")
+    return shared.join(shared.groupBy("seg").agg(F.count(F.lit(1)).alias("rows")), "seg")
 
 
 def _pairs(shared: DataFrame) -> DataFrame:
-    """Candidates: (h1, h2, at) of the earlier line and (g1, g2, later) of the other."""
-    a = shared.where(F.col("role") < _PROBE).select("seg", "h1", "h2", "at")
-    b = shared.select("seg", F.col("role").alias("role2"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("at").alias("later"))
-    x, y = F.struct("at", "h1", "h2"), F.struct(F.col("later").alias("at"), F.col("g1").alias("h1"), F.col("g2").alias("h2"))
-    met = a.join(b, "seg").where(F.when(F.col("role2") < _PROBE, x < y).otherwise((F.col("h1") != F.col("g1")) | (F.col("h2") != F.col("g2"))))
+    """Candidates (h1, h2, g1, g2), each once: index rows against all others of their key."""
+    a = shared.where(F.col("role") != _PROBE).select("seg", "h1", "h2")
+    b = shared.select("seg", F.col("role").alias("role2"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+    x, y = F.struct("h1", "h2"), F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
+    met = a.join(b, "seg").where((x < y) | (F.col("role2") == _PROBE) & (x != y))
     low, high = F.least(x, y), F.greatest(x, y)
     return met.select(low.alias("low"), high.alias("high")).distinct().select(
         "low.h1", "low.h2", F.col("high.h1").alias("g1"), F.col("high.h2").alias("g2"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, bands: Bands) -> DataFrame:
-    """(h1, h2) of the later line of each pair within the edits of its shorter line."""
-    a = texts.select("h1", "h2", F.col("line").alias("a"))
-    b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("b"))
+def _verified(pairs: DataFrame, texts: DataFrame, spans: Spans) -> DataFrame:
+    """(h1, h2) of the later line of each pair within the edits of its shorter line. ``texts`` has h1, h2, at and line."""
+    a = texts.select("h1", "h2", F.col("at").alias("a_at"), F.col("line").alias("a"))
+    b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("at").alias("b_at"), F.col("line").alias("b"))
     both = pairs.join(a, ["h1", "h2"]).join(b, ["g1", "g2"])
-    shorter = F.least(F.length("a"), F.length("b"))
-
-    def by_band(judge) -> Column:
-        out = None
-        for _, end, edits in _spans(bands):
-            test = judge(F.col("a"), F.col("b"), edits)
-            out = F.when(shorter < end, test) if out is None else out.when(shorter < end, test)
-        return out
-
-    return both.where(by_band(parts_agree)).where(by_band(within)).select(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
+    shorter, alike = F.least(F.length("a"), F.length("b")), F.lit(False)
+    for low, end, edits in reversed(spans):
+        alike = F.when((shorter >= low) & (shorter < end), near(F.col("a"), F.col("b"), edits)).otherwise(alike)
+    x = F.struct(F.col("a_at").alias("at"), "h1", "h2")
+    y = F.struct(F.col("b_at").alias("at"), F.col("g1").alias("h1"), F.col("g2").alias("h2"))
+    return both.where(alike).select(F.greatest(x, y).alias("later")).select("later.h1", "later.h2")
 
 
 def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16) -> DataFrame:
     """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n) with an earlier one within an edit."""
-    shared = _shared(part_keys(hot, parts), scratch)
-    near = _verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, ((0, 1),))
+    shared = scratch.write(_shared(scratch.write(part_keys(hot.drop("at"), parts), "parts"), scratch), "part-lists")
+    near = _verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, [(0, (1 << 31) - 1, 1)])
     hottest = shared.where(F.col("rows") > hot_rows).select("h1", "h2").distinct()
     keys = char_keys(hot.join(hottest, ["h1", "h2"], "left_semi"))
     at = lambda role: F.min(F.when(F.col("role") == role, F.col("at")))
@@ -255,32 +330,60 @@ def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16)
     return near.unionByName(keys.join(firsts, "seg").where(earlier < F.col("at")).select("h1", "h2")).distinct()
 
 
-def near_lines(docs: DataFrame, lines: DataFrame, keys: DataFrame, scratch: Scratch, bands: Bands, hot_rows: int) -> DataFrame:
-    """(h1, h2) of the distinct lines that have an earlier one within the edits of their band."""
-    shared = _shared(keys.select("seg", "role", "h1", "h2", "at"), scratch)
-    long_lists = (F.col("rows") > hot_rows) & (F.col("seg").bitwiseAND(F.lit(1)) == 1)
-    pairs = scratch.write(_pairs(shared.where(~long_lists)), "pairs")
-    hot = shared.where(long_lists).select("h1", "h2", "at").distinct()
-    wanted = scratch.write(pairs.select("h1", "h2").unionByName(pairs.select(F.col("g1").alias("h1"), F.col("g2").alias("h2")))
-                           .withColumn("at", F.lit(None).cast("decimal(38,0)")).unionByName(hot)
-                           .groupBy("h1", "h2").agg(F.max("at").alias("hot_at")), "wanted")
+def _hot_near_more(hot: DataFrame, scratch: Scratch, spans: Spans, hot_rows: int) -> DataFrame:
+    """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n) with an earlier one within the edits of
+    its span, all of two edits and more."""
+    found = None
+    for intact in (2, 3):
+        keys = scratch.write(segment_keys(hot.drop("at"), spans, intact), f"keys-{intact}")
+        shared = scratch.write(_shared(keys, scratch), f"lists-{intact}")
+        near = scratch.write(_verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, spans).distinct(), f"near-{intact}")
+        found = near if found is None else found.unionByName(near)
+        lists = shared.where(F.col("rows") > hot_rows)
+        hot = scratch.write(hot.join(lists.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"), f"hot-{intact}")
+    rows = lists.select("seg", "role", "h1", "h2")
+    firsts = rows.join(hot.select("h1", "h2", "at"), ["h1", "h2"]).groupBy("seg").agg(F.min(F.struct("at", "h1", "h2")).alias("first")).select(
+        "seg", "first.h1", "first.h2", F.lit(_INDEX).alias("role"))
+    near = scratch.write(_verified(_pairs(rows.withColumn("role", F.lit(_PROBE)).unionByName(firsts)), hot, spans).distinct(), "near-first")
+    # what has an earlier near line need not look for another, but others may still find it
+    done = found.unionByName(near).distinct().withColumn("done", F.lit(True))
+    rows = rows.join(done, ["h1", "h2"], "left")
+    looking = rows.where("done IS NULL").select("seg", F.lit(_INDEX).alias("role"), "h1", "h2").distinct()
+    rest = looking.unionByName(rows.where("done").select("seg", F.lit(_PROBE).alias("role"), "h1", "h2").distinct())
+    return found.unionByName(near).unionByName(_verified(_pairs(rest), hot, spans)).distinct()
+
+
+def near_lines(lines: DataFrame, firsts: DataFrame, scratch: Scratch, spans: Spans, hot_rows: int) -> DataFrame:
+    """(h1, h2) of the distinct lines that have an earlier one within the edits of their span.
+    ``firsts`` has h1, h2 and the first place ``at`` of every line."""
+    shared = scratch.write(_shared(scratch.write(segment_keys(lines, spans), "segments"), scratch), "lists")
+    hot_list, one = F.col("rows") > hot_rows, F.col("seg").bitwiseAND(F.lit(1)) == 1
+    pairs = scratch.write(_pairs(shared.where(~hot_list)), "pairs")
+    wanted = (pairs.select("h1", "h2").unionByName(pairs.select(F.col("g1").alias("h1"), F.col("g2").alias("h2")))
+              .withColumns({"hot_one": F.lit(False), "hot_more": F.lit(False)})
+              .unionByName(shared.where(hot_list).select("h1", "h2", one.alias("hot_one"), (~one).alias("hot_more")))
+              .groupBy("h1", "h2").agg(F.max("hot_one").alias("hot_one"), F.max("hot_more").alias("hot_more")))
+    wanted = scratch.write(firsts.select("h1", "h2", "at").join(wanted, ["h1", "h2"]), "wanted")
     texts = scratch.write(lines.select("h1", "h2", "line", "n").join(_checked(wanted), ["h1", "h2"]).distinct(), "texts")
-    near = _verified(pairs, texts, bands)
-    if any(edits == 1 for _, edits in bands):
-        near = near.unionByName(_hot_near(texts.where("hot_at IS NOT NULL").withColumnRenamed("hot_at", "at"), scratch, hot_rows))
-    return scratch.write(near.distinct(), "near")
+    found = scratch.write(_verified(pairs, texts, spans).distinct(), "near")
+    hot = {name: texts.where(name).select("h1", "h2", "at", "line", "n") for name in ("hot_one", "hot_more")}
+    if any(edits == 1 for *_, edits in spans):
+        found = found.unionByName(_hot_near(hot["hot_one"], scratch, hot_rows))
+    if (more := [s for s in spans if s[2] > 1]) and not hot["hot_more"].isEmpty():
+        found = found.unionByName(_hot_near_more(hot["hot_more"], scratch, more, hot_rows))
+    return scratch.write(found.distinct(), "near-all")
 
 
 def places_to_drop(docs: DataFrame, scratch: Scratch, bands: Bands, equal_from: int, hot_rows: int = 32) -> DataFrame:
     """(doc, body, gone): the places of the lines to drop, for documents that drop some."""
     lines = eligible_lines(docs, min(equal_from, bands[0][0]))
-    keys = scratch.write(segment_keys(lines, bands).groupBy("seg", "role", "h1", "h2")
-                         .agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "segments")
-    near = near_lines(docs, lines, keys, scratch, bands, hot_rows)
-    firsts = keys.where(F.col("role") == _OWN).select("h1", "h2", F.col("at").alias("first_at"), "times")
-    verdicts = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("times > 1 OR near")
-    verdicts = scratch.write(verdicts.select("h1", "h2", F.when(F.col("near").isNull(), F.col("first_at")).alias("stays")), "verdicts")
-    found = lines.select("doc", "body", "pos", "at", "h1", "h2").join(_checked(verdicts), ["h1", "h2"])
+    narrow = scratch.write(lines.select("doc", "body", "pos", "at", "h1", "h2"), "lines")
+    firsts = scratch.write(narrow.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "firsts")
+    spans = [s for s in _spans(bands) if s[2]]
+    found = near_lines(lines, firsts, scratch, spans, hot_rows) if spans else firsts.select("h1", "h2").limit(0)
+    verdicts = firsts.join(found.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("times > 1 OR near")
+    verdicts = scratch.write(verdicts.select("h1", "h2", F.when(F.col("near").isNull(), F.col("at")).alias("stays")), "verdicts")
+    found = narrow.join(_checked(verdicts), ["h1", "h2"])
     gone = found.where("stays IS NULL OR stays != at").select("doc", "body", "pos").distinct()
     return gone.groupBy("doc", "body").agg(F.collect_list("pos").alias("gone"))
 

@@ -109,3 +109,65 @@ def test_edits_grow_with_the_length_and_short_lines_are_equal(spark, scratch, ho
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, scratch, hot_rows=hot_rows, bands=bands, equal_from=1).collect()}
     assert got == want and got[100] == "Les.\n\n \n\nLez."
+
+
+def test_cuts_leave_one_choice_intact():
+    """Whatever segments the edits hit, a choice of segments is unhit and its shifts are among the cuts."""
+    rng = random.Random(8)
+    for edits in (1, 2, 3):
+        for intact in (1, 2, 3):
+            cuts = set(line_dedup._cuts(edits, intact))
+            for _ in range(300):
+                # edits between and inside segments: (segment or gap before it, change of length)
+                hits = [(rng.randrange(edits + intact), rng.random() < 0.5, rng.choice([-1, 0, 1])) for _ in range(rng.randint(0, edits))]
+                free = [i for i in range(edits + intact) if not any(h == i and inside for h, inside, _ in hits)]
+                before = {i: sum(d for h, inside, d in hits if h < i or h == i and not inside) for i in free}
+                total = sum(d for *_, d in hits)
+                assert any(set(i for i, *_ in cut) <= set(free) and all(s == (before[i] if left else before[i] - total) for i, left, s in cut) for cut in cuts)
+
+
+def _random_lines(rng: random.Random, opening: str, count: int, rest: int) -> list[str]:
+    return [opening + "".join(rng.choices("abcdefghijklmnop", k=rest - 1)) + "x" for _ in range(count)]
+
+
+def test_a_long_list_of_three_edits_is_not_paired(spark, scratch, monkeypatch):  # noqa: F811
+    rng = random.Random(9)
+    fresh = _random_lines(rng, "a common opening that very many lines of this table share", 2940, 143)
+    near = [_edited(rng, line) for line in fresh[:60]]
+    lines = fresh + near
+    candidates = []
+    real = line_dedup._verified
+
+    def counted(pairs, texts, spans):
+        candidates.append(pairs.count())
+        return real(pairs, texts, spans)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    df = spark.createDataFrame([(i, "\n".join(lines[i::100])) for i in range(100)], "doc_id long, text string")
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.dedup_lines(df, scratch, bands=((20, 1), (60, 2), (120, 3))).collect()}
+    place = {line: (i, j) for i in reversed(range(100)) for j, line in reversed(list(enumerate(lines[i::100])))}
+    plain = lambda x: re.sub(" +", " ", x).strip()
+    gone = {max(place[a], place[b]) for a, b in zip(near, fresh, strict=False) if a != b and _distance(plain(a), plain(b)) <= 3}
+    for i in range(100):
+        mine = lines[i::100]
+        assert got[i] == [x for j, x in enumerate(mine) if (i, j) not in gone and place[x] == (i, j)]
+    assert sum(candidates) < 10 * len(lines) and len(gone) > 30
+
+
+def test_lines_alike_at_every_cut(spark, scratch):  # noqa: F811
+    """A family that differs in a few places only: lists stay long at every level."""
+    rng = random.Random(10)
+    frame = "".join(rng.choices("abcdefghij klmnop", k=150))
+    lines = [frame[:70] + "".join(rng.choices("01", k=8)) + frame[78:] for _ in range(120)]
+    docs = [(i, "\n".join(lines[i * 6:i * 6 + 6])) for i in range(20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(df, scratch, bands=((20, 1), (60, 2), (120, 3)), hot_rows=4).collect()}
+    kept, seen = {}, []
+    for doc, text in docs:
+        stay = []
+        for x in text.split("\n"):
+            if not any(_distance(x, s) <= 3 for s in seen):
+                stay.append(x)
+            seen.append(x)
+        kept[doc] = "\n".join(stay)
+    assert got == kept
