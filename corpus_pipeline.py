@@ -2,7 +2,8 @@
 
 Each stage works on all that its predecessor kept and takes the columns of ``documents``
 (doc_id, text, lang, source, n_chars); all but the last give them back. ``n_chars`` follows
-the text. Further columns pass through all stages.
+the text. Further columns pass through these stages, whatever their names; the last one returns
+four columns of its own.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from marketlake.llm.tables import Scratch, column, read
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that the classifier rejects or finds toxic go (those without text among them)."""
-    scored = quality.classify(docs, read(spark, sf_dir, "labels"))
-    return scored.where("keep AND NOT is_toxic").select(*(column(c) for c in docs.columns))
+    whole = F.struct(*(column(c) for c in docs.columns)).alias("whole_row")  # out of reach of the classifier's column names
+    seen = docs.select("doc_id", "text", "lang", "source", "n_chars", whole)
+    return quality.classify(seen, read(spark, sf_dir, "labels")).where("keep AND NOT is_toxic").select("whole_row.*")
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
