@@ -29,8 +29,8 @@ line feeds.
    unchanged), lists that are still long by three of another cut. Lists that are long even
    then hold lines alike in half their text: all are compared with the earliest one first, and only
    what is not within the edits of it is compared with the others.
-4. Verification by banded bit-parallel edit distance, over the texts of candidates alone, without
-   what both begin and end with.
+4. Verification by banded bit-parallel edit distance, over the texts of candidates alone, after a
+   cheap test that drops most pairs.
 5. Each document drops the places of lines that are not their line's first, or whose line has
    an earlier near line.
 
@@ -46,7 +46,6 @@ empty results; other columns pass through, whatever their names, but for one nam
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 from functools import reduce
 from itertools import combinations, product
 from operator import and_, or_
@@ -111,7 +110,7 @@ def _classes(lines: DataFrame, spans: Spans) -> DataFrame:
             if less:  # beyond the last length of a class
                 inside &= (m + 1 >= end) | (_class(m + 1, low) != _class(m, low))
             found.append(F.when(inside, F.struct(_class(m, low).alias("least"), F.lit(edits).alias("edits"), F.lit(_PROBE if less else _INDEX).alias("role"))))
-    return lines.withColumn("class", F.explode(F.array_compact(F.array(*found))))
+    return lines.withColumn("class", F.explode(F.array(*found))).where("class IS NOT NULL")  # all in generated code
 
 
 def _cuts(edits: int, intact: int) -> list[tuple[tuple[int, bool, int], ...]]:
@@ -231,53 +230,10 @@ def within(a: Column, b: Column, max_edits: int) -> Column:
     return F.transform(F.array(pair), judged)[0]
 
 
-def parts_agree(a: Column, b: Column, max_edits: int, parts: int = 8) -> Column:
-    """A cheap necessary condition for :func:`within`: an edit breaks one of ``parts`` parts of
-    ``a`` at most, and the others stand in ``b``, shifted by at most ``max_edits``."""
-    n = F.length(a)
-
-    def broken(i: Column) -> Column:
-        start = F.floor(n * i / parts).cast("int")
-        size = F.floor(n * (i + 1) / parts).cast("int") - start
-        part = F.substring(a, start + 1, size)
-        return ~reduce(or_, ((start + s >= 0) & (F.substring(b, F.greatest(start + s, F.lit(0)) + 1, size) == part)
-                             for s in sorted(range(-max_edits, max_edits + 1), key=abs)))
-
-    return F.size(F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), broken)) <= max_edits
-
-
-def _alike(a: Column, b: Column, most: Column, from_end: bool) -> Column:
-    """How many characters, ``most`` at most, two texts have alike at their start or end: halving steps."""
-    steps = F.when(most > 0, F.sequence(F.floor(F.log2(most)).cast("int") + 1, F.lit(0))).otherwise(F.array().cast("array<int>"))
-
-    def step(got: Column, power: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1), power)
-        part = lambda x: F.substring(x, F.length(x) - got - size + 1, size) if from_end else F.substring(x, got + 1, size)
-        return F.when((got + size <= most) & (part(a) == part(b)), got + size).otherwise(got)
-
-    return F.aggregate(steps, F.lit(0), step)
-
-
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value made once: optimiser rules repeat a column that is used twice, not a lambda's variable."""
-    return F.transform(F.array(value), use)[0]
-
-
 def near(a: Column, b: Column, max_edits: int) -> Column:
-    """Whether two lines are within ``max_edits`` edits. What both begin and end with is left out, which
-    leaves their distance as it is; the cheap condition comes first."""
-    def middles(p: Column) -> Column:
-        cut = lambda x: F.substring(x, p["start"] + 1, F.length(x) - p["start"] - p["end"])
-        return _let(F.struct(cut(p["a"]).alias("a"), cut(p["b"]).alias("b")),
-                    lambda m: parts_agree(m["a"], m["b"], max_edits) & within(m["a"], m["b"], max_edits))
-
-    def ends(p: Column) -> Column:
-        return _let(F.struct(p["a"], p["b"], p["start"], _alike(p["a"], p["b"], p["most"] - p["start"], True).alias("end")), middles)
-
-    def starts(p: Column) -> Column:
-        return _let(F.struct(p["a"], p["b"], p["most"], _alike(p["a"], p["b"], p["most"], False).alias("start")), ends)
-
-    return _let(F.struct(a.alias("a"), b.alias("b"), F.least(F.length(a), F.length(b)).alias("most")), starts)
+    """Whether two lines are within ``max_edits`` edits. Spark's bounded distance sends away, as generated
+    code, the pairs that are not; the automaton, which walks texts as arrays, verifies the rest."""
+    return (F.levenshtein(a, b, max_edits) >= 0) & within(a, b, max_edits)
 
 
 def _checked(table: DataFrame) -> DataFrame:
@@ -341,6 +297,8 @@ def _hot_near_more(hot: DataFrame, scratch: Scratch, spans: Spans, hot_rows: int
         found = near if found is None else found.unionByName(near)
         lists = shared.where(F.col("rows") > hot_rows)
         hot = scratch.write(hot.join(lists.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"), f"hot-{intact}")
+        if hot.isEmpty():
+            return found
     rows = lists.select("seg", "role", "h1", "h2")
     firsts = rows.join(hot.select("h1", "h2", "at"), ["h1", "h2"]).groupBy("seg").agg(F.min(F.struct("at", "h1", "h2")).alias("first")).select(
         "seg", "first.h1", "first.h2", F.lit(_INDEX).alias("role"))
@@ -367,7 +325,7 @@ def near_lines(lines: DataFrame, firsts: DataFrame, scratch: Scratch, spans: Spa
     texts = scratch.write(lines.select("h1", "h2", "line", "n").join(_checked(wanted), ["h1", "h2"]).distinct(), "texts")
     found = scratch.write(_verified(pairs, texts, spans).distinct(), "near")
     hot = {name: texts.where(name).select("h1", "h2", "at", "line", "n") for name in ("hot_one", "hot_more")}
-    if any(edits == 1 for *_, edits in spans):
+    if any(edits == 1 for *_, edits in spans) and not hot["hot_one"].isEmpty():
         found = found.unionByName(_hot_near(hot["hot_one"], scratch, hot_rows))
     if (more := [s for s in spans if s[2] > 1]) and not hot["hot_more"].isEmpty():
         found = found.unionByName(_hot_near_more(hot["hot_more"], scratch, more, hot_rows))

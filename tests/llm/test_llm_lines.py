@@ -53,8 +53,8 @@ def test_banded_distance(spark, edits):
         pairs.append((a, _edited(rng, a)))
     df = spark.createDataFrame(pairs, "a string, b string")
     a, b = F.col("a"), F.col("b")
-    for r in df.select("a", "b", line_dedup.within(a, b, edits).alias("w"), line_dedup.parts_agree(a, b, edits).alias("p")).collect():
-        assert r.w == (_distance(r.a, r.b) <= edits) and (r.p or not r.w), r
+    for r in df.select("a", "b", line_dedup.within(a, b, edits).alias("w"), line_dedup.near(a, b, edits).alias("n")).collect():
+        assert r.w == r.n == (_distance(r.a, r.b) <= edits), r
 
 
 @pytest.mark.parametrize(("edits", "hot_rows"), [(1, 32), (1, 2), (2, 32)])
