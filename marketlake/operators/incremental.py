@@ -3,9 +3,9 @@
 The mark is the greatest row of a small JSON table ``{"last_ingest_ts": ...}`` in a state folder. A load
 reads the mark, keeps bronze rows with ``ingest_ts`` strictly greater (string order of
 ISO-8601 UTC text; pushed down to the Parquet scan), appends the transformed increment and
-then advances the mark to the increment's maximum. The append and the mark are not atomic
-(a crash between them re-appends the increment on the next run); the streaming form in
-``marketlake.streaming`` is the exactly-once alternative.
+then advances the mark to the increment's maximum. The plain append and the mark are not atomic
+(a crash between them re-appends the increment on the next run); committed tables
+(``sources.commits``, ``silver_job(dedup=True)``) and the streaming form are exactly-once.
 """
 
 from __future__ import annotations
@@ -60,13 +60,30 @@ def max_mark(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
     return df.agg(F.max(col).alias("last_ingest_ts"))
 
 
-def _observed(obs: Observation) -> dict:
-    """What an observation saw in the job that has ended; nothing if adaptive execution found
-    the observed input empty and cut it off, observation included."""
-    try:
-        return obs.get
-    except Py4JJavaError:
-        return {}
+class Watched:
+    """An increment whose greatest ingest time and number of rows are observed in whatever job reads
+    ``rows`` (D8), before any unnest, so dropped messages still count."""
+
+    def __init__(self, bronze: DataFrame, mark: str | None, col: str = "ingest_ts"):
+        self.mark, self._increment = mark, increment(bronze, mark, col)
+        self._measures = (F.max(col).alias("last_ingest_ts"), F.count(F.lit(1)).alias("rows"))
+        self._obs = Observation("ingest_mark")
+        self.rows = self._increment.observe(self._obs, *self._measures)
+
+    def seen(self) -> tuple[str | None, int]:
+        """(greatest ingest time, rows), after the job. Adaptive execution may have found that the job
+        yields no rows and cut the observation off with the rest: then the increment is aggregated."""
+        try:
+            found = self._obs.get
+        except Py4JJavaError:
+            found = {}
+        if "rows" not in found:
+            found = self._increment.agg(*self._measures).first().asDict()
+        return found["last_ingest_ts"], found["rows"]
+
+    def report(self) -> dict:
+        new, rows = self.seen()
+        return {"written": rows > 0, "previous_mark": self.mark, "mark": self.mark if new is None else new, "bronze_rows": rows}
 
 
 def incremental_append(
@@ -78,20 +95,18 @@ def incremental_append(
     partition_by: Sequence[str] = S.SILVER_PARTITIONS,
     col: str = "ingest_ts",
     write: Callable[[DataFrame], None] | None = None,
+    mark: str | None = None,
 ) -> dict:
     """One incremental load. Returns ``{"written", "previous_mark", "mark"}``.
 
     D3: an empty increment adds no rows and keeps the mark. Emptiness and the new mark are
     observed during the one write job (an ``Observation`` on the increment, before any
     unnest, so dropped messages still count); bronze is scanned once. A NULL maximum leaves
-    the stored mark unchanged. ``write`` replaces the plain append of the transformed rows.
+    the stored mark unchanged. ``write`` replaces the plain append of the transformed rows, ``mark`` the stored mark.
     """
-    mark = read_mark(spark, state_dir)
-    obs = Observation("ingest_mark")
-    observed = increment(bronze, mark, col).observe(obs, F.max(col).alias("last_ingest_ts"), F.count(F.lit(1)).alias("rows"))
-    (write or (lambda df: write_table(df, sink_path, partition_by, mode="append")))(transform(observed))
-    seen = _observed(obs)
-    new_mark, rows = seen.get("last_ingest_ts"), seen.get("rows", 0)
+    watched = Watched(bronze, mark or read_mark(spark, state_dir), col)
+    (write or (lambda df: write_table(df, sink_path, partition_by, mode="append")))(transform(watched.rows))
+    new_mark, _ = watched.seen()
     if new_mark is not None:
         write_mark(spark, state_dir, new_mark)
-    return {"written": rows > 0, "previous_mark": mark, "mark": new_mark if new_mark is not None else mark, "bronze_rows": rows}
+    return watched.report()

@@ -28,6 +28,38 @@ def first_product_id(msg: str = "m") -> Column:
             .when(F.size(trades) > 0, F.get(trades, 0).getField("product_id")))
 
 
+def _quoted(text: Column) -> Column:
+    """A string as JSON."""
+    listed = F.to_json(F.array(text))
+    return F.substr(listed, F.lit(2), F.length(listed) - 2)
+
+
+def stamped(text: Column, stamps: Mapping[str, Column]) -> Column:
+    """The JSON object ``text`` with the fields ``stamps``. The text itself is sent, numbers of any length
+    and form, nulls and unknown fields as they came. Only an object that holds a field twice, or one of the
+    stamps already, is put together again: of equal fields the last one counts, old stamps go."""
+    added = F.concat_ws(",", *(F.concat(F.lit(f'"{name}":'), _quoted(value)) for name, value in stamps.items()))
+    names = F.json_object_keys(text)
+    clash = (F.size(F.array_distinct(names)) < F.size(names)) | F.arrays_overlap(names, F.array(*map(F.lit, stamps)))
+    # values as text; the variants only tell strings from the rest. Where they fail (a field twice further
+    # down), what reads as a number, truth value, list or object is none
+    parsed = F.struct(F.map_entries(F.from_json(text, "map<string, string>")).alias("texts"), F.map_entries(F.from_json(text, "map<string, variant>")).alias("kinds"))
+
+    def again(p: Column) -> Column:
+        def field(entry: Column, i: Column) -> Column:
+            kind = F.schema_of_variant(F.get(p["kinds"], i)["value"])
+            bare = F.coalesce(kind != "STRING", entry["value"].rlike(r"(?s)^(-?\d+(\.\d+)?([eE][+-]?\d+)?|true|false|\[.*\]|\{.*\})$"))
+            shown = F.when(entry["value"].isNull(), F.lit("null")).when(bare, entry["value"]).otherwise(_quoted(entry["value"]))
+            goes = entry["key"].isin(*stamps) | F.exists(F.slice(p["texts"], i + 2, F.size(p["texts"])), lambda later: later["key"] == entry["key"])
+            return F.when(~goes, F.concat(_quoted(entry["key"]), F.lit(":"), shown))
+
+        return F.concat(F.lit("{"), F.concat_ws(",", F.array_compact(F.transform(p["texts"], field)), added), F.lit("}"))
+
+    # as a lambda's variable, the object is parsed once
+    rebuilt = F.transform(F.array(parsed), again)[0]
+    return F.when(clash, rebuilt).otherwise(F.concat(F.regexp_replace(text, r"\}\s*$", ""), F.lit(","), added, F.lit("}")))
+
+
 def route_messages(
     raw: DataFrame,
     value_col: str = "value",
@@ -47,8 +79,7 @@ def route_messages(
     """
     stamp = utc_now_iso() if ingest_ts is None else (F.lit(ingest_ts) if isinstance(ingest_ts, str) else ingest_ts)
     text = F.col(value_col).cast("string")
-    # read by its declared layout to decide, and field by field as it is to send
-    parsed = raw.select(F.from_json(text, S.ANY_MESSAGE).alias("m"), F.from_json(text, "map<string, variant>").alias("document"))
+    parsed = raw.select(F.from_json(text, S.ANY_MESSAGE).alias("m"), text.alias("text"))  # read by its declared layout to decide
     pid = first_product_id("m")
     topic = None
     for channel, name in topics.items():
@@ -58,13 +89,11 @@ def route_messages(
             .filter(F.length("product_id") > 0))
     if products is not None:
         kept = kept.filter(F.col("product_id").isin(*products))
-    stamps = {"ingest_ts": stamp, "source": F.lit(source)}
-    msg = F.map_concat(F.map_filter("document", lambda name, _: ~name.isin(*stamps)),
-                       F.create_map(*(x for name, value in stamps.items() for x in (F.lit(name), value.cast("variant")))))
+    value = stamped(F.col("text"), {"ingest_ts": stamp, "source": F.lit(source)})
     return kept.select(
         topic.alias("topic"),
         F.col("product_id").alias("key"),
-        F.to_json(msg).alias("value"),
+        value.alias("value"),
         F.col("m.channel").alias("channel"),
         "product_id",
     )

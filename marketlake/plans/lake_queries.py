@@ -290,7 +290,7 @@ def silver_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
         q = ST.start_silver(spark, f"{root}/bronze", "trades", f"{root}/silver", f"{root}/ckpt",
                             available_now=True, dedup=True)
         ST.run_until_idle(q)
-    out = L.read_table(spark, f"{root}/silver", S.SILVER_TRADES)
+    out = JOBS.read_lake(spark, f"{root}/silver", S.SILVER_TRADES)
     return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
 
 
@@ -308,8 +308,9 @@ def silver_ticker_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     q = ST.start_silver(spark, f"{root}/bronze", "ticker", f"{root}/silver", f"{root}/ckpt",
                         available_now=True, dedup=True, max_files=40)
     ST.run_until_idle(q)
-    out = spark.read.parquet(f"{root}/silver")
-    return out.select(*[c for c in out.columns if c not in ("ingest_ts", "load_id")])
+    fields = list(S.SILVER_TICKER.fields)
+    fields[-2:-2] = [S.BRONZE_TICKER[c] for c in ("client_id", "sequence_num")]
+    return JOBS.read_lake(spark, f"{root}/silver", S.StructType(fields)).drop("ingest_ts")
 
 
 _DEDUPED_TRADES = f"""
@@ -328,7 +329,7 @@ def silver_stream_dedup_late(spark: SparkSession, d: str) -> DataFrame:
                  bronze.where(F.col("ingest_ts") <= MARK).where(~sent_again)):
         L.write_table(part, f"{root}/bronze", S.BRONZE_PARTITIONS)
         ST.run_until_idle(ST.start_silver(spark, f"{root}/bronze", "trades", f"{root}/silver", f"{root}/ckpt", dedup=True))
-    out = L.read_table(spark, f"{root}/silver", S.SILVER_TRADES)
+    out = JOBS.read_lake(spark, f"{root}/silver", S.SILVER_TRADES)
     return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
 
 
@@ -340,7 +341,7 @@ def silver_job_dedup(spark: SparkSession, d: str) -> DataFrame:
     for part in (bronze.where(F.col("ingest_ts") <= MARK), bronze.where(F.col("ingest_ts") > MARK)):
         L.write_table(part, f"{root}/bronze", ["ingest_date", *S.BRONZE_PARTITIONS])
         JOBS.silver_job(spark, "trades", f"{root}/bronze", f"{root}/silver", f"{root}/state", dedup=True, ingest_date=True)
-    out = L.read_table(spark, f"{root}/silver", S.SILVER_TRADES)
+    out = JOBS.read_lake(spark, f"{root}/silver", S.SILVER_TRADES)
     return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
 
 

@@ -8,6 +8,8 @@ supported on streams (``NON_TIME_WINDOW_NOT_SUPPORTED_IN_STREAMING``), so gold s
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +17,7 @@ from marketlake import schemas as S
 from marketlake.operators.bronze import bronze_ticker, bronze_trades
 from marketlake.operators.silver import silver_ticker, silver_trades
 from marketlake.plans.jobs import store_load
+from marketlake.sources.commits import put_if_absent
 from marketlake.sources.lake import start_table_stream
 
 
@@ -47,15 +50,19 @@ def start_silver(spark: SparkSession, bronze_path: str, kind: str, path: str, ch
     ``dedup`` drops repeats: trades by (product_id, trade_id) (J1), ticker rows by (product_id,
     sequence_num) (J2; the ticker silver then keeps client_id and sequence_num). Each micro-batch
     is compared with itself and with all stored keys, so a row is dropped only if its key is
-    stored, however late it comes (H4); a replayed micro-batch replaces its own rows."""
+    stored, however late it comes (H4). Silver is then a committed table (read it with
+    ``plans.jobs.read_lake``): a replayed micro-batch changes nothing, and a stream with a new
+    checkpoint is another stream, which adds to what is stored and replaces none of it."""
     src = bronze_file_stream(spark, bronze_path, kind, max_files, max_bytes)
     out = silver_trades(src) if kind == "trades" else silver_ticker(src, keep_sequence=dedup)
     if not dedup:
         return start_table_stream(out, path, checkpoint, S.SILVER_PARTITIONS, available_now=available_now,
                                   processing_time=processing_time, query_name=f"silver_{kind}")
 
+    stream = stream_name(spark, checkpoint)
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        store_load(batch.sparkSession, batch, kind, path, f"batch-{batch_id}")
+        store_load(batch.sparkSession, batch, kind, path, stream, batch_id)
 
     w = out.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).queryName(f"silver_{kind}")
     if available_now:
@@ -65,6 +72,14 @@ def start_silver(spark: SparkSession, bronze_path: str, kind: str, path: str, ch
     return w.start()
 
 
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name of its own for the stream of a checkpoint, kept in the checkpoint: batch numbers start
+    again with each new one."""
+    file = f"{checkpoint}/marketlake-stream.txt"
+    put_if_absent(spark, file, uuid.uuid4().hex)
+    return spark.read.text(file).first()["value"]
+
+
 def await_query(query: StreamingQuery) -> None:
     """Block until the query ends; its error is raised here."""
     query.awaitTermination()

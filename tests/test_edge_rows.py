@@ -7,6 +7,7 @@ import json
 import pytest
 from conftest import ticker_rows, trade_rows
 
+from marketlake import schemas as S
 from marketlake.operators import bronze as B
 from marketlake.operators import routing as R
 from marketlake.operators import silver as SV
@@ -247,3 +248,15 @@ def test_empty_trades(spark, quote_join):
     q = ticker_rows(spark, [("BTC-USD", "2024-01-01T00:00:30Z", "i1", 95.0, 96.0)])
     out = G.build_features(t, q, quote_join=quote_join)
     assert out.count() == 0 and len(out.columns) == 77
+
+
+def test_messages_are_sent_as_they_came(spark):
+    big, stamps = "123456789012345678901234567890123456789012345", {"ingest_ts": "now", "source": S.SOURCE_TAG}
+    head = '{"channel": "ticker", "events": [{"tickers": [{"product_id": "BTC-USD"}]}]'
+    msgs = [f'{head}, "n": {big}, "f": 1.0, "z": null, "s": "1", "q": "a\\"}}b"}} ', f'{head}, "x": 1, "x": "2", "n": {big}, "y": [1, "1"], "t": true}}',
+            f'{head}, "source": "other", "ingest_ts": null, "x": {{"a": 1, "a": 2}}, "s": "word"}}']
+    out = [r["value"] for r in R.route_messages(_raw(spark, msgs), ingest_ts="now").collect()]
+    assert sorted(map(json.dumps, map(json.loads, out))) == sorted(json.dumps(json.loads(m) | stamps) if "other" not in m else
+                                                                  json.dumps({k: v for k, v in json.loads(m).items() if k not in stamps} | stamps) for m in msgs)
+    assert all(big in v for v in out if '"n"' in v)
+    assert all(len(json.loads(v, object_pairs_hook=lambda p: p)) == len(json.loads(v)) for v in out)

@@ -103,10 +103,10 @@ def test_silver_job_keeps_late_rows_and_drops_stored_ones(spark, tmp_path):
     load([_trade(5, "1"), _trade(5, "1"), _trade(5, None)])
     load([("2024-01-01T00:00:00Z", *_trade(6, "2")[1:]), ("2024-01-05T00:00:00Z", *_trade(6, "1")[1:])])  # late row, re-sent row
     assert _ids(spark, silver) == ["1", "2", "None"]
-    # a crash after the append and before the mark: the load runs again and changes nothing
+    # the same batch twice changes nothing
     rows = SV.silver_trades(L.read_table(spark, bronze, S.BRONZE_TRADES))
     for _ in range(2):
-        JOBS.store_load(spark, rows, "trades", str(tmp_path / "again"), "x")
+        JOBS.store_load(spark, rows, "trades", str(tmp_path / "again"), "x", 0)
     assert _ids(spark, str(tmp_path / "again")) == ["1", "2", "None"]
     assert not JOBS.silver_job(spark, "trades", bronze, silver, state, dedup=True)["written"]
     assert _ids(spark, silver) == ["1", "2", "None"]
@@ -121,8 +121,8 @@ def test_stream_in_several_batches_equals_batch_and_replays(spark, tmp_path, kin
     assert ST.run_until_idle(q)
     assert len(q.recentProgress) >= 3
     assert _ids(spark, silver) == ["3", "7", "9"]
-    batch = spark.read.parquet(silver).where("load_id = 'batch-1'").drop("load_id")
-    JOBS.store_load(spark, SE.materialize(batch, "replay"), kind, silver, "batch-1")
+    stream = ST.stream_name(spark, str(tmp_path / "c"))
+    JOBS.store_load(spark, SE.materialize(JOBS.read_lake(spark, silver, S.SILVER_TRADES), "replay"), kind, silver, stream, 1)
     assert _ids(spark, silver) == ["3", "7", "9"]
 
 
