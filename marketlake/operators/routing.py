@@ -60,6 +60,43 @@ def stamped(text: Column, stamps: Mapping[str, Column]) -> Column:
     return F.when(clash, rebuilt).otherwise(F.concat(F.regexp_replace(text, r"\}\s*$", ""), F.lit(","), added, F.lit("}")))
 
 
+def classified(raw: DataFrame, value_col: str = "value", topics: Mapping[str, str] = DEFAULT_TOPICS, products: Sequence[str] | None = None) -> DataFrame:
+    """(text, m, product_id, reason): every message, read by its declared layout, and why it is not
+    routed: ``not_json`` (no JSON object), ``no_channel``, ``other_channel``, ``no_product`` or
+    ``not_subscribed``; NULL for those that are. Null messages are ``not_json``."""
+    text = F.col(value_col).cast("string")
+    parsed = raw.select(F.from_json(text, S.ANY_MESSAGE).alias("m"), text.alias("text")).withColumn("product_id", first_product_id("m"))
+    channel = F.col("m.channel")
+    reason = (F.when(channel.isNull(), F.when(F.json_object_keys("text").isNull(), "not_json").otherwise("no_channel"))
+              .when(~channel.isin(*topics.keys()), "other_channel")
+              .when(F.coalesce(F.length("product_id"), F.lit(0)) == 0, "no_product"))
+    if products is not None:
+        reason = reason.when(~F.col("product_id").isin(*products), "not_subscribed")
+    return parsed.withColumn("reason", reason)
+
+
+def routed(messages: DataFrame, ingest_ts: Column | str | None = None, source: str = S.SOURCE_TAG, topics: Mapping[str, str] = DEFAULT_TOPICS) -> DataFrame:
+    """The messages of :func:`classified` without a reason, for a keyed sink."""
+    stamp = utc_now_iso() if ingest_ts is None else (F.lit(ingest_ts) if isinstance(ingest_ts, str) else ingest_ts)
+    topic = None
+    for channel, name in topics.items():
+        topic = (F.when if topic is None else topic.when)(F.col("m.channel") == channel, F.lit(name))
+    value = stamped(F.col("text"), {"ingest_ts": stamp, "source": F.lit(source)})
+    kept = messages.filter(F.col("reason").isNull())
+    return kept.select(
+        topic.alias("topic"),
+        F.col("product_id").alias("key"),
+        value.alias("value"),
+        F.col("m.channel").alias("channel"),
+        "product_id",
+    )
+
+
+def dead_letters(messages: DataFrame) -> DataFrame:
+    """(value, reason): the messages of :func:`classified` that are not routed, as they came."""
+    return messages.filter(F.col("reason").isNotNull()).select(F.col("text").alias("value"), "reason")
+
+
 def route_messages(
     raw: DataFrame,
     value_col: str = "value",
@@ -77,23 +114,4 @@ def route_messages(
     (B8), unknown fields and explicit nulls included. ``products`` restricts to a
     subscription set (B9).
     """
-    stamp = utc_now_iso() if ingest_ts is None else (F.lit(ingest_ts) if isinstance(ingest_ts, str) else ingest_ts)
-    text = F.col(value_col).cast("string")
-    parsed = raw.select(F.from_json(text, S.ANY_MESSAGE).alias("m"), text.alias("text"))  # read by its declared layout to decide
-    pid = first_product_id("m")
-    topic = None
-    for channel, name in topics.items():
-        topic = (F.when if topic is None else topic.when)(F.col("m.channel") == channel, F.lit(name))
-    kept = (parsed.filter(F.col("m.channel").isin(*topics.keys()))
-            .withColumn("product_id", pid)
-            .filter(F.length("product_id") > 0))
-    if products is not None:
-        kept = kept.filter(F.col("product_id").isin(*products))
-    value = stamped(F.col("text"), {"ingest_ts": stamp, "source": F.lit(source)})
-    return kept.select(
-        topic.alias("topic"),
-        F.col("product_id").alias("key"),
-        value.alias("value"),
-        F.col("m.channel").alias("channel"),
-        "product_id",
-    )
+    return routed(classified(raw, value_col, topics, products), ingest_ts, source, topics)

@@ -81,6 +81,15 @@ def store_load(spark: SparkSession, rows: DataFrame, kind: str, silver_path: str
     raise C.Conflict(f"{silver_path}: other writers came first ten times")
 
 
+def compact_silver(spark: SparkSession, kind: str, silver_path: str) -> C.State:
+    """A5, A10: the loads of a deduplicated silver table as one, its keys indexed anew."""
+    fields = list(SILVER_SCHEMAS[kind].fields)
+    if kind == "ticker":
+        fields[-2:-2] = [S.BRONZE_TICKER[c] for c in ("client_id", "sequence_num")]
+    return C.compact(spark, silver_path, StructType(fields), S.SILVER_PARTITIONS, before_commit=lambda load, rows: K.write_index(
+        spark, silver_path, load, rows, StructType(fields), SILVER_KEYS[kind]))
+
+
 def silver_job(spark: SparkSession, kind: str, bronze_path: str, silver_path: str, state_dir: str, dedup: bool = False,
                validate: bool = False, quarantine_path: str | None = None, ingest_date: bool = False) -> dict:
     """Incremental load of new bronze rows into silver.

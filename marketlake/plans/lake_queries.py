@@ -7,6 +7,7 @@ checkpoint location (``spark.checkpoint.dir``) and return what they read back.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from marketlake.plans import jobs as JOBS
 from marketlake.plans import oracles as O
 from marketlake.plans.queries import _GOLD_FILTER, _gold, _gold_sql_cols, _round_vol, register
 from marketlake.session import scratch_dir
+from marketlake.sources import commits as C
 from marketlake.sources import lake as L
 from marketlake.sources import testdata as TD
 from marketlake.streaming import jobs as ST
@@ -171,6 +173,30 @@ def route_whole_message(spark: SparkSession, d: str) -> DataFrame:
                          F.get_json_object(v, "$.extra").alias("extra"), F.contains(v, F.lit('"note":null')).alias("note_kept"))
 
 
+@register("dead_letters", _with(False, """
+, n AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT channel_x, product_x, t, msg_x FROM ev)),
+ b AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT channel_x, product_x, t, msg_x FROM ev WHERE product_x = 'BTC-USD'))
+SELECT r AS outcome, CASE r WHEN 'routed' THEN b.n WHEN 'not_subscribed' THEN n.n - b.n ELSE n.n END AS messages
+FROM n, b, (SELECT unnest(['routed', 'not_subscribed', 'other_channel', 'no_product', 'not_json', 'no_channel']) AS r)"""))
+def dead_letters(spark: SparkSession, d: str) -> DataFrame:
+    """Every message five times, four times broken in a way of its own, routed as a stream with a restart:
+    messages routed and dropped by reason, read back from the two tables."""
+    root = _scratch(spark, "dead-letters")
+    raw = _raw(spark, d, None, malformed=False)
+    broken = [raw.select(F.regexp_replace("value", '"channel":"[a-z_]+"', '"channel":"heartbeats"').alias("value")),
+              raw.select(F.regexp_replace("value", '"product_id":"[^"]*"', '"product_id":""').alias("value")),
+              raw.select(F.expr("substr(value, 2)").alias("value")),
+              raw.select(F.regexp_replace("value", '"channel":"[a-z_]+"', '"chanel":"x"').alias("value"))]
+    for part in (raw, reduce(DataFrame.unionByName, broken)):
+        part.write.mode("append").text(f"{root}/raw")
+        q = ST.start_routing(L.text_stream(spark, f"{root}/raw"), f"{root}/routed", f"{root}/dropped", f"{root}/ckpt", available_now=True,
+                             ingest_ts=ROUTE_STAMP, products=("BTC-USD",))
+        ST.run_until_idle(q)
+    kept = C.read_committed(spark, f"{root}/routed", S.ROUTED).select(F.lit("routed").alias("outcome"))
+    dropped = C.read_committed(spark, f"{root}/dropped", S.DEAD_LETTERS).select(F.col("reason").alias("outcome"))
+    return kept.unionByName(dropped).groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
+
+
 # ---------------------------------------------------------------- bronze (C*)
 
 @register("bronze_trades_flatten", _with(False, bronze_trades_sql(True, False)))
@@ -345,6 +371,33 @@ def silver_job_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*[f.name for f in S.SILVER_TRADES.fields if f.name != "ingest_ts"])
 
 
+@register("silver_two_streams", _with(True, _DEDUPED_TRADES))
+def silver_two_streams(spark: SparkSession, d: str) -> DataFrame:
+    """Two streams with checkpoints of their own, whose bronze overlaps, into one silver table; then the
+    first one again after its checkpoint was lost. Nothing is lost, nothing stored twice."""
+    root = _scratch(spark, "two-streams")
+    bronze = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True))
+    L.write_table(bronze.where(F.col("ingest_ts") <= MARK), f"{root}/one", S.BRONZE_PARTITIONS)
+    L.write_table(bronze.where(F.col("ingest_ts") > "2024-01-10"), f"{root}/two", S.BRONZE_PARTITIONS)
+    for source, checkpoint in (("one", "a"), ("two", "b"), ("one", "c")):
+        ST.run_until_idle(ST.start_silver(spark, f"{root}/{source}", "trades", f"{root}/silver", f"{root}/ckpt-{checkpoint}", dedup=True))
+    return JOBS.read_lake(spark, f"{root}/silver", S.SILVER_TRADES).drop("ingest_ts")
+
+
+@register("silver_compacted", _with(True, _DEDUPED_TRADES))
+def silver_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """Three deduplicated loads, their folders put together, and one more load looked up against the result."""
+    root = _scratch(spark, "compacted")
+    bronze = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True))
+    bounds = ["", "2024-01-08", MARK, "2024-01-24", "9"]
+    for i, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        rows = SV.silver_trades(bronze.where((F.col("ingest_ts") > low) & (F.col("ingest_ts") <= high)))
+        JOBS.store_load(spark, rows, "trades", f"{root}/silver", "batch", i)
+        if i == 2:
+            JOBS.compact_silver(spark, "trades", f"{root}/silver")
+    return JOBS.read_lake(spark, f"{root}/silver", S.SILVER_TRADES).drop("ingest_ts")
+
+
 # ---------------------------------------------------------------- quality
 
 @register("dedup_trades", _silver_trades_sql(False, False))
@@ -467,6 +520,20 @@ def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     return _round_vol(spark.read.parquet(f"{root}/gold"))
 
 
+@register("gold_published", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
+def gold_published(spark: SparkSession, d: str) -> DataFrame:
+    """Gold published twice by switching manifests, the first time from half of the trades; read back through
+    the last one. Equals ``feature_table``."""
+    root = _scratch(spark, "published")
+    ev = _events(spark, d)
+    L.write_table(TD.ticker(ev), f"{root}/ticker", S.SILVER_PARTITIONS)
+    trades = TD.trades(ev)
+    for part in (trades.where(F.col("event_date") < "2024-01-15"), trades.where(F.col("event_date") >= "2024-01-15")):
+        L.write_table(part, f"{root}/trades", S.SILVER_PARTITIONS)
+        JOBS.gold_job(spark, f"{root}/trades", f"{root}/ticker", f"{root}/gold", publish=True)
+    return _round_vol(JOBS.read_lake(spark, f"{root}/gold", _gold(spark, d).schema))
+
+
 @register("target50_filter", O.features_ctes() +
           f"SELECT product_id, trade_id, target_return_50 FROM gold {_GOLD_FILTER} AND target_return_50 IS NOT NULL")
 def target50_filter(spark: SparkSession, d: str) -> DataFrame:

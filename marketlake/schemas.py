@@ -113,3 +113,7 @@ MARK_SCHEMA = StructType(_strings("last_ingest_ts"))
 BRONZE_PARTITIONS = ("event_date",)
 SILVER_PARTITIONS = ("event_date", "product_id")
 GOLD_PARTITIONS = ("product_id", "event_date")
+
+# What the routing stream keeps.
+ROUTED = StructType(_strings("key", "value", "channel", "product_id", "topic"))
+DEAD_LETTERS = StructType(_strings("value", "reason"))

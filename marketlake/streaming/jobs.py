@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake import schemas as S
+from marketlake.operators import routing as R
 from marketlake.operators.bronze import bronze_ticker, bronze_trades
 from marketlake.operators.silver import silver_ticker, silver_trades
 from marketlake.plans.jobs import store_load
-from marketlake.sources.commits import put_if_absent
+from marketlake.session import materialize, scratch_scope
+from marketlake.sources import commits as C
 from marketlake.sources.lake import start_table_stream
 
 
@@ -31,6 +33,32 @@ def start_bronze(raw_stream: DataFrame, kind: str, path: str, checkpoint: str, a
                               processing_time=processing_time, query_name=f"bronze_{kind}")
 
 
+def start_routing(raw_stream: DataFrame, routed_path: str, dropped_path: str, checkpoint: str, available_now: bool = False,
+                  processing_time: str | None = None, **routing) -> StreamingQuery:
+    """B1-B9 with dead letters: each micro-batch is classified once, its messages go to the committed table
+    ``routed_path`` (a folder per topic) and what is dropped, with its reason, to ``dropped_path``. A replayed
+    micro-batch changes neither table. ``routing``: ``topics``, ``products``, ``ingest_ts``, ``source``."""
+    spark = raw_stream.sparkSession
+    stream = stream_name(spark, checkpoint)
+    choice = {k: routing[k] for k in ("topics", "products") if k in routing}
+    stamps = {k: v for k, v in routing.items() if k != "products"}
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        with scratch_scope(batch.sparkSession):
+            messages = materialize(R.classified(batch, **choice), "classified")
+            for rows, path, parts in ((R.routed(messages, **stamps), routed_path, ["topic"]), (R.dead_letters(messages), dropped_path, ["reason"])):
+                if C.read_state(spark, path).batches.get(stream, -1) < batch_id:
+                    load = C.new_load()
+                    C.commit(spark, path, C.appended(load, C.write_load(rows, path, parts, load), stream, batch_id))
+
+    w = raw_stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).queryName("routing")
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
 def bronze_file_stream(spark: SparkSession, path: str, kind: str, max_files: int | None = None, max_bytes: str | None = None) -> DataFrame:
     """Bronze files as a stream; ``max_files`` or ``max_bytes`` bound a micro-batch, so a backlog
     is worked off in several."""
@@ -76,7 +104,7 @@ def stream_name(spark: SparkSession, checkpoint: str) -> str:
     """A name of its own for the stream of a checkpoint, kept in the checkpoint: batch numbers start
     again with each new one."""
     file = f"{checkpoint}/marketlake-stream.txt"
-    put_if_absent(spark, file, uuid.uuid4().hex)
+    C.put_if_absent(spark, file, uuid.uuid4().hex)
     return spark.read.text(file).first()["value"]
 
 
