@@ -26,9 +26,8 @@ line feeds.
    that still share a key with many by everything but one character. There, lines of one
    key are within an edit, and an aggregation per key takes the place of pairs. With more
    edits, its lines are cut into one segment more and keyed by every two of them (two stay
-   unchanged), lists that are still long by three of another cut. Lists that are long even
-   then hold lines alike in half their text: all are compared with the earliest one first, and only
-   what is not within the edits of it is compared with the others.
+   unchanged). Lists that are long even then are compared with their earliest line first, and only
+   lines without an earlier near one so far are compared with the others.
 4. Verification by banded bit-parallel edit distance, over the texts of candidates alone, after a
    cheap test that drops most pairs.
 5. Each document drops the places of lines that are not their line's first, or whose line has
@@ -64,6 +63,8 @@ _PLACES = 1 << 31
 BANDS, EQUAL_FROM = ((20, 1), (60, 2), (120, 3)), 1
 #: Rows (8 to 24 bytes each) up to which keys are broadcast; beyond, they are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Bytes up to which candidates' texts are broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
 def _body(text: Column) -> Column:
@@ -250,11 +251,14 @@ def _shared(keys: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _pairs(shared: DataFrame) -> DataFrame:
-    """Candidates (h1, h2, g1, g2), each once: index rows against all others of their key."""
-    a = shared.where(F.col("role") != _PROBE).select("seg", "h1", "h2")
-    b = shared.select("seg", F.col("role").alias("role2"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+    """Candidates (h1, h2, g1, g2), each once: index rows against all others of their key, but for
+    those of two lines marked ``done``, where there is such a column."""
+    if "done" not in shared.columns:
+        shared = shared.withColumn("done", F.lit(False))
+    a = shared.where(F.col("role") != _PROBE).select("seg", "h1", "h2", "done")
+    b = shared.select("seg", F.col("role").alias("role2"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("done").alias("done2"))
     x, y = F.struct("h1", "h2"), F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
-    met = a.join(b, "seg").where((x < y) | (F.col("role2") == _PROBE) & (x != y))
+    met = a.join(b, "seg").where(((x < y) | (F.col("role2") == _PROBE) & (x != y)) & ~(F.col("done") & F.col("done2")))
     low, high = F.least(x, y), F.greatest(x, y)
     return met.select(low.alias("low"), high.alias("high")).distinct().select(
         "low.h1", "low.h2", F.col("high.h1").alias("g1"), F.col("high.h2").alias("g2"))
@@ -264,6 +268,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, spans: Spans) -> DataFrame:
     """(h1, h2) of the later line of each pair within the edits of its shorter line. ``texts`` has h1, h2, at and line."""
     a = texts.select("h1", "h2", F.col("at").alias("a_at"), F.col("line").alias("a"))
     b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("at").alias("b_at"), F.col("line").alias("b"))
+    if (texts.agg(F.sum(F.octet_length("line") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        a, b = F.broadcast(a), F.broadcast(b)  # else every pair would carry a text through a shuffle
     both = pairs.join(a, ["h1", "h2"]).join(b, ["g1", "g2"])
     shorter, alike = F.least(F.length("a"), F.length("b")), F.lit(False)
     for low, end, edits in reversed(spans):
@@ -289,25 +295,17 @@ def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16)
 def _hot_near_more(hot: DataFrame, scratch: Scratch, spans: Spans, hot_rows: int) -> DataFrame:
     """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n) with an earlier one within the edits of
     its span, all of two edits and more."""
-    found = None
-    for intact in (2, 3):
-        keys = scratch.write(segment_keys(hot.drop("at"), spans, intact), f"keys-{intact}")
-        shared = scratch.write(_shared(keys, scratch), f"lists-{intact}")
-        near = scratch.write(_verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, spans).distinct(), f"near-{intact}")
-        found = near if found is None else found.unionByName(near)
-        lists = shared.where(F.col("rows") > hot_rows)
-        hot = scratch.write(hot.join(lists.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"), f"hot-{intact}")
-        if hot.isEmpty():
-            return found
-    rows = lists.select("seg", "role", "h1", "h2")
+    shared = scratch.write(_shared(scratch.write(segment_keys(hot.drop("at"), spans, 2), "keys-2"), scratch), "lists-2")
+    found = scratch.write(_verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, spans).distinct(), "near-2")
+    rows = shared.where(F.col("rows") > hot_rows).select("seg", "role", "h1", "h2")
+    if rows.isEmpty():
+        return found
     firsts = rows.join(hot.select("h1", "h2", "at"), ["h1", "h2"]).groupBy("seg").agg(F.min(F.struct("at", "h1", "h2")).alias("first")).select(
         "seg", "first.h1", "first.h2", F.lit(_INDEX).alias("role"))
     near = scratch.write(_verified(_pairs(rows.withColumn("role", F.lit(_PROBE)).unionByName(firsts)), hot, spans).distinct(), "near-first")
     # what has an earlier near line need not look for another, but others may still find it
     done = found.unionByName(near).distinct().withColumn("done", F.lit(True))
-    rows = rows.join(done, ["h1", "h2"], "left")
-    looking = rows.where("done IS NULL").select("seg", F.lit(_INDEX).alias("role"), "h1", "h2").distinct()
-    rest = looking.unionByName(rows.where("done").select("seg", F.lit(_PROBE).alias("role"), "h1", "h2").distinct())
+    rest = rows.join(done, ["h1", "h2"], "left").withColumn("done", F.col("done").isNotNull())
     return found.unionByName(near).unionByName(_verified(_pairs(rest), hot, spans)).distinct()
 
 
