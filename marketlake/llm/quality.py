@@ -85,14 +85,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _logistic(x: np.ndarray, y: np.ndarray, l2: float, steps: int = 400) -> np.ndarray:
     """Weights (the last one is the intercept) by accelerated gradient descent on centred rows."""
-    mean = x.mean(0)
-    scale = np.sqrt(np.square(x - mean).sum(1).mean()) + 1e-9
-    w = _descend(np.column_stack([(x - mean) / scale, np.ones(len(x))]), y, l2, steps)
+    mean = x.mean(0, dtype=np.float64)
+    design = np.ones((len(x), x.shape[1] + 1))  # the one copy of the rows
+    rows = design[:, :-1]
+    np.subtract(x, mean, out=rows)
+    scale = np.sqrt(np.einsum("ij,ij->", rows, rows) / len(x)) + 1e-9
+    rows /= scale
+    w = _descend(design, y, l2, steps)
     return np.r_[w[:-1] / scale, w[-1] - mean @ w[:-1] / scale]
 
 
 def _descend(x: np.ndarray, y: np.ndarray, l2: float, steps: int) -> np.ndarray:
-    rate = 1 / (0.25 * np.square(x).sum(1).mean() + l2)
+    rate = 1 / (0.25 * np.einsum("ij,ij->", x, x) / len(x) + l2)
     w = v = np.zeros(x.shape[1])
     penalty = np.r_[np.full(x.shape[1] - 1, l2), 0.0]
     for k in range(steps):
@@ -145,7 +149,7 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray
         weights, calibrations = [], []
         for x, own in zip(views, labels, strict=True):
             rows = ~np.isnan(own)
-            weights.append(_logistic(x[rows].astype(np.float64), own[rows], 2e-5))
+            weights.append(_logistic(x[rows], own[rows], 2e-5))
             calibrations.append(_calibration(x[check] @ weights[-1][:-1] + weights[-1][-1], y[check]))
         model = Model(tuple(weights), tuple(calibrations), None)
         z = model.logits(text, meta)
@@ -227,6 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_unlabe
         featurise, "id long, label double, toxic double, features binary, words binary").toPandas()
     rows = rows.sort_values("id", ignore_index=True)
     x = np.frombuffer(b"".join(map(bytes, rows.features)), np.float32).reshape(len(rows), TEXT_DIMS + META_DIMS)
+    rows = rows.drop(columns="features")  # the matrix has them
     held = np.array([zlib.crc32(str(i).encode()) % 4 == 0 for i in rows.id], bool)
     told = rows[rows.toxic.notna()]
     marks = fit_marks([np.frombuffer(bytes(w), np.uint64) for w in told.words], told.toxic.to_numpy(np.float64))
