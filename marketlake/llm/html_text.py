@@ -7,7 +7,8 @@ body's ratio LCb / Cb,
     density = C / T * log(C * T / (LC * LT)) / log(log(C * LC / (C - LC) + LCb * C / Cb + e))
 
 (counts of zero as one), so menus and link lists score low and running text high. The sum of
-its children's densities tells how much text sits right below a node. The node of the largest
+its children's densities tells how much text sits right below a node; inline elements (no block,
+and none inside) are text of their block, so only what holds blocks has a sum. The node of the largest
 sum is the content's heart; the threshold is the smallest density on the path from it up to
 the body. Going down from the body through nodes of at least that density, the subtree of the
 largest sum in each is taken, widened to the outermost article around it, or else the outermost
@@ -17,7 +18,8 @@ which never enter the tree. A class, id, role or form alone says little of an el
 most of the characters outside links, a main element or the page's only article: its density decides.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
-trimmed, empty ones skipped, and the rest joined in page order by two line feeds.
+trimmed, empty ones skipped, and the rest joined in page order by two line feeds. Embedded media
+that no end tag closes are empty; the text after them belongs to the page.
 
 Map-only: a page is read by its own task, batch by batch; all walks are loops, so nesting
 is no limit. Null and empty pages give an empty text; pages without a body element use the
@@ -29,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -41,6 +44,8 @@ from marketlake.llm.tables import column
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video head title".split())
+#: Those of them that hold nothing where they are left open.
+EMBEDDED = frozenset("svg math object canvas audio video".split())
 #: Elements that start and end a block of text.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section "
@@ -63,7 +68,8 @@ _ITEMS = {"li": (frozenset({"li"}), frozenset({"ul", "ol", "menu", "dir"})),
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "out", "named", "plain", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
+    __slots__ = ("tag", "parent", "children", "out", "named", "plain", "chars", "tags", "link_chars", "link_tags", "inline", "density", "sum",
+                 "best")
 
     def __init__(self, tag: str, parent: _Node | None, out: bool, named: bool = False):
         self.tag, self.parent, self.out, self.named = tag, parent, out, named
@@ -102,6 +108,9 @@ def _is_out(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[bool, bool]:
     return named, named
 
 
+_EMBEDDED_END = re.compile(f"</({'|'.join(sorted(EMBEDDED))})(?=[\\s/>])", re.I)
+
+
 class _Tree(HTMLParser):
     """Builds the tree; closes what HTML closes by itself, ignores end tags of nothing open."""
 
@@ -112,6 +121,12 @@ class _Tree(HTMLParser):
         self.open: dict[str, int] = {}
         self.silent = 0
         self.silent_tag = ""
+        self.ends: Counter[str] = Counter()
+
+    def feed(self, data: str) -> None:
+        """Read a whole page."""
+        self.ends = Counter(t.lower() for t in _EMBEDDED_END.findall(data))  # those still to come
+        super().feed(data)
 
     def _up(self, node: _Node) -> None:
         """Leave everything up to and including ``node``."""
@@ -139,6 +154,8 @@ class _Tree(HTMLParser):
         if tag in ("html", "body") and self.open.get(tag):
             return
         if tag in SILENT:
+            if tag in EMBEDDED and not self.ends[tag]:
+                return
             self.silent, self.silent_tag = 1, tag
             if tag == "head":
                 self.silent = 0  # what it holds is silent by itself
@@ -159,8 +176,11 @@ class _Tree(HTMLParser):
         self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
 
     def handle_endtag(self, tag: str) -> None:
+        self.ends[tag] -= tag in EMBEDDED
         if self.silent:
             self.silent -= tag == self.silent_tag
+            if tag == self.silent_tag and tag in EMBEDDED and not self.ends[tag]:
+                self.silent = 0
             return
         if tag in ("html", "body"):
             return  # what follows still belongs to the page
@@ -228,8 +248,10 @@ def _measure(body: _Node) -> None:
     order = _post_order(body)
     for node in order:
         chars = tags = link_chars = link_tags = 0
+        node.inline = node.tag not in BLOCK and node is not body
         for c in node.children:
             if type(c) is _Node:
+                node.inline = node.inline and c.inline
                 if c.out:  # never main text, so it should not make its parents look like it
                     continue
                 chars, tags = chars + c.chars, tags + c.tags + 1
@@ -249,7 +271,7 @@ def _measure(body: _Node) -> None:
             node.density = c / t * math.log(max(1.0, c / lc * t / lt)) / math.log(max(base, 1.0 + 1e-9) + 1e-9) if base > 1 else 0.0
         node.sum, node.best = 0.0, node
         for child in node.children:
-            if type(child) is _Node and not child.out:
+            if type(child) is _Node and not child.out and not child.inline:
                 node.sum += child.density
         for child in node.children:
             if type(child) is _Node and not child.out and child.best.sum > node.best.sum:

@@ -83,3 +83,23 @@ def test_wrappers_named_like_boilerplate(start):
 def test_a_long_advert_beside_a_short_article_stays_out():
     assert X.main_text('<body><div class="ad">An advert of many words and more.</div><article><p>Short.</p></article></body>') == "Short."
     assert X.main_text(f'<body><article><div class="has-sidebar">{_passages(0, 6)}</div></article></body>') == _want(6)
+
+
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_given_pages_without_article_tags(spark, tag):
+    """The same texts; only where the article is one block may what outweighs it come along."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    for r in rows:
+        found, want = X.main_text(re.sub(r"(</?)article\b", rf"\g<1>{tag}", r.html)), _article(r.html)
+        assert found == want or "\n\n" not in want and want in found.split("\n\n")
+
+
+def test_inline_elements_are_text_of_their_block():
+    page = "<div class=x><p>A <b>short</b> <i>paragraph</i> with <span>inline</span> parts.</p><p>Another <em>one</em>.</p></div>"
+    assert X.main_text(f"<body><nav><a href=1>x</a></nav>{page}</body>") == "A short paragraph with inline parts.\n\nAnother one."
+
+
+@pytest.mark.parametrize("media", ["<svg><path>", "<video src=x>", "<object><object></object>", "<canvas>no</canvas><canvas>", "<SVG><g></g></SVG ><audio>"])
+def test_embedded_media_left_open(media):
+    assert X.main_text(f"<article><p>First.</p>{media}<p>Second.</p></article>") == "First.\n\nSecond."
+    assert X.main_text("<p>a<video><p>no video</p></video><svg><svg><text>t</text></svg></svg>b</p>") == "ab"
