@@ -71,3 +71,56 @@ def test_marks_are_no_chance():
     for share in (0.0, 1.0):
         assert np.allclose(Q.fit_marks(found, np.full(600, share)).scores(found), share)
     assert Q.fit_marks([], np.empty(0)).scores([]).shape == (0,)
+
+
+def test_packed_features_are_the_features():
+    rows = [("Some text, some text é and more", "en", "web", 3.0), ("", None, None, None), (None, "en", None, 2.0), ("ab", "de", "x", None), ("x" * 90_000, "en", "web", 1.0)]
+    text, meta = Q.unpack(Q.pack(*r) for r in rows)
+    assert np.array_equal(text, np.array([Q.text_features(r[0]) for r in rows])) and np.array_equal(meta, np.array([Q.meta_features(*r) for r in rows]))
+    assert [x.shape for x in Q.unpack([])] == [(0, Q.TEXT_DIMS), (0, Q.META_DIMS)]
+
+
+def test_a_table_teaches_what_its_rows_in_memory_teach(spark):
+    """Brute force: of all distinct documents a view is sure of, those of the least keys, and none twice."""
+    rows = [(f"word{i % 60} {'good' if i % 2 else 'bad'} text", "en", f"s{i % 2}", float(i % 60)) for i in range(600)]
+    packed = [Q.pack(*r) for r in rows]
+    w = np.random.default_rng(2)
+    model = Q.Model((w.normal(size=Q.TEXT_DIMS + 1), w.normal(size=Q.META_DIMS + 1)), (np.array([4.0, 0.1]), np.array([4.0, -0.1])), None)
+    text, meta = Q.unpack(packed)
+    keys = [Q.xxhash.xxh64_intdigest(x) >> 1 for x in packed]
+    p = 1 / (1 + np.exp(-model.logits(text, meta)))
+    teach = Q.Pool(0.7, 20).over_table(spark.createDataFrame([(x,) for x in packed], "packed binary").repartition(5))
+    taught = [set(), set()]
+    for _ in range(2):
+        lessons = teach(model, 0.4)
+        for giver in (0, 1):
+            now = set()
+            for value, sure, most in ((0.0, 1 - p[:, giver], 12), (1.0, p[:, giver], 8)):
+                want = sorted({keys[i] for i in np.flatnonzero(sure >= 0.7)} - taught[giver])[:most]
+                found = [x for g, v, x in lessons if (g, v) == (giver, value)]
+                places = [keys.index(k) for k in want]
+                assert not want and not found or np.array_equal(found[0][0], text[places]) and np.array_equal(found[0][1], meta[places])
+                now |= set(want)
+            taught[giver] |= now
+    assert taught[0] and taught[1]
+
+
+def test_a_rare_source_teaches_from_the_whole_table(spark):
+    """Far more unlabelled rows than a round takes; the metadata of the last ones is learned from their texts alone."""
+    docs = [(i, "aaa bbb ccc " * 5 if i % 2 else "xxx yyy zzz " * 5, "en", f"known{(i + (i % 10 == 0)) % 2}", 60) for i in range(80)]
+    docs += [(i, "mmm nnn ooo " * 5, "en", "other", 60) for i in range(80, 3000)]
+    docs += [(i, "aaa bbb ccc " * 5 if i % 2 else "xxx yyy zzz " * 5, "de", f"rare{i % 2}", 60 + i % 300) for i in range(3000, 3300)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    rows = Q.classify(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), labels).where("doc_id >= 3000").collect()
+    assert np.mean([(r.p_meta >= 0.5) == (r.doc_id % 2 == 1) for r in rows]) >= 0.95
+
+
+def test_toxic_words_counted_in_tables_are_those_counted_in_memory(spark):
+    rng = np.random.default_rng(1)
+    toxic = (np.arange(400) % 8 == 0).astype(float)
+    found = [np.unique(np.r_[rng.integers(10, 3000, 40), [1, 2] if t else [2] if i % 80 == 1 else []]).astype(np.int64) for i, t in enumerate(toxic)]
+    told = spark.createDataFrame([(i, float(t), f.tolist()) for i, (t, f) in enumerate(zip(toxic, found, strict=True))], "id long, toxic double, words array<long>")
+    words, total = Q.toxic_words(told, float(toxic.mean()))
+    memory = Q.fit_marks([f.astype(np.uint64) for f in found], toxic)
+    assert sorted(r.word for r in words.collect()) == sorted(memory.words.tolist()) == [1, 2]
+    assert total == len(set(np.concatenate(found).tolist()))
