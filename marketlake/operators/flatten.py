@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DataType, DoubleType, StructType
 
 from marketlake.functions import to_double
 
@@ -21,10 +21,20 @@ def items(messages: DataFrame, payload: str, outer: bool) -> DataFrame:
     return item.select(*envelope, "event_type", "item.*")
 
 
-def shaped(rows: DataFrame, schema: StructType, sources: Mapping[str, str]) -> DataFrame:
+def shaped(rows: DataFrame, schema: StructType, sources: Mapping[str, str], report: str | None = None) -> DataFrame:
     """The columns of ``schema`` in its order, each from the column ``sources`` names (default:
-    its own name); numbers are converted, bad text becomes NULL."""
+    its own name); numbers are converted, bad text becomes NULL. With ``report`` an array column of
+    that name lists the columns whose value was lost so (J7)."""
     def one(name: str, number: bool):
         source = sources.get(name, name)
         return (to_double(source) if number else F.col(source)).alias(name)
-    return rows.select(*(one(f.name, isinstance(f.dataType, DoubleType)) for f in schema.fields))
+    columns = [one(f.name, isinstance(f.dataType, DoubleType)) for f in schema.fields]
+    if report:
+        numbers = {f.name: (F.col(sources.get(f.name, f.name)), f.dataType) for f in schema.fields if isinstance(f.dataType, DoubleType)}
+        columns.append(lost_values(numbers).alias(report))
+    return rows.select(*columns)
+
+
+def lost_values(columns: Mapping[str, tuple[Column, DataType]]) -> Column:
+    """The names of the columns that hold a value which their declared type cannot."""
+    return F.array_compact(F.array(*(F.when(c.isNotNull() & c.try_cast(t).isNull(), F.lit(name)) for name, (c, t) in columns.items())))

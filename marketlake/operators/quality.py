@@ -59,11 +59,16 @@ def trade_checks() -> list[tuple[str, Column]]:
     ]
 
 
-def validate(df: DataFrame, checks: list[tuple[str, Column]] | None = None) -> DataFrame:
-    """Add ``dq_reasons`` (array of failed rule names) and ``dq_valid``; map-only."""
+def validate(df: DataFrame, checks: list[tuple[str, Column]] | None = None, lost: str | None = None) -> DataFrame:
+    """Add ``dq_reasons`` (array of failed rule names) and ``dq_valid``; map-only. ``lost`` names an array
+    column of columns whose values did not convert (J7): reasons of their own, ``type:<column>``."""
     checks = checks if checks is not None else trade_checks()
-    reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in checks]))
-    return df.withColumn("dq_reasons", reasons).withColumn("dq_valid", F.size("dq_reasons") == 0)
+    failed = [F.when(cond, F.lit(name)) for name, cond in checks]
+    reasons = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    if lost:
+        reasons = F.concat(reasons, F.transform(lost, lambda c: F.concat(F.lit("type:"), c)))
+    marked = df.withColumn("dq_reasons", reasons)
+    return (marked.drop(lost) if lost else marked).withColumn("dq_valid", F.size("dq_reasons") == 0)
 
 
 def split_valid(df: DataFrame, checks: list[tuple[str, Column]] | None = None) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -91,27 +92,30 @@ def compact_silver(spark: SparkSession, kind: str, silver_path: str) -> C.State:
 
 
 def silver_job(spark: SparkSession, kind: str, bronze_path: str, silver_path: str, state_dir: str, dedup: bool = False,
-               validate: bool = False, quarantine_path: str | None = None, ingest_date: bool = False) -> dict:
+               validate: bool = False, quarantine_path: str | None = None, ingest_date: bool = False, enforce: bool = False) -> dict:
     """Incremental load of new bronze rows into silver.
 
     ``dedup`` (J1, J2) drops rows whose key silver holds already, whenever they arrive; silver is then
     a committed table, whose manifest takes rows and mark in one step (D9, A13), and ``state_dir``
     gives the mark of its first load only. ``validate``
-    (J3, trades) sends rows that fail a check to ``quarantine_path`` with the reasons; the
-    increment is written once to the shared folder and both tables are filled from there.
+    (J3, trades) sends rows that fail a check to ``quarantine_path`` with the reasons, ``enforce`` (J7) also
+    rows with a value that its declared type cannot hold (``type:<column>``; without it such a value becomes
+    NULL); the increment is written once to the shared folder and both tables are filled from there.
     ``ingest_date``: bronze is partitioned by it (J6) and pruned by the mark (D1)."""
-    if validate and not quarantine_path:
-        raise ValueError("validate needs a quarantine_path")
-    transform = (lambda df: SV.silver_ticker(df, keep_sequence=True)) if dedup and kind == "ticker" else SILVER_FNS[kind]
+    if (validate or enforce) and not quarantine_path:
+        raise ValueError("validate and enforce need a quarantine_path")
+    options = ({"keep_sequence": True} if dedup and kind == "ticker" else {}) | ({"report": "dq_lost"} if enforce else {})
+    transform = partial(SILVER_FNS[kind], **options)
     bronze = read_bronze(spark, kind, bronze_path, ingest_date)
     stored = C.read_state(spark, silver_path).marks.get(JOB_STREAM) if dedup else None
     mark = stored or I.read_mark(spark, state_dir)
     load_id = hashlib.sha1(str(mark).encode()).hexdigest()[:12]
 
     def checked(rows: DataFrame) -> DataFrame:
-        if not validate:
+        if not (validate or enforce):
             return rows
-        marked = materialize(DQ.validate(rows), "silver-checked")
+        checks = DQ.trade_checks() if validate else []
+        marked = materialize(DQ.validate(rows, checks, lost="dq_lost" if enforce else None), "silver-checked")
         bad = marked.filter(~F.col("dq_valid")).drop("dq_valid").withColumn("load_id", F.lit(load_id))
         L.write_table(bad, quarantine_path, ["load_id"], mode="overwrite", dynamic_overwrite=True, rebalance=True)
         return marked.filter("dq_valid").drop("dq_reasons", "dq_valid")

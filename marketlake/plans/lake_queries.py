@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketlake import schemas as S
 from marketlake.operators import bronze as B
@@ -453,6 +454,22 @@ def quarantine_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+@register("silver_job_enforced", _with(False, f"""
+SELECT CASE WHEN bad THEN 'quarantine' ELSE 'silver' END AS stored_in, event_ts, product_id, sequence_num, price, best_bid,
+       CASE WHEN bad THEN 'type:price' ELSE '' END AS dq_reasons
+FROM ({silver_ticker_sql(True, False, "seq AS sequence_num, event_id % 97 = 0 AS bad,")}) t"""))
+def silver_job_enforced(spark: SparkSession, d: str) -> DataFrame:
+    """J7 in the job, beside dedup: tickers whose price is no number go to quarantine instead of into silver without one."""
+    root = _scratch(spark, "enforced")
+    L.write_table(B.bronze_ticker(_raw(spark, d, S.CHANNEL_TICKER)), f"{root}/bronze", S.BRONZE_PARTITIONS)
+    JOBS.silver_job(spark, "ticker", f"{root}/bronze", f"{root}/silver", f"{root}/state", dedup=True, enforce=True, quarantine_path=f"{root}/bad")
+    cols = ("event_ts", "product_id", "sequence_num", "price", "best_bid")
+    stored = StructType([*S.SILVER_TICKER.fields, S.BRONZE_TICKER["sequence_num"]])
+    good = JOBS.read_lake(spark, f"{root}/silver", stored).select(F.lit("silver").alias("stored_in"), *cols, F.lit("").alias("dq_reasons"))
+    bad = spark.read.parquet(f"{root}/bad").select(F.lit("quarantine").alias("stored_in"), *cols, F.array_join("dq_reasons", ",").alias("dq_reasons"))
+    return good.unionByName(bad)
+
+
 @register("ingest_date_partition", _with(False, f"""
 SELECT CAST(ingest_ts[1:10] AS DATE) AS ingest_date, COUNT(*) AS n_rows
 FROM ({bronze_trades_sql(True, False)}) b GROUP BY 1 HAVING CAST(ingest_ts[1:10] AS DATE) IS NULL OR CAST(ingest_ts[1:10] AS DATE) >= DATE '2024-01-14'"""))

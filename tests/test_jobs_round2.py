@@ -145,6 +145,25 @@ def test_quarantine(spark, tmp_path):
         JOBS.silver_job(spark, "trades", bronze, silver, state, validate=True)
 
 
+def test_enforced_schema_in_the_job(spark, tmp_path):
+    """Lost numbers go to quarantine with their columns, with and without dedup; NULL and absent numbers are no loss."""
+    item = '{"type": "update", "tickers": [{"product_id": "BTC-USD", "price": %s, "best_bid": %s, "best_ask": null}]}'
+    text = '{"channel": "ticker", "client_id": "", "timestamp": "2024-01-01T00:00:0%dZ", "ingest_ts": "2024-01-01T00:00:0%d", "sequence_num": %d, "events": [%s]}'
+    prices = [('"1.5"', '"1"'), ('"bad"', '"x"'), ("null", '"2"'), ('"3"', '"-"')]
+    rows = [(text % (i, i, i, item % p),) for i, p in enumerate(prices)]
+    bronze = str(tmp_path / "b")
+    L.write_table(B.bronze_ticker(spark.createDataFrame(rows, "value string")), bronze, S.BRONZE_PARTITIONS)
+    for dedup in (False, True):
+        silver, state, bad = (str(tmp_path / f"{n}{dedup}") for n in "smq")
+        assert JOBS.silver_job(spark, "ticker", bronze, silver, state, dedup=dedup, enforce=True, quarantine_path=bad)["bronze_rows"] == 4
+        stored = JOBS.read_lake(spark, silver, S.SILVER_TICKER)
+        assert sorted((r.event_ts[-3:], r.price, r.best_bid) for r in stored.collect()) == [("00Z", 1.5, 1.0), ("02Z", None, 2.0)]
+        assert {(r.event_ts[-3:], tuple(r.dq_reasons)) for r in spark.read.parquet(bad).collect()} == {
+            ("01Z", ("type:price", "type:best_bid")), ("03Z", ("type:best_bid",))}
+    with pytest.raises(ValueError, match="quarantine_path"):
+        JOBS.silver_job(spark, "ticker", bronze, silver, state, enforce=True)
+
+
 def test_schema_report(spark):
     df = spark.createDataFrame([("x", "1.5"), ("y", "bad"), ("z", None)], "product_id string, price string")
     schema = SV.StructType([S.SILVER_TRADES["product_id"], S.SILVER_TRADES["price"]])
