@@ -44,7 +44,6 @@ empty results; other columns pass through, whatever their names, but for one nam
 
 from __future__ import annotations
 
-import json
 from functools import reduce
 from itertools import combinations, product
 from operator import and_, or_
@@ -74,9 +73,12 @@ def _body(text: Column) -> Column:
 def eligible_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc, body, pos, at, line, n, h1, h2): the lines to compare, in their compared form.
     ``at`` is a line's place in the corpus order; the last bit of h2 is free. ``docs`` has doc and text."""
-    even = F.regexp_replace("text", r"[\t\x0B\f\r][ \t\x0B\f\r]*| [ \t\x0B\f\r]+", " ")
-    raw = docs.select("doc", _body(F.col("text")).alias("body"), F.posexplode_outer(F.split(even, "\n")).alias("pos", "raw"))
-    lines = raw.select("doc", "body", "pos", F.trim("raw").alias("line")).withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
+    # the body in a select of its own: beside the generator it would be hashed for every line
+    split = docs.select("doc", _body(F.col("text")).alias("body"), F.split("text", "\n").alias("lines"))
+    raw = split.select("doc", "body", F.posexplode_outer("lines").alias("pos", "raw"))
+    odd = reduce(or_, (F.contains("raw", F.lit(x)) for x in ("  ", "\t", "\x0b", "\f", "\r")))  # the expression only where it changes a line
+    even = F.when(odd, F.regexp_replace("raw", r"[ \t\x0B\f\r]+", " ")).otherwise(F.col("raw"))
+    lines = raw.select("doc", "body", "pos", F.trim(even).alias("line")).withColumn("n", F.length("line")).where(F.col("n") >= min_chars)
     at = (F.col("doc").cast("decimal(38,0)") * F.lit(_PLACES).cast("decimal(10,0)") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)")
     return lines.select("doc", "body", "pos", at.alias("at"), "line", "n", F.xxhash64("line").alias("h1"),
                         F.xxhash64(F.lit(1), F.col("line")).bitwiseAND(F.lit(-2)).alias("h2"))
@@ -102,16 +104,22 @@ def _class(n: Column, low: int) -> Column:
 
 
 def _classes(lines: DataFrame, spans: Spans) -> DataFrame:
-    """A row per line and class that it belongs to or probes: ``least`` (the class), ``edits``, ``role``."""
-    n, found = F.col("n"), []
-    for low, end, edits in spans:
-        for less in range(edits + 1):
-            m = n - less
-            inside = (m >= low) & (m < end)
-            if less:  # beyond the last length of a class
-                inside &= (m + 1 >= end) | (_class(m + 1, low) != _class(m, low))
-            found.append(F.when(inside, F.struct(_class(m, low).alias("least"), F.lit(edits).alias("edits"), F.lit(_PROBE if less else _INDEX).alias("role"))))
-    return lines.withColumn("class", F.explode(F.array(*found))).where("class IS NOT NULL")  # all in generated code
+    """A row per line and class that it belongs to or probes, as ``class``: ``least`` (which class), ``edits``, ``role``.
+
+    Rows are multiplied first and judged by one expression then: an array of an expression for each case
+    makes a generated method of more than 8,000 bytes, which the JVM does not compile."""
+    def of_band(m: Column, place: int) -> Column:
+        return reduce(lambda chain, s: chain.when((m >= s[0]) & (m < s[1]), F.lit(s[place])), spans[1:],
+                      F.when((m >= spans[0][0]) & (m < spans[0][1]), F.lit(spans[0][place])))
+
+    shorter = F.array(*(F.lit(less) for less in range(max(edits for *_, edits in spans) + 1)))
+    each = lines.withColumn("less", F.explode(shorter)).withColumn("m", F.col("n") - F.col("less"))
+    each = each.withColumns({name: of_band(F.col("m"), place) for place, name in enumerate(("low", "end", "edits"))})
+    m, low, least = F.col("m"), F.col("low"), _class(F.col("m"), F.col("low"))
+    beyond = (m + 1 >= F.col("end")) | (_class(m + 1, low) != least)  # the last length of a class
+    each = each.where((F.col("less") == 0) & low.isNotNull() | (F.col("less") <= F.col("edits")) & beyond)
+    role = F.when(F.col("less") > 0, F.lit(_PROBE)).otherwise(F.lit(_INDEX))
+    return each.select(*lines.columns, F.struct(least.alias("least"), "edits", role.alias("role")).alias("class"))
 
 
 def _cuts(edits: int, intact: int) -> list[tuple[tuple[int, bool, int], ...]]:
@@ -127,41 +135,23 @@ def _cuts(edits: int, intact: int) -> list[tuple[tuple[int, bool, int], ...]]:
 def segment_keys(lines: DataFrame, spans: Spans, intact: int = 1) -> DataFrame:
     """(seg, role, h1, h2): the index keys and the probes of each line; a probe without a shift
     in the line's own class is an index key. The last bit of seg tells keys for one edit."""
-    n, line, least = F.col("n"), F.col("line"), F.col("class.least")
-
-    def keys(edits: int) -> Column:
-        segments = edits + intact
-        width = F.floor(least / segments).cast("int")
-
-        def start(i: Column | int, left: Column, shift: Column | int) -> Column:
-            return F.when(left, width * i + shift).otherwise(n - width * (F.lit(segments) - i) + shift)
-
-        def row(seg: Column, fits: Column, probes: Column) -> Column:
-            seg = F.shiftleft(seg, 1).bitwiseOR(F.lit(int(edits == 1)))
-            return F.struct(F.when(fits, seg).alias("seg"), F.when(probes, _PROBE).otherwise(F.col("class.role")).alias("role"))
-
-        def one(cut: tuple) -> Column:
-            (i, left, shift), = cut
-            at = start(i, F.lit(left), shift)
-            return row(F.xxhash64(least, F.lit(edits * 100 + i), F.substring(line, at + 1, width)), at >= 0, F.lit(shift != 0))
-
-        def several(cut: Column) -> Column:
-            at = lambda p: start(p["i"], p["left"], p["shift"])
-            seg = F.aggregate(cut["places"], F.xxhash64(least, cut["name"]), lambda h, p: F.xxhash64(h, F.substring(line, at(p) + 1, width)))
-            return row(seg, F.forall(cut["places"], lambda p: at(p) >= 0), cut["shifted"])
-
-        if intact == 1:
-            return F.array(*map(one, _cuts(edits, 1)))
-        # many cuts: a table in a literal instead of as many expressions
-        table = [{"name": f"{edits}:{[i for i, _, _ in cut]}", "shifted": any(s for _, _, s in cut),
-                  "places": [{"i": i, "left": left, "shift": s} for i, left, s in cut]} for cut in _cuts(edits, intact)]
-        return F.transform(F.from_json(F.lit(json.dumps(table)), "array<struct<name: string, shifted: boolean, places: "
-                                       "array<struct<i: int, left: boolean, shift: int>>>>"), several)
-
-    chosen = None
-    for edits in sorted({e for *_, e in spans}):
-        chosen = F.when(F.col("class.edits") == edits, keys(edits)) if chosen is None else chosen.when(F.col("class.edits") == edits, keys(edits))
-    return _keyed(_classes(lines, spans), chosen)
+    n, line, least, edits = F.col("n"), F.col("line"), F.col("class.least"), F.col("class.edits")
+    classes, chosen = _classes(lines, spans), None
+    for k in sorted({e for *_, e in spans}):
+        cuts = F.array(*(F.struct(F.lit(f"{k}:{[i for i, *_ in cut]}").alias("name"), F.lit(any(s for *_, s in cut)).alias("shifted"),
+                                  *(F.struct(F.lit(i).alias("i"), F.lit(left).alias("left"), F.lit(s).alias("shift")).alias(f"p{t}")
+                                    for t, (i, left, s) in enumerate(cut))) for cut in _cuts(k, intact)))
+        chosen = F.when(edits == k, cuts) if chosen is None else chosen.when(edits == k, cuts)
+    each = classes.withColumn("cut", F.explode(chosen))  # of a literal; one expression makes the keys
+    segments = edits + intact
+    width = F.floor(least / segments).cast("int")
+    starts = {f"at{t}": F.when(p["left"], F.col("width") * p["i"]).otherwise(n - F.col("width") * (segments - p["i"])) + p["shift"]
+              for t in range(intact) for p in [F.col(f"cut.p{t}")]}
+    each = each.withColumn("width", width).withColumns(starts).where(reduce(and_, (F.col(at) >= 0 for at in starts)))
+    seg = F.xxhash64(least, F.col("cut.name"), *(F.substring(line, F.col(at) + 1, F.col("width")) for at in starts))
+    seg = F.shiftleft(seg, 1).bitwiseOR(F.when(edits == 1, F.lit(1)).otherwise(F.lit(0)))
+    role = F.when(F.col("cut.shifted"), F.lit(_PROBE)).otherwise(F.col("class.role"))
+    return each.select(seg.alias("seg"), role.alias("role"), *(c for c in ("h1", "h2", "at") if c in lines.columns))
 
 
 def _key(role: int, *parts: Column | int) -> Column:
@@ -358,8 +348,11 @@ def dedup_lines(docs: DataFrame, scratch: Scratch, max_edits: int = 1, min_chars
     names = [fresh(docs, n) for n in ("gone_doc", "gone_body", "gone_places")]
     gone = gone.toDF(*names)
     joined = docs.join(gone, (doc == F.col(names[0])) & (_body(column(text_col)) == F.col(names[1])), "left")
-    places, lines = F.col(names[2]), F.split(column(text_col), "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda i: F.get(lines, i))
+    places = F.col(names[2])
+    # as the variable of a lambda, the lines are split once per text and not once per line
+    pair = F.struct(F.split(column(text_col), "\n").alias("lines"), places.alias("gone"))
+    left = lambda p: F.array_except(F.sequence(F.lit(0), F.size(p["lines"]) - 1), p["gone"])
+    kept = F.transform(F.array(pair), lambda p: F.transform(left(p), lambda i: F.get(p["lines"], i)))[0]
     text = F.when(places.isNull(), column(text_col)).otherwise(F.array_join(kept, "\n"))
     columns = [text.alias(text_col) if c == text_col else column(c) for c in docs.columns if c != removed_col]
     removed = [F.coalesce(F.size(places), F.lit(0)).cast("long").alias(removed_col)] if removed_col else []
