@@ -19,6 +19,7 @@ from marketlake.operators import incremental as I
 from marketlake.operators import quality as DQ
 from marketlake.operators import routing as R
 from marketlake.operators import silver as SV
+from marketlake.plans import increments as INC
 from marketlake.plans import jobs as JOBS
 from marketlake.plans import oracles as O
 from marketlake.plans.queries import _GOLD_FILTER, _gold, _gold_sql_cols, _round_vol, register
@@ -551,6 +552,24 @@ def gold_published(spark: SparkSession, d: str) -> DataFrame:
     return _round_vol(JOBS.read_lake(spark, f"{root}/gold", _gold(spark, d).schema))
 
 
+@register("gold_incremental", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
+def gold_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Gold by three increments: trades of all but two days, with two days' quotes missing; a newer day; then a
+    late day and the quotes. Equals ``feature_table``."""
+    root = _scratch(spark, "incremental-gold")
+    ev = _events(spark, d)
+    late, newest = F.col("event_date") == F.lit("2024-01-12").cast("date"), F.col("event_date") >= F.lit("2024-01-20").cast("date")
+    trades, ticker = TD.trades(ev), TD.ticker(ev)
+    steps = ((trades.where(~late & ~newest), ticker.where(~late & ~newest)), (trades.where(newest), None), (trades.where(late), ticker.where(late | newest)))
+    for step in steps:
+        for kind, rows in zip(("trades", "ticker"), step, strict=True):
+            if rows is not None:
+                load = C.new_load()
+                C.commit(spark, f"{root}/{kind}", C.appended(load, C.write_load(rows, f"{root}/{kind}", S.SILVER_PARTITIONS, load)))
+        INC.gold_increment(spark, f"{root}/trades", f"{root}/ticker", f"{root}/gold")
+    return _round_vol(INC.read_gold(spark, f"{root}/gold", _gold(spark, d).schema))
+
+
 @register("target50_filter", O.features_ctes() +
           f"SELECT product_id, trade_id, target_return_50 FROM gold {_GOLD_FILTER} AND target_return_50 IS NOT NULL")
 def target50_filter(spark: SparkSession, d: str) -> DataFrame:
