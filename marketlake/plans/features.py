@@ -6,8 +6,8 @@ Plan, for ``strategy="halo"`` (default):
    product's rows (``row_index``; the numbered rows are written once to the shared
    checkpoint folder);
 2. cut every product's sequence into chunks of ``chunk_rows`` rows with 499-row lookback and
-   50-row lookahead halos; one Window node computes all frames, lags AND leads per
-   (product, chunk) -- the leads are taken before the quote join, which keeps rows 1:1,
+   50-row lookahead halos; over one sort of each (product, chunk) the frames of 10 rows, lags AND
+   leads are computed and the longer frames put together from them -- the leads are taken before the quote join, which keeps rows 1:1,
    so no second window shuffle is needed after it;
 3. pick the last quote per (product, minute) in one partially-aggregated group-by; attach it
    by a broadcast left join when its estimated size is under the broadcast threshold, else
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from marketlake.functions import bucket_time, utc_time
 from marketlake.operators import quotes as Q
 from marketlake.operators import windows as W
-from marketlake.session import broadcast_threshold, estimated_bytes, partitions_for
+from marketlake.session import broadcast_threshold, estimated_bytes, partitions_for, small_methods
 
 # Trades columns used for a total order inside a (product, time, trade id) tie.
 TIEBREAK = ("ingest_ts", "price", "size", "side", "trade_time", "event_ts")
@@ -61,6 +61,7 @@ def trade_features(
     """
     if quotes is not None and strategy != "halo":
         raise ValueError("quotes can be attached in the window stage only with strategy='halo'")
+    small_methods(trades.sparkSession)
     if strategy == "plain":
         w = W.trade_window(keys, order)
         cols = W.window_columns(w, with_leads)
@@ -85,10 +86,9 @@ def trade_features(
         # this exchange by size. Ranges of (product, chunk) give every task about the same rows
         # and keep a product's neighbouring chunks together for the partitioned write.
         h = h.repartitionByRange(n, *keys, "_chunk")
-        cols = W.window_columns(W.halo_window(part), with_leads)
-        if quotes is not None:
-            cols += Q.chunk_quote_columns(keys)
-        out = (W.with_columns(h, cols)
+        if quotes is not None:  # first, while the rows that it sorts are narrow
+            h = W.with_columns(h, Q.chunk_quote_columns(keys))
+        out = (W.stepped_windows(h, W.halo_window(part), with_leads)
                .filter(F.col("_own"))
                .drop("_chunk", "_own", "_is_quote", "minute_ts"))
         out = out.withColumnRenamed("_r", index_col) if index_col else out.drop("_r")

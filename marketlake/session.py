@@ -124,6 +124,14 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(conf).delete(p, True))
 
 
+def small_methods(spark: SparkSession) -> None:
+    """For plans over wide rows: let Spark compile in one method only what HotSpot compiles too (8000 bytes; a longer
+    method is interpreted, several times slower), and split the rest. A limit that the session sets stays."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(name) == "65535":  # Spark's default
+        spark.conf.set(name, "8000")
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job runs); None when unknown."""
     try:
