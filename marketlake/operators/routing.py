@@ -61,7 +61,7 @@ def stamped(text: Column, stamps: Mapping[str, Column]) -> Column:
 
 
 def classified(raw: DataFrame, value_col: str = "value", topics: Mapping[str, str] = DEFAULT_TOPICS, products: Sequence[str] | None = None) -> DataFrame:
-    """(text, m, product_id, reason): every message, read by its declared layout, and why it is not
+    """(text, channel, product_id, reason): every message, read by its declared layout, and why it is not
     routed: ``not_json`` (no JSON object), ``no_channel``, ``other_channel``, ``no_product`` or
     ``not_subscribed``; NULL for those that are. Null messages are ``not_json``."""
     text = F.col(value_col).cast("string")
@@ -72,7 +72,7 @@ def classified(raw: DataFrame, value_col: str = "value", topics: Mapping[str, st
               .when(F.coalesce(F.length("product_id"), F.lit(0)) == 0, "no_product"))
     if products is not None:
         reason = reason.when(~F.col("product_id").isin(*products), "not_subscribed")
-    return parsed.withColumn("reason", reason)
+    return parsed.select("text", channel.alias("channel"), "product_id", reason.alias("reason"))
 
 
 def routed(messages: DataFrame, ingest_ts: Column | str | None = None, source: str = S.SOURCE_TAG, topics: Mapping[str, str] = DEFAULT_TOPICS) -> DataFrame:
@@ -80,14 +80,14 @@ def routed(messages: DataFrame, ingest_ts: Column | str | None = None, source: s
     stamp = utc_now_iso() if ingest_ts is None else (F.lit(ingest_ts) if isinstance(ingest_ts, str) else ingest_ts)
     topic = None
     for channel, name in topics.items():
-        topic = (F.when if topic is None else topic.when)(F.col("m.channel") == channel, F.lit(name))
+        topic = (F.when if topic is None else topic.when)(F.col("channel") == channel, F.lit(name))
     value = stamped(F.col("text"), {"ingest_ts": stamp, "source": F.lit(source)})
     kept = messages.filter(F.col("reason").isNull())
     return kept.select(
         topic.alias("topic"),
         F.col("product_id").alias("key"),
         value.alias("value"),
-        F.col("m.channel").alias("channel"),
+        "channel",
         "product_id",
     )
 

@@ -7,7 +7,6 @@ checkpoint location (``spark.checkpoint.dir``) and return what they read back.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,13 +183,15 @@ def dead_letters(spark: SparkSession, d: str) -> DataFrame:
     """Every message five times, four times broken in a way of its own, routed as a stream with a restart:
     messages routed and dropped by reason, read back from the two tables."""
     root = _scratch(spark, "dead-letters")
-    raw = _raw(spark, d, None, malformed=False)
-    broken = [raw.select(F.regexp_replace("value", '"channel":"[a-z_]+"', '"channel":"heartbeats"').alias("value")),
-              raw.select(F.regexp_replace("value", '"product_id":"[^"]*"', '"product_id":""').alias("value")),
-              raw.select(F.expr("substr(value, 2)").alias("value")),
-              raw.select(F.regexp_replace("value", '"channel":"[a-z_]+"', '"chanel":"x"').alias("value"))]
-    for part in (raw, reduce(DataFrame.unionByName, broken)):
-        part.write.mode("append").text(f"{root}/raw")
+    for step in range(2):
+        if step == 0:
+            part = _raw(spark, d, None, malformed=False)
+        else:  # the broken ones are made from the archived messages, not from messages put together four times more
+            raw = L.text_batch(spark, f"{root}/raw")
+            breaks = [F.regexp_replace("value", '"channel":"[a-z_]+"', '"channel":"heartbeats"'), F.regexp_replace("value", '"product_id":"[^"]*"', '"product_id":""'),
+                      F.expr("substr(value, 2)"), F.regexp_replace("value", '"channel":"[a-z_]+"', '"chanel":"x"')]
+            part = raw.select(F.explode(F.array(*breaks)).alias("value"))
+        part.write.mode("append").option("compression", "gzip").text(f"{root}/raw")
         q = ST.start_routing(L.text_stream(spark, f"{root}/raw"), f"{root}/routed", f"{root}/dropped", f"{root}/ckpt", available_now=True,
                              ingest_ts=ROUTE_STAMP, products=("BTC-USD",))
         ST.run_until_idle(q)

@@ -36,8 +36,8 @@ def start_bronze(raw_stream: DataFrame, kind: str, path: str, checkpoint: str, a
 def start_routing(raw_stream: DataFrame, routed_path: str, dropped_path: str, checkpoint: str, available_now: bool = False,
                   processing_time: str | None = None, **routing) -> StreamingQuery:
     """B1-B9 with dead letters: each micro-batch is classified once, its messages go to the committed table
-    ``routed_path`` (a folder per topic) and what is dropped, with its reason, to ``dropped_path``. A replayed
-    micro-batch changes neither table. ``routing``: ``topics``, ``products``, ``ingest_ts``, ``source``."""
+    ``routed_path`` (a folder per topic) and what is dropped, with its reason, to ``dropped_path``; both are written
+    as they are read, without a shuffle, as a task has few topics and reasons. A replayed micro-batch changes neither table. ``routing``: ``topics``, ``products``, ``ingest_ts``, ``source``."""
     spark = raw_stream.sparkSession
     stream = stream_name(spark, checkpoint)
     choice = {k: routing[k] for k in ("topics", "products") if k in routing}
@@ -49,7 +49,7 @@ def start_routing(raw_stream: DataFrame, routed_path: str, dropped_path: str, ch
             for rows, path, parts in ((R.routed(messages, **stamps), routed_path, ["topic"]), (R.dead_letters(messages), dropped_path, ["reason"])):
                 if C.read_state(spark, path).batches.get(stream, -1) < batch_id:
                     load = C.new_load()
-                    C.commit(spark, path, C.appended(load, C.write_load(rows, path, parts, load), stream, batch_id))
+                    C.commit(spark, path, C.appended(load, C.write_load(rows, path, parts, load, rebalance=False), stream, batch_id))
 
     w = raw_stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).queryName("routing")
     if available_now:
