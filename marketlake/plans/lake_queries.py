@@ -18,11 +18,12 @@ from marketlake.operators import incremental as I
 from marketlake.operators import quality as DQ
 from marketlake.operators import routing as R
 from marketlake.operators import silver as SV
+from marketlake.plans import features as G
 from marketlake.plans import increments as INC
 from marketlake.plans import jobs as JOBS
 from marketlake.plans import oracles as O
 from marketlake.plans.queries import _GOLD_FILTER, _gold, _gold_sql_cols, _round_vol, register
-from marketlake.session import scratch_dir
+from marketlake.session import materialize, scratch_dir
 from marketlake.sources import commits as C
 from marketlake.sources import lake as L
 from marketlake.sources import testdata as TD
@@ -391,7 +392,8 @@ def silver_two_streams(spark: SparkSession, d: str) -> DataFrame:
 def silver_compacted(spark: SparkSession, d: str) -> DataFrame:
     """Three deduplicated loads, their folders put together, and one more load looked up against the result."""
     root = _scratch(spark, "compacted")
-    bronze = B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True))
+    # written once: otherwise each load puts together and parses all messages anew
+    bronze = materialize(B.bronze_trades(_raw(spark, d, S.CHANNEL_TRADES, malformed=False, dups=True)), "compacted-bronze")
     bounds = ["", "2024-01-08", MARK, "2024-01-24", "9"]
     for i, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         rows = SV.silver_trades(bronze.where((F.col("ingest_ts") > low) & (F.col("ingest_ts") <= high)))

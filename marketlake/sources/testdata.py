@@ -168,9 +168,9 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
         F.array_sort(F.collect_list(F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("tick")))).alias("tickers"),
     ).drop("_msg").withColumn("_late", F.lit(False))
     if duplicates:
-        # whole messages sent again one hour later (same sequence number and payload)
-        again = grouped.filter(F.col("sequence_num") % 10 == 0).withColumn("_late", F.lit(True))
-        grouped = grouped.unionByName(again)
+        # whole messages sent again one hour later (same sequence number and payload); the messages are put together once
+        sent = F.when(F.col("sequence_num") % 10 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        grouped = grouped.withColumn("_late", F.explode(sent))
     delay = F.when(F.col("_late"), F.expr("INTERVAL 3602 seconds")).otherwise(F.expr("INTERVAL 2 seconds"))
     # one event per message; the payload list of the other channel stays NULL and
     # to_json leaves NULL fields out
