@@ -148,7 +148,8 @@ def gold_job(spark: SparkSession, trades_path: str, ticker_path: str, gold_path:
                 raise ValueError(f"gold has {rows} rows where {counted} were counted: not published")
 
         if publish:
-            C.overwrite(G.final_filter(observed), gold_path, S.GOLD_PARTITIONS, check=audit)
+            # the windows' tasks hold ranges of (product, time): few folders each, no second shuffle of the wide rows
+            C.overwrite(G.final_filter(observed), gold_path, S.GOLD_PARTITIONS, check=audit, rebalance=False)
         else:
             L.write_table(G.final_filter(observed), gold_path, S.GOLD_PARTITIONS, mode="overwrite", dynamic_overwrite=dynamic_overwrite)
     m = dict(obs.get)

@@ -541,6 +541,11 @@ def lake_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     return _round_vol(spark.read.parquet(f"{root}/gold"))
 
 
+def _gold_schema(trades: DataFrame, ticker: DataFrame) -> StructType:
+    """The columns of gold. Planned with the plain window, which runs no job: the halo plan sorts and writes the trades."""
+    return G.build_features(trades, ticker, strategy="plain").schema
+
+
 @register("gold_published", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
 def gold_published(spark: SparkSession, d: str) -> DataFrame:
     """Gold published twice by switching manifests, the first time from half of the trades; read back through
@@ -552,7 +557,7 @@ def gold_published(spark: SparkSession, d: str) -> DataFrame:
     for part in (trades.where(F.col("event_date") < "2024-01-15"), trades.where(F.col("event_date") >= "2024-01-15")):
         L.write_table(part, f"{root}/trades", S.SILVER_PARTITIONS)
         JOBS.gold_job(spark, f"{root}/trades", f"{root}/ticker", f"{root}/gold", publish=True)
-    return _round_vol(JOBS.read_lake(spark, f"{root}/gold", _gold(spark, d).schema))
+    return _round_vol(JOBS.read_lake(spark, f"{root}/gold", _gold_schema(trades, TD.ticker(ev))))
 
 
 @register("gold_incremental", O.features_ctes() + f"SELECT {_gold_sql_cols()} FROM gold {_GOLD_FILTER}")
@@ -570,7 +575,7 @@ def gold_incremental(spark: SparkSession, d: str) -> DataFrame:
                 load = C.new_load()
                 C.commit(spark, f"{root}/{kind}", C.appended(load, C.write_load(rows, f"{root}/{kind}", S.SILVER_PARTITIONS, load)))
         INC.gold_increment(spark, f"{root}/trades", f"{root}/ticker", f"{root}/gold")
-    return _round_vol(INC.read_gold(spark, f"{root}/gold", _gold(spark, d).schema))
+    return _round_vol(INC.read_gold(spark, f"{root}/gold", _gold_schema(trades, ticker)))
 
 
 @register("target50_filter", O.features_ctes() +
