@@ -84,6 +84,12 @@ def test_silver_compacted_parses_the_messages_once(spark, monkeypatch):
     assert not [p for p in plans if "collect_list" in p or "from_json" in p]
 
 
+def test_messages_sent_again_are_put_together_once(spark):
+    raw = LQ.TD.raw_messages(LQ.TD.load_events(spark, SF_SMALL), duplicates=True)
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") and plan.count("Aggregate [") == 1
+
+
 def test_dead_letters_puts_the_messages_together_once(spark, monkeypatch):
     calls = _count_calls(monkeypatch, LQ.L, "text_batch")
     got = {r.outcome: r.messages for r in E.queries()["dead_letters"](spark, SF_SMALL).collect()}
