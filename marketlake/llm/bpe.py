@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.llm import byte_bpe
+from marketlake.session import small_batches
 
 #: Words of more bytes share no prefixes in practice and stay out of the trie and the memory.
 LONG_WORD = 256
@@ -39,7 +40,14 @@ class Encoder:
 
     def __init__(self, vocab: byte_bpe.Vocabulary):
         self.vocab = vocab
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
+        # token -> {token before it: whether it can follow}; dropped as a whole when full
+        self._pairs: dict[bytes, dict[bytes, bool]] = {}
+        self._n_pairs = 0
+        # what a token can begin with -> None (no token, or one that never ends a prefix), True (a token not
+        # looked at yet) or its entry of _pairs
+        self._starts: dict[bytes, dict[bytes, bool] | bool | None] = {t[:n]: None for t in vocab.ids for n in range(1, len(t))}
+        self._starts.update(dict.fromkeys(vocab.ids, True))
+        self._packed = {token: array("i", [i]).tobytes() for token, i in vocab.ids.items()}
         self._made = {a + b: (a, b, rank) for (a, b), rank in vocab.merges.items()}
         made, never = self._made, ("", "", -1)
         # as training leaves it: one merge makes a token, later than its parts were made
@@ -91,85 +99,129 @@ class Encoder:
                             for x, x_until in ends for y, y_until in starts)
         else:
             known = self._merged(left + right) == [left, right]
+        return known
+
+    def _followers(self, token: bytes) -> dict[bytes, bool] | None:
+        """The token's entry of ``_pairs``, None if it is not usable."""
         if len(self._pairs) >= self.MAX_PAIRS:
-            self._pairs.clear()
-        self._pairs[left, right] = known
+            self._forget()
+        usable = self._usable.get(token)
+        if usable is None:
+            usable = self._is_usable(token)
+        known = self._starts[token] = self._pairs.setdefault(token, {}) if usable else None
         return known
 
-    def _last(self, path: bytes, depth: int, last: list[bytes]) -> bytes:
-        """The last token of ``path[:depth]``; ``last[d]`` is that of ``path[:d]``."""
-        ids, usable, pairs = self.vocab.ids, self._usable, self._pairs
-        for start in range(max(0, depth - self.vocab.longest), depth):
-            token = path[start:depth]
-            if token in ids:
-                ok = usable.get(token)
-                if ok is None:
-                    ok = self._is_usable(token)
-                if ok and start:
-                    before = last[start]
-                    ok = pairs.get((before, token))
-                    if ok is None:
-                        ok = self._stands(before, token)
-                if ok:
-                    return token
-        raise ValueError("the vocabulary lacks a byte")
-
-    def encode_long(self, word: bytes) -> list[int]:
-        """One word alone, by the recurrence over its prefixes."""
-        last = [b""]
-        for depth in range(1, len(word) + 1):
-            last.append(self._last(word, depth, last))
-        return self._read_off(last, len(word))
+    def _forget(self) -> None:
+        self._starts.update(dict.fromkeys(self._pairs, True))
+        self._pairs.clear()
+        self._n_pairs = 0
+
+    def _learn_pair(self, left: bytes, right: bytes) -> bool:
+        if self._n_pairs >= self.MAX_PAIRS:
+            self._forget()
+        known = self._stands(left, right)
+        self._n_pairs += 1
+        self._followers(right)[left] = known
+        return known
 
-    def _read_off(self, last: list[bytes], depth: int) -> list[int]:
-        out, ids = [], self.vocab.ids
+    def _walk(self, word: bytes, lows: list[int], last: list[bytes]) -> None:
+        """From the states of a prefix to those of ``word``: ``last[d]`` is the last token of ``word[:d]``, ``lows[d]`` the
+        first place from which on ``word[:d]`` ends with what a token can begin with. It only grows with d, so no
+        token that ends further on starts before it."""
+        find = self._starts.get
+        for depth in range(len(last), len(word) + 1):
+            start, low = lows[-1], -1
+            while start < depth:
+                token = word[start:depth]
+                known = find(token, False)
+                if known is not False:
+                    if low < 0:
+                        low = start
+                    if known is True:
+                        known = self._followers(token)
+                    if known is not None:
+                        if not start:
+                            break
+                        before = last[start]
+                        stands = known.get(before)
+                        if stands is None:
+                            stands = self._learn_pair(before, token)
+                        if stands:
+                            break
+                start += 1
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+            lows.append(low)
+            last.append(token)
+
+    def _read_off(self, last: list[bytes], depth: int) -> bytes:
+        out, packed = [], self._packed
         while depth:
             token = last[depth]
-            out.append(ids[token])
+            out.append(packed[token])
             depth -= len(token)
         out.reverse()
-        return out
+        return b"".join(out)
+
+    def encode_long(self, word: bytes) -> bytes:
+        """One word alone, by the recurrence over its prefixes."""
+        lows, last = [0], [b""]
+        self._walk(word, lows, last)
+        return self._read_off(last, len(word))
 
-    def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
-        """Distinct words, by a depth-first walk over their trie. Sorted words are the trie's
-        leaves in depth-first order: the walk goes back to the prefix shared with the word
-        before and on from there, and ``last`` holds the states of the nodes on its path."""
-        out: dict[bytes, list[int]] = {}
-        last: list[bytes] = [b""]
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Distinct words to ids as int32 bytes, by a depth-first walk over their trie. Sorted words (UTF-8 sorts as
+        its characters do) are the trie's leaves in depth-first order: the walk goes back to the prefix shared with the word
+        before and on from there, and ``lows`` and ``last`` hold the states of the nodes on its path."""
+        out: dict[str, bytes] = {}
+        lows, last = [0], [b""]
         path = b""
-        find = self._last
-        for word in sorted(words):
+        for text in sorted(words):
+            word = text.encode()
             if len(word) > LONG_WORD:
-                out[word] = self.encode_long(word)
+                out[text] = self.encode_long(word)
                 continue
             shared, most = 0, min(len(word), len(path))
             while shared < most and word[shared] == path[shared]:
                 shared += 1
-            del last[shared + 1:]
-            for depth in range(shared + 1, len(word) + 1):
-                last.append(find(word, depth, last))
+            del lows[shared + 1:], last[shared + 1:]
+            self._walk(word, lows, last)
             path = word
-            out[word] = self._read_off(last, len(word))
+            out[text] = self._read_off(last, len(word))
         return out
 
 
 class _Memory(dict):
-    """chunk -> its ids as int32 bytes, filled batch by batch and bounded."""
+    """chunk (or word of one) -> its ids as int32 bytes, filled batch by batch and bounded."""
 
     def __init__(self, vocab: byte_bpe.Vocabulary):
         super().__init__()
         self.encoder = Encoder(vocab)
+        self.again: set[str] = set()
+
+    def trim(self, wanted: set[str]) -> None:
+        """When full, forget the chunks that were not wanted again since the last time (or, where those are
+        many, that are not wanted now). Ids take more room than counts, so fewer are remembered."""
+        most = byte_bpe.MAX_REMEMBERED // 4
+        if len(self) > most:
+            keep = self.again if len(self.again) <= most // 2 else wanted
+            kept = {c: self[c] for c in keep if c in self}
+            self.clear()
+            self.update(kept)
+            self.again = set()
 
     def learn(self, unknown: set[str]) -> dict[str, bytes]:
         """Encode chunks; returns those that are too long to be remembered."""
-        split = {chunk: [w.encode() for w in byte_bpe.words(chunk)] for chunk in unknown}
-        ids = self.encoder.encode_words({w for ws in split.values() for w in ws})
-        packed = {w: array("i", x).tobytes() for w, x in ids.items()}
-        once = {}
-        for chunk, ws in split.items():
-            to = self if len(chunk) <= LONG_WORD else once
-            to[chunk] = packed[ws[0]] if len(ws) == 1 else b"".join([packed[w] for w in ws])
-        return once
+        split, new = [], set()
+        for chunk in unknown:
+            ws = byte_bpe.words(chunk)
+            new.update(ws)
+            if len(ws) > 1:
+                split.append((chunk, ws))
+        new = new.difference(self)
+        self.update(self.encoder.encode_words(new))
+        self.update({chunk: b"".join([self[w] for w in ws]) for chunk, ws in split})
+        return {c: self.pop(c) for c in {*new, *unknown} if len(c) > LONG_WORD}
 
 
 @cache
@@ -179,10 +231,11 @@ def _memory(vocabulary: str) -> _Memory:
 
 def _ids(texts: list[str | None], memory: _Memory, vocab: byte_bpe.Vocabulary) -> list[bytes]:
     """The ids of each text as int32 bytes."""
-    if len(memory) > byte_bpe.MAX_REMEMBERED:
-        memory.clear()
     split = [list(byte_bpe.pieces(t, vocab)) if t else [] for t in texts]
-    unknown = {c for parts in split for special, cs in parts if not special for c in cs}.difference(memory)
+    wanted = set().union(*(cs for parts in split for special, cs in parts if not special))
+    memory.trim(wanted)
+    unknown = wanted.difference(memory)
+    memory.again |= wanted - unknown
     once = memory.learn(unknown)
     specials = {s: array("i", [i]).tobytes() for s, i in vocab.specials.items()}
     find = memory.__getitem__
@@ -215,6 +268,7 @@ def _groups(texts: pa.Array, size: int = 1_000_000) -> Iterator[list[str | None]
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, text_col: str, ids_col: str) -> Iterator[pa.RecordBatch]:
+    pa.default_memory_pool().release_unused()  # what other operators left behind in this worker
     vocab, memory = byte_bpe.load_vocabulary(vocabulary), _memory(vocabulary)
     for batch in batches:
         kept = [c for c in batch.schema.names if c != ids_col]
@@ -257,6 +311,7 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str
     library gives them with ``add_special_tokens=False`` and no truncation or padding.
 
     ``vocabulary`` is the path of a byte-level BPE ``.json`` that every executor can read."""
+    small_batches(df.sparkSession)
     kept = [c for c in df.columns if c != ids_col]
     schema = T.StructType([*(df.schema[c] for c in kept), _ids_field(ids_col)])
     return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(lambda it: _encoded(it, vocabulary, text_col, ids_col), schema)
@@ -266,6 +321,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str =
     """Add ``text_col``, the text of the ids (special tokens included), as the tokenizers
     library decodes them: bytes that are no UTF-8 become U+FFFD, ids out of the vocabulary
     and null lists give nothing."""
+    small_batches(df.sparkSession)
     kept = [c for c in df.columns if c != text_col]
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(text_col, T.StringType(), False)])
     return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(lambda it: _decoded(it, vocabulary, ids_col, text_col), schema)
@@ -273,6 +329,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str =
 
 def encode_and_decode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
     """:func:`encode`, then :func:`decode`, in one Python worker per task instead of two."""
+    small_batches(df.sparkSession)
     kept = [c for c in df.columns if c not in (ids_col, decoded_col)]
     schema = T.StructType([*(df.schema[c] for c in kept), _ids_field(ids_col), T.StructField(decoded_col, T.StringType(), False)])
     return df.select([F.col(f"`{c}`") for c in kept]).mapInArrow(

@@ -36,6 +36,9 @@ _BESIDE_SPACE = regex.compile(r" \s|\s |^\s|\s$").search
 
 def words(text: str) -> list[str]:
     """The words of a text (or of a chunk of :func:`chunks`) under the split pattern."""
+    plain = text.removeprefix(" ")
+    if plain.isascii() and (plain.isalpha() or plain.isdigit()):
+        return [text]
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
@@ -48,8 +51,10 @@ def chunks(text: str) -> list[str]:
     single space, so a text without runs of white space parts there; others part into words."""
     if _BESIDE_SPACE(text):
         return words(text)
-    first, *rest = text.split(" ")
-    return [first, *(" " + x for x in rest)] if first else []
+    if "\0" in text:
+        first, *rest = text.split(" ")
+        return [first, *(" " + x for x in rest)]
+    return text.replace(" ", "\0 ").split("\0") if text else []
 
 
 def byte_alphabet() -> dict[str, int]:

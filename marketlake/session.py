@@ -132,6 +132,14 @@ def small_methods(spark: SparkSession) -> None:
         spark.conf.set(name, "8000")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """For texts handed to Python: batches of up to 4 MB, as each is held several times on its way (in the JVM, in
+    its worker, as strings). Rows come out the same. A limit that the session sets stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":  # Spark's default
+        spark.conf.set(name, str(4 << 20))
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (no job runs); None when unknown."""
     try:

@@ -84,3 +84,38 @@ def test_documents_round_trip(spark, vocabulary, library):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     for r in bpe.encode_and_decode(docs, vocabulary).collect():
         assert list(r.ids) == library.encode(r.text, add_special_tokens=False).ids and r.decoded == r.text
+
+
+def test_memory_keeps_what_comes_again_and_words_are_encoded_once(vocabulary, library, monkeypatch):
+    """Full memory keeps the chunks that came again; a known word is not walked again as part of another chunk."""
+    monkeypatch.setattr(byte_bpe, "MAX_REMEMBERED", 400)
+    vocab = byte_bpe.load_vocabulary(vocabulary)
+    memory, walked = bpe._Memory(vocab), []
+    inner = memory.encoder.encode_words
+    memory.encoder.encode_words = lambda words: inner(walked.append(list(words)) or walked[-1])
+    for k in range(40):
+        text = "start common shingle, " + " ".join(f"w{k}x{i}" for i in range(20)) + " common, shingle"
+        assert memoryview(bpe._ids([text], memory, vocab)[0]).cast("i").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(memory) <= 100 + 120
+    every = [w for ws in walked for w in ws]
+    assert sum(w == " common" or w == b" common" for w in every) == 1
+
+
+def test_chunks_and_words_are_those_of_the_pattern():
+    for text in [*_random_texts(2000), "a\0 b c", "\0", "12 3", " 12", "Ⅷ a", "é 7", *(t for t in ODD_TEXTS if t is not None)]:
+        assert [w for c in byte_bpe.chunks(text) for w in byte_bpe.words(c)] == byte_bpe._ANY(text)
+
+
+def test_batches_of_texts_are_bounded(spark, vocabulary):
+    """Texts reach Python in batches of a few MB."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        bpe.encode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), vocabulary)
+        assert int(spark.conf.get(name)) == 4 << 20
+        spark.conf.set(name, "1048576")
+        bpe.encode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), vocabulary)
+        assert int(spark.conf.get(name)) == 1 << 20
+    finally:
+        spark.conf.set(name, before)
