@@ -118,6 +118,8 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
     elif channel == S.CHANNEL_TICKER:
         events = events.filter(F.col("event_type") == "view")
     e = events
+    # with one channel wanted, the other channel's payload is not put together, sorted and shuffled beside it
+    payloads = {c: item for c, item in ((S.CHANNEL_TICKER, "ticker"), (S.CHANNEL_TRADES, "trade")) if channel in (None, c)}
     is_trade = F.col("event_type") != "view"
     unit_t = F.when(is_trade, bucket_time("minute", "ts")).otherwise(bucket_time("second", "ts"))
     price = _cents(e)
@@ -157,15 +159,14 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
             _num_text(k).alias("best_bid_quantity"),
             _num_text(ask).alias("best_ask"),
             _num_text(k + 1).alias("best_ask_quantity"),
-        ).alias("tick"),
+        ).alias("ticker"),
     )
     # a ticker message carries one ticker (as the feed sends one per product); a trade
     # message batches the trades of one second (its envelope time stays the minute)
     msg_key = F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("event_id")).otherwise(F.col("_sec")).alias("_msg")
     grouped = base.groupBy("channel", "product_id", "t", msg_key).agg(
         F.min("event_id").alias("sequence_num"),
-        F.array_sort(F.collect_list(F.when(F.col("channel") == S.CHANNEL_TRADES, F.col("trade")))).alias("trades"),
-        F.array_sort(F.collect_list(F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("tick")))).alias("tickers"),
+        *(F.array_sort(F.collect_list(F.when(F.col("channel") == c, F.col(item)))).alias(f"{item}s") for c, item in payloads.items()),
     ).drop("_msg").withColumn("_late", F.lit(False))
     if duplicates:
         # whole messages sent again one hour later (same sequence number and payload); the messages are put together once
@@ -176,8 +177,7 @@ def raw_messages(events: DataFrame, malformed: bool = False, duplicates: bool =
     # to_json leaves NULL fields out
     event = F.struct(
         F.lit("update").alias("type"),
-        F.when(F.col("channel") == S.CHANNEL_TICKER, F.col("tickers")).alias("tickers"),
-        F.when(F.col("channel") == S.CHANNEL_TRADES, F.col("trades")).alias("trades"),
+        *(F.when(F.col("channel") == c, F.col(f"{item}s")).alias(f"{item}s") for c, item in payloads.items()),
     )
     msg = F.to_json(
         F.struct(
