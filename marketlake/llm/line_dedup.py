@@ -8,9 +8,10 @@ of fewer than ``min_chars`` characters are not compared for edits, those of fewe
 length: pairs of (least length, edits); the shorter line of two decides. Texts are split at
 line feeds.
 
-1. Lines. A line is known by two 64-bit hashes. One narrow table holds every line's hashes and place;
-   copies are combined into one row with the first place and the number of occurrences, so
-   equality is settled first, and copies are combined before the shuffle.
+1. Lines. A line is known by two 64-bit hashes. One table, written once, holds every line with its hashes and
+   place; copies are combined by their hashes into one row with the first place and the number of occurrences, so
+   equality is settled first, and copies are combined before the shuffle. Later copies make no keys
+   (where the repeated lines are too many to be broadcast they do, the same ones).
 2. Segments. Lengths fall into classes (an eighth of a power of two wide, never across two bands).
    A class has one width of segments, ``max_edits + 1`` of which fit its shortest line; the first
    ones are laid from the line's start, the last ones from its end, and what lies between belongs
@@ -27,7 +28,8 @@ line feeds.
    key are within an edit, and an aggregation per key takes the place of pairs. With more
    edits, its lines are cut into one segment more and keyed by every two of them (two stay
    unchanged). Lists that are long even then are compared with their earliest line first, and only
-   lines without an earlier near one so far are compared with the others.
+   lines without an earlier near one so far are compared with the others. All these lists give only pairs whose
+   signatures (length, parities of 64 classes of characters and of pairs of them) differ no more than the edits allow.
 4. Verification by banded bit-parallel edit distance, over the texts of candidates alone, after a
    cheap test that drops most pairs.
 5. Each document drops the places of lines that are not their line's first, or whose line has
@@ -45,7 +47,7 @@ empty results; other columns pass through, whatever their names, but for one nam
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations, product
+from itertools import combinations, pairwise, product
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
@@ -124,12 +126,14 @@ def _classes(lines: DataFrame, spans: Spans) -> DataFrame:
 
 def _cuts(edits: int, intact: int) -> list[tuple[tuple[int, bool, int], ...]]:
     """For every choice of ``intact`` of ``edits + intact`` segments, and every shift of each: (segment,
-    whether it is laid from the start, shift). The t-th chosen one, segment i, has i - t edits before it."""
+    whether it is laid from the start, shift). The t-th chosen one, segment i, has i - t edits before it, so
+    no more edits than there are segments between two chosen ones come between their shifts."""
     def places(t: int, i: int) -> list[tuple[int, bool, int]]:
         before, after = i - t, edits - (i - t)
         return [(i, before <= after, s) for s in range(-min(before, after), min(before, after) + 1)]
 
-    return [cut for chosen in combinations(range(edits + intact), intact) for cut in product(*(places(t, i) for t, i in enumerate(chosen)))]
+    every = (cut for chosen in combinations(range(edits + intact), intact) for cut in product(*(places(t, i) for t, i in enumerate(chosen))))
+    return [cut for cut in every if all(a[1] != b[1] or abs(b[2] - a[2]) < b[0] - a[0] for a, b in pairwise(cut))]
 
 
 def segment_keys(lines: DataFrame, spans: Spans, intact: int = 1) -> DataFrame:
@@ -240,27 +244,55 @@ def _shared(keys: DataFrame, scratch: Scratch) -> DataFrame:
     return shared.join(shared.groupBy("seg").agg(F.count(F.lit(1)).alias("rows")), "seg")
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
+def signature(line: Column) -> Column:
+    """What lines within k edits have almost alike: the length ``n``, and of 64 classes each of characters and of pairs of
+    neighbours whether their number is odd. An edit takes up to one character and two pairs away and adds as many."""
+    def odd(places: Column, *parts: Column) -> Column:
+        def bit(i: Column) -> Column:
+            return F.call_function("shiftleft", F.lit(1).cast("long"), F.xxhash64(*(F.get(p, i) for p in parts)).bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(places, F.lit(0).cast("long"), lambda bits, i: bits.bitwiseXOR(bit(i)))
+
+    def of_chars(chars: Column) -> Column:
+        n, none = F.size(chars), F.array().cast("array<int>")
+        nexts = F.slice(chars, 2, n)
+        return F.struct(F.length(line).alias("n"), odd(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none), chars).alias("chars"),
+                        F.transform(F.array(nexts), lambda b: odd(F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(none), chars, b))[0].alias("pairs"))
+
+    # as the variable of a lambda, the array of characters is made once per line
+    return F.transform(F.array(F.split(line, "")), of_chars)[0]
+
+
+def _maybe_near(a: Column, b: Column, edits: int) -> Column:
+    """Whether signatures allow that their lines are within so many edits."""
+    return ((F.abs(a["n"] - b["n"]) <= edits) & (F.bit_count(a["chars"].bitwiseXOR(b["chars"])) <= 2 * edits)
+            & (F.bit_count(a["pairs"].bitwiseXOR(b["pairs"])) <= 4 * edits))
+
+
+def _pairs(shared: DataFrame, max_edits: int) -> DataFrame:
     """Candidates (h1, h2, g1, g2), each once: index rows against all others of their key, but for
-    those of two lines marked ``done``, where there is such a column."""
-    if "done" not in shared.columns:
-        shared = shared.withColumn("done", F.lit(False))
-    a = shared.where(F.col("role") != _PROBE).select("seg", "h1", "h2", "done")
-    b = shared.select("seg", F.col("role").alias("role2"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("done").alias("done2"))
+    those of two lines marked ``done`` and those whose signatures ``sig`` are too far apart for ``max_edits``, where
+    there are such columns."""
+    marks = [c for c in ("done", "sig") if c in shared.columns]
+    a = shared.where(F.col("role") != _PROBE).select("seg", "h1", "h2", *marks)
+    b = shared.select("seg", F.col("role").alias("role2"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), *(F.col(c).alias(f"{c}2") for c in marks))
     x, y = F.struct("h1", "h2"), F.struct(F.col("g1").alias("h1"), F.col("g2").alias("h2"))
-    met = a.join(b, "seg").where(((x < y) | (F.col("role2") == _PROBE) & (x != y)) & ~(F.col("done") & F.col("done2")))
+    met = a.join(b, "seg").where((x < y) | (F.col("role2") == _PROBE) & (x != y))
+    if "done" in marks:
+        met = met.where(~(F.col("done") & F.col("done2")))
+    if "sig" in marks:
+        met = met.where(_maybe_near(F.col("sig"), F.col("sig2"), max_edits))
     low, high = F.least(x, y), F.greatest(x, y)
     return met.select(low.alias("low"), high.alias("high")).distinct().select(
         "low.h1", "low.h2", F.col("high.h1").alias("g1"), F.col("high.h2").alias("g2"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, spans: Spans) -> DataFrame:
-    """(h1, h2) of the later line of each pair within the edits of its shorter line. ``texts`` has h1, h2, at and line."""
-    a = texts.select("h1", "h2", F.col("at").alias("a_at"), F.col("line").alias("a"))
-    b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("at").alias("b_at"), F.col("line").alias("b"))
+    """(h1, h2) of the later line of each pair within the edits of its shorter line. ``texts`` has h1, h2, at, line and sig."""
+    a = texts.select("h1", "h2", F.col("at").alias("a_at"), F.col("line").alias("a"), F.col("sig").alias("a_sig"))
+    b = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("at").alias("b_at"), F.col("line").alias("b"), F.col("sig").alias("b_sig"))
     if (texts.agg(F.sum(F.octet_length("line") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
         a, b = F.broadcast(a), F.broadcast(b)  # else every pair would carry a text through a shuffle
-    both = pairs.join(a, ["h1", "h2"]).join(b, ["g1", "g2"])
+    both = pairs.join(a, ["h1", "h2"]).join(b, ["g1", "g2"]).where(_maybe_near(F.col("a_sig"), F.col("b_sig"), max(edits for *_, edits in spans)))
     shorter, alike = F.least(F.length("a"), F.length("b")), F.lit(False)
     for low, end, edits in reversed(spans):
         alike = F.when((shorter >= low) & (shorter < end), near(F.col("a"), F.col("b"), edits)).otherwise(alike)
@@ -270,9 +302,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, spans: Spans) -> DataFrame:
 
 
 def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16) -> DataFrame:
-    """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n) with an earlier one within an edit."""
-    shared = scratch.write(_shared(scratch.write(part_keys(hot.drop("at"), parts), "parts"), scratch), "part-lists")
-    near = _verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, [(0, (1 << 31) - 1, 1)])
+    """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n, sig) with an earlier one within an edit."""
+    shared = _shared(scratch.write(part_keys(hot.drop("at", "sig"), parts), "parts"), scratch)
+    shared = scratch.write(shared.join(_checked(hot.select("h1", "h2", "sig")), ["h1", "h2"]), "part-lists")
+    near = _verified(_pairs(shared.where(F.col("rows") <= hot_rows), 1), hot, [(0, (1 << 31) - 1, 1)])
     hottest = shared.where(F.col("rows") > hot_rows).select("h1", "h2").distinct()
     keys = char_keys(hot.join(hottest, ["h1", "h2"], "left_semi"))
     at = lambda role: F.min(F.when(F.col("role") == role, F.col("at")))
@@ -283,36 +316,39 @@ def _hot_near(hot: DataFrame, scratch: Scratch, hot_rows: int, parts: int = 16)
 
 
 def _hot_near_more(hot: DataFrame, scratch: Scratch, spans: Spans, hot_rows: int) -> DataFrame:
-    """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n) with an earlier one within the edits of
+    """(h1, h2) of the lines among ``hot`` (h1, h2, at, line, n, sig) with an earlier one within the edits of
     its span, all of two edits and more."""
-    shared = scratch.write(_shared(scratch.write(segment_keys(hot.drop("at"), spans, 2), "keys-2"), scratch), "lists-2")
-    found = scratch.write(_verified(_pairs(shared.where(F.col("rows") <= hot_rows)), hot, spans).distinct(), "near-2")
-    rows = shared.where(F.col("rows") > hot_rows).select("seg", "role", "h1", "h2")
+    most, sigs = max(edits for *_, edits in spans), hot.select("h1", "h2", "sig")
+    shared = _shared(scratch.write(segment_keys(hot.drop("at", "sig"), spans, 2), "keys-2"), scratch)
+    shared = scratch.write(shared.join(_checked(sigs), ["h1", "h2"]), "lists-2")
+    found = scratch.write(_verified(_pairs(shared.where(F.col("rows") <= hot_rows), most), hot, spans).distinct(), "near-2")
+    rows = shared.where(F.col("rows") > hot_rows).select("seg", "role", "h1", "h2", "sig")
     if rows.isEmpty():
         return found
-    firsts = rows.join(hot.select("h1", "h2", "at"), ["h1", "h2"]).groupBy("seg").agg(F.min(F.struct("at", "h1", "h2")).alias("first")).select(
-        "seg", "first.h1", "first.h2", F.lit(_INDEX).alias("role"))
-    near = scratch.write(_verified(_pairs(rows.withColumn("role", F.lit(_PROBE)).unionByName(firsts)), hot, spans).distinct(), "near-first")
+    firsts = rows.join(hot.select("h1", "h2", "at"), ["h1", "h2"]).groupBy("seg").agg(F.min(F.struct("at", "h1", "h2", "sig")).alias("first")).select(
+        "seg", F.lit(_INDEX).alias("role"), "first.h1", "first.h2", "first.sig")
+    near = scratch.write(_verified(_pairs(rows.withColumn("role", F.lit(_PROBE)).unionByName(firsts), most), hot, spans).distinct(), "near-first")
     # what has an earlier near line need not look for another, but others may still find it
     done = found.unionByName(near).distinct().withColumn("done", F.lit(True))
     rest = rows.join(done, ["h1", "h2"], "left").withColumn("done", F.col("done").isNotNull())
-    return found.unionByName(near).unionByName(_verified(_pairs(rest), hot, spans)).distinct()
+    return found.unionByName(near).unionByName(_verified(_pairs(rest, most), hot, spans)).distinct()
 
 
 def near_lines(lines: DataFrame, firsts: DataFrame, scratch: Scratch, spans: Spans, hot_rows: int) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier one within the edits of their span.
     ``firsts`` has h1, h2 and the first place ``at`` of every line."""
-    shared = scratch.write(_shared(scratch.write(segment_keys(lines, spans), "segments"), scratch), "lists")
+    shared = scratch.write(_shared(scratch.write(segment_keys(lines.drop("at"), spans), "segments"), scratch), "lists")
     hot_list, one = F.col("rows") > hot_rows, F.col("seg").bitwiseAND(F.lit(1)) == 1
-    pairs = scratch.write(_pairs(shared.where(~hot_list)), "pairs")
+    pairs = scratch.write(_pairs(shared.where(~hot_list), 0), "pairs")
     wanted = (pairs.select("h1", "h2").unionByName(pairs.select(F.col("g1").alias("h1"), F.col("g2").alias("h2")))
               .withColumns({"hot_one": F.lit(False), "hot_more": F.lit(False)})
               .unionByName(shared.where(hot_list).select("h1", "h2", one.alias("hot_one"), (~one).alias("hot_more")))
               .groupBy("h1", "h2").agg(F.max("hot_one").alias("hot_one"), F.max("hot_more").alias("hot_more")))
     wanted = scratch.write(firsts.select("h1", "h2", "at").join(wanted, ["h1", "h2"]), "wanted")
-    texts = scratch.write(lines.select("h1", "h2", "line", "n").join(_checked(wanted), ["h1", "h2"]).distinct(), "texts")
+    texts = lines.select("h1", "h2", "at", "line", "n").join(_checked(wanted), ["h1", "h2", "at"]).distinct()
+    texts = scratch.write(texts.withColumn("sig", signature(F.col("line"))), "texts")
     found = scratch.write(_verified(pairs, texts, spans).distinct(), "near")
-    hot = {name: texts.where(name).select("h1", "h2", "at", "line", "n") for name in ("hot_one", "hot_more")}
+    hot = {name: texts.where(name).select("h1", "h2", "at", "line", "n", "sig") for name in ("hot_one", "hot_more")}
     if any(edits == 1 for *_, edits in spans) and not hot["hot_one"].isEmpty():
         found = found.unionByName(_hot_near(hot["hot_one"], scratch, hot_rows))
     if (more := [s for s in spans if s[2] > 1]) and not hot["hot_more"].isEmpty():
@@ -320,13 +356,21 @@ def near_lines(lines: DataFrame, firsts: DataFrame, scratch: Scratch, spans: Spa
     return scratch.write(found.distinct(), "near-all")
 
 
+def _without_copies(lines: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """``lines`` without those that stand earlier too, as far as the repeated lines can be broadcast."""
+    repeated = scratch.write(firsts.where("times > 1").select("h1", "h2", F.col("at").alias("first_at")), "repeated")
+    if repeated.count() > BROADCAST_ROWS:
+        return lines
+    return lines.join(F.broadcast(repeated), ["h1", "h2"], "left").where("first_at IS NULL OR first_at = at").drop("first_at")
+
+
 def places_to_drop(docs: DataFrame, scratch: Scratch, bands: Bands, equal_from: int, hot_rows: int = 32) -> DataFrame:
     """(doc, body, gone): the places of the lines to drop, for documents that drop some."""
-    lines = eligible_lines(docs, min(equal_from, bands[0][0]))
-    narrow = scratch.write(lines.select("doc", "body", "pos", "at", "h1", "h2"), "lines")
+    lines = scratch.write(eligible_lines(docs, min(equal_from, bands[0][0])), "lines")
+    narrow = lines.select("doc", "body", "pos", "at", "h1", "h2")
     firsts = scratch.write(narrow.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("times")), "firsts")
     spans = [s for s in _spans(bands) if s[2]]
-    found = near_lines(lines, firsts, scratch, spans, hot_rows) if spans else firsts.select("h1", "h2").limit(0)
+    found = near_lines(_without_copies(lines, firsts, scratch), firsts, scratch, spans, hot_rows) if spans else firsts.select("h1", "h2").limit(0)
     verdicts = firsts.join(found.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("times > 1 OR near")
     verdicts = scratch.write(verdicts.select("h1", "h2", F.when(F.col("near").isNull(), F.col("at")).alias("stays")), "verdicts")
     found = narrow.join(_checked(verdicts), ["h1", "h2"])

@@ -171,3 +171,37 @@ def test_lines_alike_at_every_cut(spark, scratch):  # noqa: F811
             seen.append(x)
         kept[doc] = "\n".join(stay)
     assert got == kept
+
+
+def test_copies_do_not_lengthen_lists(spark, scratch, monkeypatch):  # noqa: F811
+    """Two lines that share a segment, each with many copies, are one candidate and no long list; also where copies keep their keys."""
+    same = "an opening of sixty characters that the two lines have alike, "
+    lines = [same + "and then the first goes on in a way of its own entirely", same + "while this other one ends with quite different words here"]
+    df = spark.createDataFrame([(i, lines[i % 2]) for i in range(100)], "doc_id long, text string")
+    rows = []
+    real = line_dedup._pairs
+    monkeypatch.setattr(line_dedup, "_pairs", lambda shared, *rest: rows.append(shared.count()) or real(shared, *rest))
+    for broadcast in (1_000_000, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", broadcast)
+        got = line_dedup.dedup_lines(df, scratch, bands=line_dedup.BANDS).where("text != ''").collect()
+        assert sorted(r.doc_id for r in got) == [0, 1]
+    assert len(rows) == 2 and max(rows) <= 8
+
+
+def test_signatures_allow_all_near_lines_and_few_others(spark):
+    rng = random.Random(11)
+    base = ["".join(rng.choices("abcdefg hijklmnopäß😀", k=rng.choice([0, 1, 2, 60, 150]))) for _ in range(60)]
+    rows = []
+    for x in base:
+        for edits in (1, 2, 3):
+            y = x
+            for _ in range(edits):
+                at = rng.randint(0, len(y))
+                y = y[:at] + rng.choice(["", "z", "zß"[:1]]) + y[at + rng.randint(0, 1):]
+            rows.append((x, y, edits))
+    a, b = (line_dedup.signature(F.col(c)) for c in "ab")
+    df = spark.createDataFrame(rows, "a string, b string, k int").select("k", a.alias("a"), b.alias("b"))
+    for k in (1, 2, 3):
+        assert df.where((F.col("k") <= k) & ~line_dedup._maybe_near(F.col("a"), F.col("b"), k)).count() == 0
+    others = spark.createDataFrame([(x, y) for x in base for y in base if x != y and len(x) == len(y) == 150], "a string, b string")
+    assert others.where(line_dedup._maybe_near(a, b, 3)).count() <= 0.01 * others.count()
