@@ -36,7 +36,7 @@ LONG_WORD = 256
 class Encoder:
     """Encodes words with one vocabulary; remembers which pairs can stand side by side."""
 
-    MAX_PAIRS = 400_000
+    MAX_PAIRS = 300_000
 
     def __init__(self, vocab: byte_bpe.Vocabulary):
         self.vocab = vocab
@@ -47,6 +47,7 @@ class Encoder:
         # looked at yet) or its entry of _pairs
         self._starts: dict[bytes, dict[bytes, bool] | bool | None] = {t[:n]: None for t in vocab.ids for n in range(1, len(t))}
         self._starts.update(dict.fromkeys(vocab.ids, True))
+        self._one = {token: token for token in vocab.ids}  # pairs share these instead of holding slices of words
         self._packed = {token: array("i", [i]).tobytes() for token, i in vocab.ids.items()}
         self._made = {a + b: (a, b, rank) for (a, b), rank in vocab.merges.items()}
         made, never = self._made, ("", "", -1)
@@ -121,7 +122,7 @@ class Encoder:
             self._forget()
         known = self._stands(left, right)
         self._n_pairs += 1
-        self._followers(right)[left] = known
+        self._followers(right)[self._one.get(left, left)] = known
         return known
 
     def _walk(self, word: bytes, lows: list[int], last: list[bytes]) -> None:
@@ -194,6 +195,8 @@ class Encoder:
 class _Memory(dict):
     """chunk (or word of one) -> its ids as int32 bytes, filled batch by batch and bounded."""
 
+    MOST = 100_000
+
     def __init__(self, vocab: byte_bpe.Vocabulary):
         super().__init__()
         self.encoder = Encoder(vocab)
@@ -202,7 +205,7 @@ class _Memory(dict):
     def trim(self, wanted: set[str]) -> None:
         """When full, forget the chunks that were not wanted again since the last time (or, where those are
         many, that are not wanted now). Ids take more room than counts, so fewer are remembered."""
-        most = byte_bpe.MAX_REMEMBERED // 4
+        most = min(self.MOST, byte_bpe.MAX_REMEMBERED // 4)
         if len(self) > most:
             keep = self.again if len(self.again) <= most // 2 else wanted
             kept = {c: self[c] for c in keep if c in self}

@@ -119,3 +119,16 @@ def test_batches_of_texts_are_bounded(spark, vocabulary):
         assert int(spark.conf.get(name)) == 1 << 20
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_worker_holds_little(vocabulary):
+    """100,000 chunks at most stay from batch to batch, and pairs share the vocabulary's tokens."""
+    vocab = byte_bpe.load_vocabulary(vocabulary)
+    memory = bpe._Memory(vocab)
+    bpe._ids(_random_texts(300), memory, vocab)
+    own = {token: token for token in vocab.ids}
+    held = [left for known in memory.encoder._pairs.values() for left in known if left]
+    assert held and all(left is own[left] for left in held)
+    memory.update((f"chunk {i}", b"") for i in range(150_000))
+    memory.trim({"chunk 7"})
+    assert len(memory) <= 100_000
